@@ -1 +1,100 @@
-"""Registered queries (filled in below)."""
+"""Source queries: fixture rows written in the daily file formats and read back."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from cardwatch.catalog import register
+from cardwatch.session import checkpoint_dir
+from cardwatch.sources import files, xlsx
+from cardwatch.streaming.daily_files import load_transactions_stream
+
+
+TX_SECONDS = ("select trans_id, date_trunc('second', trans_date) trans_date, amt, card_num, "
+              "oper_type, oper_result, terminal from {src}")
+
+
+def scratch(spark, what: str) -> str:
+    """A fresh folder below the session's checkpoint folder (local path form)."""
+    base = checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    path = os.path.join(base, f"cardwatch-{what}-{uuid.uuid4().hex[:12]}")
+    os.makedirs(path, exist_ok=True)
+    return path
+
+
+def _tx_text(df, bad=None):
+    """Transactions as the daily file's text columns (optionally a broken date)."""
+    date = F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss")
+    if bad is not None:
+        date = F.when(bad, F.lit("31.02.2024 25:61")).otherwise(date)
+    return df.select("trans_id", date.alias("transaction_date"),
+                     F.regexp_replace(F.col("amt").cast("string"), r"\.", ",").alias("amount"),
+                     "card_num", "oper_type", "oper_result", "terminal")
+
+
+# The file carries times to the second (as the warehouse DATE type does).
+@register("src_transactions_csv", TX_SECONDS.format(src="fx_transactions"))
+def src_transactions_csv(fx):
+    """SRC-4: ';'-separated text with decimal comma, read back to the staging schema."""
+    path = scratch(fx.spark, "tx") + "/transactions_31012024.txt"
+    _tx_text(fx["fx_transactions"]).write.option("sep", ";").option("header", True).csv(path)
+    return files.read_transactions(fx.spark, path)
+
+
+@register("src_bad_rows", TX_SECONDS.format(src="fx_transactions") + " where cast(trans_id as bigint) % 50 <> 0")
+def src_bad_rows(fx):
+    """SRC-7: rows with an unreadable time go to quarantine; the rest load."""
+    tx = fx["fx_transactions"]
+    path = scratch(fx.spark, "badtx") + "/transactions_31012024.txt"
+    (_tx_text(tx, F.col("trans_id").cast("bigint") % 50 == 0)
+     .write.option("sep", ";").option("header", True).csv(path))
+    good, _bad = files.read_transactions(fx.spark, path, bad_rows="quarantine")
+    return good
+
+
+@register("src_terminals_xlsx", "select * from fx_terminals_src")
+def src_terminals_xlsx(fx):
+    """SRC-2: terminals written as workbooks (sheet 'terminals'), read back by position."""
+    folder = scratch(fx.spark, "xlsx-terminals")
+    written = xlsx.write_sheets(fx["fx_terminals_src"].repartition(3), folder, "terminals", "terminals")
+    paths = [r.path for r in written.collect()]      # one row per written file
+    return xlsx.read_terminals(fx.spark, paths)
+
+
+@register("src_blacklist_xlsx", "select entry_dt, passport_num from fx_blacklist_src")
+def src_blacklist_xlsx(fx):
+    """SRC-3: blacklist workbooks with the date as an Excel serial number in one
+    file set and as text in the other; both read back to timestamps."""
+    bl = fx["fx_blacklist_src"]
+    serial = (F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1899-12-30 00:00:00', entry_dt)")
+              / F.lit(86400000000.0))
+    even = F.substring("passport_num", 3, 20).cast("bigint") % 2 == 0
+    as_number = bl.where(even).select(serial.alias("date"), "passport_num")
+    as_text = bl.where(~even).select(F.date_format("entry_dt", "yyyy-MM-dd HH:mm:ss").alias("date"),
+                                     "passport_num")
+    folder = scratch(fx.spark, "xlsx-blacklist")
+    paths = [r.path for r in xlsx.write_sheets(as_number.repartition(2), folder, "blacklist", "num").collect()]
+    paths += [r.path for r in xlsx.write_sheets(as_text.repartition(2), folder, "blacklist", "txt").collect()]
+    return xlsx.read_blacklist(fx.spark, paths)
+
+
+@register("src_stream_daily_files", "select * from fx_transactions_hist union all " + TX_SECONDS.format(
+    src="fx_transactions s where not exists "
+        "(select 1 from fx_transactions_hist t where t.trans_id = s.trans_id)"))
+def src_stream_daily_files(fx):
+    """SRC-5/6 + FCT-1: day files arriving in an inbox, streamed into the facts."""
+    spark = fx.spark
+    root = scratch(spark, "stream")
+    fact_path, inbox = f"{root}/fact_transactions", f"{root}/inbox"
+    fx["fx_transactions_hist"].write.parquet(fact_path)
+    # the day's operations arrive as several files
+    _tx_text(fx["fx_transactions"]).repartition(4).write.option("sep", ";").option("header", True).csv(inbox)
+    q = load_transactions_stream(spark, inbox, fact_path, f"{root}/_checkpoint",
+                                 archive_dir=f"{root}/archive", max_files_per_batch=2)
+    q.awaitTermination()
+    return spark.read.parquet(fact_path)
