@@ -89,6 +89,16 @@ events as (
 )"""
 
 
+def state_enrich_sql(tm, tx, cd, ac, cl, bl, enrich=ENRICH_SQL):
+    """ENRICH_SQL over other state tables (e.g. CTEs of the state after a run)."""
+    return (enrich.replace("from fx_terminals_hist tm", f"from {tm} tm")
+            .replace("join fx_transactions t on", f"join {tx} t on")
+            .replace("left join fx_cards_hist cd", f"left join {cd} cd")
+            .replace("left join fx_accounts_hist a", f"left join {ac} a")
+            .replace("left join fx_clients_hist c", f"left join {cl} c")
+            .replace("select passport_num from fx_blacklist_src", f"select passport_num from {bl}"))
+
+
 def _report_sql(enrich=ENRICH_SQL, gap="60 day"):
     return _events_sql(enrich, gap) + """
 select event_dt, passport_num passport,

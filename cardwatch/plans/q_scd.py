@@ -8,6 +8,8 @@ The oracle SQL spells the same steps as a chain of DuckDB CTEs.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
@@ -45,6 +47,16 @@ def _cols(dim, p=""):
     return ", ".join(f"{p}{c}" for c in dim.columns)
 
 
+_CTE_NAMES = re.compile(r"\b(stg|keys|one|gone|h\d(?:_\d)?|n\d(?:_\d)?|ct|ft|k8|r8)\b")
+
+
+def prefixed(sql: str, prefix: str) -> tuple[str, str]:
+    """Split ``with ... select * from X`` into (CTE list, X) with CTE names prefixed."""
+    body, last = sql[len("with "):].rsplit("\nselect * from ", 1)
+    ren = lambda t: _CTE_NAMES.sub(lambda m: prefix + m.group(1), t)
+    return ren(body), ren(last.strip())
+
+
 def reference_sql(dim_name: str, stop_after: str) -> str:
     dim, spec = S.DIMS[dim_name], scd2.REFERENCE[dim_name]
     k, attrs = dim.key, dim.attrs

@@ -73,42 +73,78 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def current(spark: SparkSession, root: str) -> dict:
-    """The published pointer: {"run_id": ..., "tables": {name: path}}; empty before any run."""
+    """The published pointer: {"run_id": ..., "tables": {name: [paths]}}; empty before any run."""
     text = _read_text(spark, f"{root}/{POINTER}")
     return json.loads(text) if text else {"run_id": None, "tables": {}}
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A warehouse table as of the last published run (empty with its schema if never written)."""
-    path = current(spark, root)["tables"].get(name)
+def _read_paths(spark: SparkSession, name: str, paths: list[str]) -> DataFrame:
     schema = S.WAREHOUSE_TABLES[name]
-    if path is None:
+    if not paths:
         return S.empty(spark, schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A warehouse table as of the last published run (empty, with schema, if never written)."""
+    return _read_paths(spark, name, current(spark, root)["tables"].get(name, []))
 
 
-def publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, DataFrame],
-            partition_by: dict[str, list[str]] | None = None) -> dict:
-    """SNK-3: write every table of the run, then switch the pointer once.
+class Run:
+    """One run's writes (SNK-1..3). Nothing is visible to readers before :meth:`commit`.
 
-    Tables not in ``tables`` keep their previous snapshot. Writing is the
-    only action; each table is written by its own distributed job.
+    * ``replace``: a new snapshot of the table (dimensions, watermark);
+    * ``append``: only the new rows are written, as one more part of the
+      table (insert-only facts, the report), so a large fact table is
+      never rewritten.
+
+    Both return the table as written (read back), so later steps of the
+    run read the stored result instead of recomputing its plan.
     """
-    state = current(spark, root)
-    paths = dict(state["tables"])
-    for name, df in tables.items():
-        path = f"{root}/{name}/run={run_id}"
-        w = S.conform(df, S.WAREHOUSE_TABLES[name]).write.mode("overwrite")
-        if partition_by and name in partition_by:
-            w = w.partitionBy(*partition_by[name])
-        w.parquet(path)
-        paths[name] = path
-    new_state = {"run_id": run_id, "previous": state.get("run_id"), "tables": paths}
-    _write_text(spark, f"{root}/{POINTER}", json.dumps(new_state, sort_keys=True))
-    return new_state
+
+    def __init__(self, spark: SparkSession, root: str, run_id: str):
+        self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
+        self.before = current(spark, self.root)
+        self.paths = {k: list(v) for k, v in self.before["tables"].items()}
+
+    def _write(self, name: str, df: DataFrame) -> str:
+        path = f"{self.root}/{name}/run={self.run_id}"
+        S.conform(df, S.WAREHOUSE_TABLES[name]).write.mode("overwrite").parquet(path)
+        return path
+
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        self.paths[name] = [self._write(name, df)]
+        return _read_paths(self.spark, name, self.paths[name])
+
+    def append(self, name: str, new_rows: DataFrame) -> DataFrame:
+        self.paths[name] = [*self.paths.get(name, []), self._write(name, new_rows)]
+        return _read_paths(self.spark, name, self.paths[name])
+
+    def table(self, name: str) -> DataFrame:
+        return _read_paths(self.spark, name, self.paths.get(name, []))
+
+    def commit(self) -> dict:
+        state = {"run_id": self.run_id, "previous": self.before.get("run_id"), "tables": self.paths}
+        _write_text(self.spark, f"{self.root}/{POINTER}", json.dumps(state, sort_keys=True))
+        return state
+
+
+def publish(spark: SparkSession, root: str, run_id: str, replace: dict[str, DataFrame] | None = None,
+            append: dict[str, DataFrame] | None = None) -> dict:
+    """SNK-3: write every table of the run, then switch the pointer once."""
+    run = Run(spark, root, run_id)
+    for name, df in (replace or {}).items():
+        run.replace(name, df)
+    for name, df in (append or {}).items():
+        run.append(name, df)
+    return run.commit()
 
 
 def reset(spark: SparkSession, root: str, run_id: str, keep=("meta",)) -> dict:
-    """SNK-4: publish empty tables (with schema) for all but ``keep``."""
-    tables = {n: S.empty(spark, s) for n, s in S.WAREHOUSE_TABLES.items() if n not in keep}
-    return publish(spark, root, run_id, tables)
+    """SNK-4: every table but ``keep`` becomes empty (with its schema), in one publish.
+
+    As in the reference, the watermark table is kept, so the next run's
+    capture still starts from the old high-water mark.
+    """
+    return publish(spark, root, run_id, replace={
+        n: S.empty(spark, sc) for n, sc in S.WAREHOUSE_TABLES.items() if n not in keep})
