@@ -1,8 +1,8 @@
 """Change capture against a high-water mark (CDC-1..6).
 
-All scalars (the watermark, the day's latest operation) are 1-row
-DataFrames joined with ``crossJoin(broadcast(...))``: one row is a proven
-size bound, and nothing is collected to the driver.
+Scalars are 1-row aggregates: the watermark is fetched as a literal (so
+the capture filter is pushed to the source scan), other scalars are
+scalar subqueries (``DataFrame.scalar()``), evaluated once per query.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.schemas import low
+from cardwatch.schemas import low, ts_lit
 
 
 def watermark(meta: DataFrame, db: str, table: str) -> DataFrame:
@@ -28,6 +28,16 @@ def watermark(meta: DataFrame, db: str, table: str) -> DataFrame:
         .when(F.col("_n") == 1, F.col("_w")).cast("timestamp_ntz").alias("watermark"))
 
 
+def watermark_literal(wm: DataFrame) -> Column:
+    """The 1-row watermark as a literal, so ``update_dt > W`` reaches the scan.
+
+    Fetching one row of an aggregate is a proven size bound; a duplicate
+    meta row fails here, as the scalar subquery would.
+    """
+    value = wm.first()["watermark"]
+    return ts_lit(value) if value is not None else F.lit(None).cast("timestamp_ntz")
+
+
 def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
     """Rows of ``df`` where ``col NOT IN (select other_col from other)`` is TRUE.
 
@@ -38,13 +48,13 @@ def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFra
     a NULL probe passes only an empty list.
     """
     keys = other.select(F.col(other_col).alias("_k"))
-    guard = keys.agg(F.count(F.lit(1)).alias("_n"),
-                     F.max(F.col("_k").isNull().cast("int")).alias("_has_null"))
+    # one aggregate over the key column, used as a scalar subquery (evaluated once)
+    guard = keys.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                              F.max(F.col("_k").isNull().cast("int")).alias("has_null")).alias("g")).scalar()
     distinct = keys.where(F.col("_k").isNotNull()).distinct()
     kept = df.join(distinct, F.col(col) == F.col("_k"), "left_anti")
-    return (kept.crossJoin(F.broadcast(guard))
-            .where((F.col("_n") == 0) | (F.col(col).isNotNull() & (F.col("_has_null") == 0)))
-            .drop("_n", "_has_null"))
+    return kept.where((guard.getField("n") == 0)
+                      | (F.col(col).isNotNull() & (guard.getField("has_null") == 0)))
 
 
 def capture_incremental(src: DataFrame, wm: DataFrame, hist: DataFrame, key: str,
@@ -58,11 +68,9 @@ def capture_incremental(src: DataFrame, wm: DataFrame, hist: DataFrame, key: str
     that the NOT IN stays a plain anti join.
     """
     src_key = src_key or key
-    w = F.broadcast(wm)
-    with_w = src.crossJoin(w)
-    updated = F.col("update_dt") > F.col("watermark")
-    inc = with_w.where(updated)
-    seed = with_w.where(~F.coalesce(updated, F.lit(False)) & (F.col("create_dt") == low()))
+    updated = F.col("update_dt") > watermark_literal(wm)
+    inc = src.where(updated)
+    seed = src.where(~F.coalesce(updated, F.lit(False)) & (F.col("create_dt") == low()))
     seed = not_in(seed, src_key, hist, key)
     out = [F.col(s).alias(t) for t, s in columns.items() if t != "update_dt"]
     return inc.unionByName(seed).select(*out, run_ts.alias("update_dt"))
@@ -83,8 +91,7 @@ def advance_watermark(meta: DataFrame, stg_transactions: DataFrame, db: str, tab
 
     Only existing rows are updated; no row is ever inserted.
     """
-    mx = F.broadcast(day_max(stg_transactions, "_mx"))
-    hit = (F.col("table_db") == db) & (F.col("table_name") == table) & F.col("_mx").isNotNull()
-    return meta.crossJoin(mx).select(
-        "table_db", "table_name",
-        F.when(hit, F.col("_mx")).otherwise(F.col("last_update_dt")).alias("last_update_dt"))
+    mx = day_max(stg_transactions, "_mx").scalar()
+    hit = (F.col("table_db") == db) & (F.col("table_name") == table) & mx.isNotNull()
+    return meta.select("table_db", "table_name",
+                       F.when(hit, mx).otherwise(F.col("last_update_dt")).alias("last_update_dt"))

@@ -119,11 +119,18 @@ def rule_closed(df: DataFrame) -> Column:
     return F.col("deleted_flg") == 1
 
 
-def with_next_operation(df: DataFrame, skew_safe: bool = True) -> DataFrame:
-    """Adds ``next_terminal_city`` and ``next_trans_date`` of the same card."""
-    from cardwatch.operators.sequence import lead_columns
+def with_next_operation(df: DataFrame, skew_safe: bool = True,
+                        tx: DataFrame | None = None) -> DataFrame:
+    """Adds ``next_terminal_city`` and ``next_trans_date`` of the same card.
+
+    ``tx`` (the operations before the fan-out join) gives the per-card
+    statistics that decide which cards are hot, from a cheap partial
+    aggregate instead of the enriched rows.
+    """
+    from cardwatch.operators.sequence import key_stats, lead_columns
+    stats = key_stats(tx, ["card_num"], "trans_date") if tx is not None else None
     return lead_columns(df, ["card_num"], LEAD_ORDER, ["terminal_city", "trans_date"],
-                        skew_safe=skew_safe)
+                        skew_safe=skew_safe, stats=stats)
 
 
 def rule_city_hop(df: DataFrame, max_gap: str = "60 days") -> Column:
@@ -164,6 +171,7 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
                   stg_transactions, max_gap: str = "60 days", as_of: bool = False,
                   skew_safe: bool = True) -> DataFrame:
     """FRD-9: distinct event rows (before the name is assembled), type > 0."""
+    tx = transactions.select("trans_id", "trans_date", "card_num")
     if as_of:
         enriched = _enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist)
         links = enriched.select("card_num", "passport_num", "trans_date")
@@ -173,16 +181,17 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
         prof = card_profiles(cards, accounts, clients, blacklist)
         enriched = tx.join(prof, "card_num", "left")
         last = last_event_by_passport(tx, prof)
-    seq = with_next_operation(enriched, skew_safe=skew_safe)
+    seq = with_next_operation(enriched, skew_safe=skew_safe, tx=tx)
     events = (seq.select(*[c for c in seq.columns if c not in ("event_type",)],
                          event_type(seq, max_gap).alias("event_type"))
               .where(F.col("event_type") > 0))
     ev, ls = events.alias("e"), last.alias("p")
     events = ev.join(ls, F.col("e.passport_num").eqNullSafe(F.col("p.passport_num")), "left")
-    rd = report_date(stg_transactions)
+    # one value for the whole report: a scalar subquery, evaluated once
+    rd = report_date(stg_transactions).scalar()
     return (events.select(F.col("p.event_dt"), F.col("e.passport_num"), "e.last_name",
-                          "e.first_name", "e.patronymic", "e.phone", "e.event_type")
-            .crossJoin(F.broadcast(rd))
+                          "e.first_name", "e.patronymic", "e.phone", "e.event_type",
+                          rd.alias("report_dt"))
             .select(*EVENT_COLS).distinct())
 
 

@@ -72,7 +72,7 @@ def spec_for(dim: Dim, profile: str = "reference") -> Spec:
 
 
 def _with_scalars(df: DataFrame, scalars: DataFrame | None) -> DataFrame:
-    # A 1-row table (the day's latest operation): broadcast is size-bounded.
+    # Optional 1-row table whose columns the expressions name: broadcast is size-bounded.
     return df if scalars is None else df.crossJoin(F.broadcast(scalars))
 
 
@@ -280,10 +280,15 @@ STEPS = ("insert_new", "insert_changed", "close", "flag_deleted", "restore")
 
 
 def clocks(spec: Spec, run_ts: Column, day_scalars: DataFrame | None):
-    """(start of a new version, end of a closed one, scalars to join)."""
+    """(start of a new version, end of a closed one, scalars to join).
+
+    Terminals run on the day's latest operation time: a 1-row aggregate
+    used as a scalar subquery, evaluated once per query.
+    """
     if spec.clock == "run":
         return run_ts, minus_days(run_ts), None
-    return F.col("day_max"), minus_days(F.col("day_max")), day_scalars
+    day = day_scalars.scalar()
+    return day, minus_days(day), None
 
 
 def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts: Column,

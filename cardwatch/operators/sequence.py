@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 _KEY, _BUCKET, _TAIL = "_seq_key", "_seq_bucket", "_seq_tail"
 _HEAD, _NEXT_HEAD, _POS = "_seq_head", "_seq_next_head", "_seq_pos"
 DEFAULT_HOT_ROWS = 2_000_000
+BROADCAST_HOT_KEYS = 100_000
 
 
 def _position(df: DataFrame, col: str):
@@ -47,27 +48,49 @@ def _sort_struct(order_by, values):
     return F.struct(*fields)
 
 
+def key_stats(df: DataFrame, partition_by: list[str], first_order: str) -> DataFrame:
+    """Rows, first and last position per key: a partial aggregate (map-side combined)."""
+    pos = _position(df, first_order)
+    return (df.select(F.struct(*partition_by).alias(_KEY), pos.alias(_POS))
+            .groupBy(_KEY).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_lo"),
+                               F.max(_POS).alias("_hi")))
+
+
 def lead_columns(df: DataFrame, partition_by: list[str], order_by: list[str],
                  values: list[str], prefix: str = "next_", hot_rows: int | None = None,
-                 skew_safe: bool = True) -> DataFrame:
-    """Add ``prefix + v`` = ``lead(v)`` over (partition_by, order_by ASC NULLS LAST)."""
+                 skew_safe: bool = True, stats: DataFrame | None = None) -> DataFrame:
+    """Add ``prefix + v`` = ``lead(v)`` over (partition_by, order_by ASC NULLS LAST).
+
+    ``stats`` (from :func:`key_stats`, possibly over a cheaper input with the
+    same keys and first order column, e.g. the facts before a fan-out join)
+    tells which keys are hot. Their number is checked on the driver (one
+    count): with no hot key the plain window is used, which keeps an
+    existing partitioning on the key and adds no stage; otherwise hot keys
+    are split into buckets as described above.
+    """
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    if not skew_safe:
+
+    def plain():
         w = Window.partitionBy(*partition_by).orderBy(*order)
         return df.select("*", *[F.lead(v).over(w).alias(prefix + v) for v in values])
 
+    if not skew_safe:
+        return plain()
     hot_rows = int(hot_rows or df.sparkSession.conf.get("cardwatch.lead.hotRows",
                                                         str(DEFAULT_HOT_ROWS)))
+    stats = stats if stats is not None else key_stats(df, partition_by, order_by[0])
+    # Hot keys: at most total_rows / hot_rows of them.
+    hot = (stats.where(F.col("_n") > hot_rows)
+           .select(_KEY, F.ceil(F.col("_n") / hot_rows).alias("_b"), "_lo", "_hi"))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return plain()
+    if n_hot <= BROADCAST_HOT_KEYS:      # checked size: broadcast; else a shuffle join
+        hot = F.broadcast(hot)
     # A struct is never NULL and compares NULL fields as equal, so one plain
     # equi-key serves the window, the bucket table and the fix-up join; the
     # join then reuses the window's hash partitioning for the big side.
     keyed = df.select("*", F.struct(*partition_by).alias(_KEY), _position(df, order_by[0]).alias(_POS))
-
-    # Hot keys: a partial aggregate, at most total_rows / hot_rows rows.
-    hot = (keyed.groupBy(_KEY)
-           .agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_lo"), F.max(_POS).alias("_hi"))
-           .where(F.col("_n") > hot_rows)
-           .select(_KEY, F.ceil(F.col("_n") / hot_rows).alias("_b"), "_lo", "_hi"))
     span = (F.col("_hi") - F.col("_lo")).cast("double") + 1.0
     bucket = (F.when(F.col("_b").isNull(), F.lit(0))
               .when(F.col(_POS).isNull(), F.col("_b"))          # NULLS LAST

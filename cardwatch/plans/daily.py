@@ -49,7 +49,7 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
 
     # E1: capture and version the bank dimensions
     meta = run.table("meta")
-    wm = mat(cdc.watermark(meta, meta_db, meta_table))
+    wm = cdc.watermark(meta, meta_db, meta_table)      # 1 row, cheap to recompute
     for name, (key, src_key, columns) in BANK_CAPTURE.items():
         src = getattr(inputs, name)
         hist = run.table(f"hist_{name}")
@@ -60,7 +60,7 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
 
     # E2: the day's files
     stg_tx = mat(S.conform(inputs.transactions, S.STG_TRANSACTIONS))
-    day = mat(cdc.day_max(stg_tx))
+    day = cdc.day_max(stg_tx)
     stg_tm = mat(S.conform(inputs.terminals, S.STG_TERMINALS))
     new_tm = scd2.apply_day(run.table("hist_terminals"), stg_tm, stg_tm.select("terminal_id"),
                             S.TERMINALS, now, day, profile, materialize=mat)

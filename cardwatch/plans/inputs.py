@@ -55,7 +55,8 @@ def staged(fx, dim_name: str):
     src, hist = fx[src_name], stored_history(fx, hist_name)
     wm = cdc.watermark(fx["fx_meta"], META_DB, META_TABLE)
     stg = cdc.capture_incremental(src, wm, hist, key, columns, run_ts(), src_key=src_key)
-    return hist, stg, cdc.key_snapshot(src, src_key, key), None
+    # the staging table (SNK-1): written once, read by every step of the day
+    return hist, materializer(fx.spark)(stg), cdc.key_snapshot(src, src_key, key), None
 
 
 def staged_terminals_keys(fx):

@@ -36,11 +36,22 @@ def materializer(spark: SparkSession, fallback_dir: str | None = None):
 
     def materialize(df: DataFrame) -> DataFrame:
         path = f"{base}/t{next(counter):04d}"
-        df.write.mode("errorifexists").parquet(path)
+        write_parquet(df, path, "errorifexists")
         return spark.read.schema(df.schema).parquet(path)
     return materialize
 
 
+# Every write goes to a fresh folder that no reader sees before the pointer
+# names it, so the task outputs may be committed in place (committer v2)
+# and need no _SUCCESS marker: a failed job leaves only an unreferenced folder.
+WRITE_OPTIONS = {"mapreduce.fileoutputcommitter.algorithm.version": "2",
+                 "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).options(**WRITE_OPTIONS).parquet(path)
+
+
 def _jvm_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -109,7 +120,7 @@ class Run:
 
     def _write(self, name: str, df: DataFrame) -> str:
         path = f"{self.root}/{name}/run={self.run_id}"
-        S.conform(df, S.WAREHOUSE_TABLES[name]).write.mode("overwrite").parquet(path)
+        write_parquet(S.conform(df, S.WAREHOUSE_TABLES[name]), path)
         return path
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
