@@ -85,9 +85,11 @@ def read_transactions(spark: SparkSession, path: str | list[str], bad_rows: str
     if bad_rows == "fail":
         return conform_transactions(raw)
     good = conform_transactions(raw.where(F.col(CORRUPT).isNull()))
-    # (a query may not reference the corrupt column alone, so the id comes along)
+    # The CSV reader parses (and so validates) only the columns a query
+    # references, so the quarantine side names every file column.
     bad = raw.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("raw_line"), F.col("trans_id").alias("parsed_trans_id"))
+        F.col(CORRUPT).alias("raw_line"),
+        F.struct(*TX_FILE_SCHEMA.fieldNames()).alias("parsed"))
     return good, bad
 
 
