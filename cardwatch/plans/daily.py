@@ -9,6 +9,7 @@ run publishes nothing, and the day's files may be archived only after
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,35 +42,50 @@ class DayInputs:
 
 def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_ts: str,
             profile: str = "reference", max_gap: str = "60 days", meta_db: str = "wh",
-            meta_table: str = "transactions", work_dir: str | None = None) -> dict:
+            meta_table: str = "transactions", work_dir: str | None = None,
+            parallel: int | None = None) -> dict:
     run = Run(spark, root, run_id)
     mat = materializer(spark, work_dir)
     now = S.ts_lit(run_ts)
     out: dict[str, DataFrame] = {}
 
-    # E1: capture and version the bank dimensions
     meta = run.table("meta")
     wm = cdc.watermark(meta, meta_db, meta_table)      # 1 row, cheap to recompute
-    for name, (key, src_key, columns) in BANK_CAPTURE.items():
+    stg_tx = mat(S.conform(inputs.transactions, S.STG_TRANSACTIONS))
+
+    # E1: capture and version a bank dimension
+    def bank(name):
+        key, src_key, columns = BANK_CAPTURE[name]
         src = getattr(inputs, name)
         hist = run.table(f"hist_{name}")
         stg = mat(cdc.capture_incremental(src, wm, hist, key, columns, now, src_key=src_key))
         keys = cdc.key_snapshot(src, src_key, key)
         new = scd2.apply_day(hist, stg, keys, S.DIMS[name], now, None, profile, materialize=mat)
-        out[f"hist_{name}"] = run.replace(f"hist_{name}", new)
+        return f"hist_{name}", run.replace(f"hist_{name}", new)
 
     # E2: the day's files
-    stg_tx = mat(S.conform(inputs.transactions, S.STG_TRANSACTIONS))
-    day = cdc.day_max(stg_tx)
-    stg_tm = mat(S.conform(inputs.terminals, S.STG_TERMINALS))
-    new_tm = scd2.apply_day(run.table("hist_terminals"), stg_tm, stg_tm.select("terminal_id"),
-                            S.TERMINALS, now, day, profile, materialize=mat)
-    out["hist_terminals"] = run.replace("hist_terminals", new_tm)
-    bl_new = facts.new_facts(run.table("fact_blacklist"), S.conform(inputs.blacklist, S.STG_BLACKLIST),
-                             "passport_num")
-    out["fact_blacklist"] = run.append("fact_blacklist", bl_new)
-    tx_new = facts.new_facts(run.table("fact_transactions"), stg_tx, "trans_id")
-    out["fact_transactions"] = run.append("fact_transactions", tx_new)
+    def terminals():
+        stg_tm = mat(S.conform(inputs.terminals, S.STG_TERMINALS))
+        new_tm = scd2.apply_day(run.table("hist_terminals"), stg_tm, stg_tm.select("terminal_id"),
+                                S.TERMINALS, now, cdc.day_max(stg_tx), profile, materialize=mat)
+        return "hist_terminals", run.replace("hist_terminals", new_tm)
+
+    def blacklist():
+        new = facts.new_facts(run.table("fact_blacklist"),
+                              S.conform(inputs.blacklist, S.STG_BLACKLIST), "passport_num")
+        return "fact_blacklist", run.append("fact_blacklist", new)
+
+    def transactions():
+        new = facts.new_facts(run.table("fact_transactions"), stg_tx, "trans_id")
+        return "fact_transactions", run.append("fact_transactions", new)
+
+    # The tables are independent until the report: their jobs run concurrently
+    # (one driver thread each; Spark schedules the jobs side by side), which
+    # keeps executors busy through the many small delta-sized steps.
+    steps = [lambda n=n: bank(n) for n in BANK_CAPTURE] + [terminals, blacklist, transactions]
+    with ThreadPoolExecutor(max_workers=parallel or len(steps)) as pool:
+        for name, df in pool.map(lambda f: f(), steps):
+            out[name] = df
 
     # E3: the report over the new state, then the watermark
     report = fraud.fraud_report(out["hist_terminals"], out["fact_transactions"], out["hist_cards"],
