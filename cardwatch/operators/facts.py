@@ -13,7 +13,10 @@ def new_facts(fact: DataFrame, stg: DataFrame, key: str) -> DataFrame:
     file are all kept (the match looks at the state before the load);
     a NULL key never matches, so it is always inserted.
     """
-    known = fact.select(key).where(F.col(key).isNotNull()).distinct()
+    # only fact keys that occur in the day's rows matter: the (large) fact
+    # table is semi-joined against the day's keys, not aggregated whole
+    from cardwatch.operators.scd2 import restrict
+    known = restrict(fact.select(key), stg, [key]).distinct()
     return stg.join(known, key, "left_anti").select(*fact.columns)
 
 

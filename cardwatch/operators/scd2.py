@@ -83,6 +83,19 @@ def version_rows(df: DataFrame, dim: Dim, flag, eff_from: Column, eff_to: Column
     return conform(out, dim.schema)
 
 
+def restrict(big: DataFrame, small: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of ``big`` whose ``cols`` occur in ``small`` (semi join; NULLs never match).
+
+    The day's delta is the build side, so when AQE measures it as small the
+    history is streamed past a broadcast instead of being shuffled; when it
+    is not small, a shuffle join is used. Joining against the restricted
+    history gives the same result as against all of it, since rows of
+    other keys can never match.
+    """
+    probe = small.select(*cols).where(" and ".join(f"`{c}` is not null" for c in cols)).distinct()
+    return big.join(probe, cols, "left_semi")
+
+
 def is_open(prefix: str = "") -> Column:
     return F.col(f"{prefix}effective_to") == high()
 
@@ -103,7 +116,7 @@ def version_end(df: DataFrame, key: str, start: str, tie_breakers=(), out: str =
 
 def insert_new(hist: DataFrame, stg: DataFrame, dim: Dim, spec: Spec) -> DataFrame:
     """SCD-1: staged rows whose key has no history row at all (NULL keys included)."""
-    known = hist.select(dim.key).where(F.col(dim.key).isNotNull()).distinct()
+    known = restrict(hist.select(dim.key), stg, [dim.key]).distinct()
     new = stg.join(known, dim.key, "left_anti")
     eff_from = F.col("create_dt") if spec.new_from == "create_dt" else low()
     if spec.new_to == "lead":
@@ -123,13 +136,15 @@ def insert_changed(hist: DataFrame, stg: DataFrame, dim: Dim, match_on: str,
     once per such history row, unless some history row has the same
     ``match_on`` value (a NULL value never matches).
     """
-    t = hist.select(F.col(dim.key).alias("_tk"), *[F.col(a).alias(f"_t_{a}") for a in dim.attrs],
-                    F.col("effective_to").alias("_t_to"))
+    rel = restrict(hist.select(dim.key, *dim.attrs, "effective_to"), stg, [dim.key])
+    t = rel.select(F.col(dim.key).alias("_tk"), *[F.col(a).alias(f"_t_{a}") for a in dim.attrs],
+                   F.col("effective_to").alias("_t_to"))
     s_cols = [F.col(c) for c in stg.columns]
     j = stg.join(t, F.col(dim.key) == F.col("_tk"), "left")
     diff = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_t_{a}")) for a in dim.attrs], F.lit(False))
     using = j.where(F.col("_tk").isNull() | ((F.col("_t_to") == high()) & diff)).select(*s_cols)
-    taken = hist.select(F.col(match_on).alias("_m")).where(F.col("_m").isNotNull()).distinct()
+    taken = (restrict(hist.select(match_on), using, [match_on])
+             .select(F.col(match_on).alias("_m")).distinct())
     new = using.join(taken, F.col(match_on) == F.col("_m"), "left_anti")
     return version_rows(_with_scalars(new, scalars), dim, 0, eff_from, high())
 
@@ -146,8 +161,8 @@ def insert_changed_keyed(hist: DataFrame, stg: DataFrame, dim: Dim, eff_from: Co
     """SCD-4 (keyed): a staged row of a known key with no open, unflagged
     version holding exactly its attributes becomes the new open version.
     ``stg`` must hold one row per key (:func:`dedupe_by_key`)."""
-    known = hist.select(dim.key).where(F.col(dim.key).isNotNull()).distinct()
-    cur = (hist.where(is_open() & (F.col("deleted_flg") == 0))
+    known = restrict(hist.select(dim.key), stg, [dim.key]).distinct()
+    cur = (restrict(hist.where(is_open() & (F.col("deleted_flg") == 0)), stg, [dim.key])
            .select(dim.key, *[F.col(a).alias(f"_t_{a}") for a in dim.attrs]).alias("t"))
     same = reduce(lambda x, y: x & y, [F.col(f"s.{a}").eqNullSafe(F.col(f"t._t_{a}")) for a in dim.attrs],
                   F.col(f"s.{dim.key}") == F.col(f"t.{dim.key}"))
