@@ -143,7 +143,8 @@ def insert_changed(hist: DataFrame, stg: DataFrame, dim: Dim, match_on: str,
     j = stg.join(t, F.col(dim.key) == F.col("_tk"), "left")
     diff = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_t_{a}")) for a in dim.attrs], F.lit(False))
     using = j.where(F.col("_tk").isNull() | ((F.col("_t_to") == high()) & diff)).select(*s_cols)
-    taken = (restrict(hist.select(match_on), using, [match_on])
+    # candidates are staged rows, so the staged values bound the lookup
+    taken = (restrict(hist.select(match_on), stg, [match_on])
              .select(F.col(match_on).alias("_m")).distinct())
     new = using.join(taken, F.col(match_on) == F.col("_m"), "left_anti")
     return version_rows(_with_scalars(new, scalars), dim, 0, eff_from, high())
@@ -308,13 +309,19 @@ def clocks(spec: Spec, run_ts: Column, day_scalars: DataFrame | None):
 
 def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts: Column,
               day_scalars: DataFrame | None = None, profile: str = "reference",
-              stop_after: str = "restore", materialize=lambda df: df) -> DataFrame:
+              stop_after: str = "restore", materialize=None) -> DataFrame:
     """Run the daily steps for one dimension and return its new history.
 
     ``materialize`` cuts lineage of the small deltas and target sets
-    (e.g. ``DataFrame.checkpoint``); the large history is only re-read,
-    and rewritten once by the caller's publish.
+    (default: Parquet tables in the checkpoint folder, see
+    :func:`cardwatch.plans.state.materializer`); the large history is only
+    re-read, and rewritten once by the caller's publish. Each statement
+    reads the result of the previous ones, so without it the plan would
+    grow geometrically with the number of steps.
     """
+    if materialize is None:
+        from cardwatch.plans.state import materializer
+        materialize = materializer(hist.sparkSession)
     spec = spec_for(dim, profile)
     start, end, sc = clocks(spec, run_ts, day_scalars)
     h = hist.unionByName(materialize(insert_new(hist, stg, dim, spec)))
