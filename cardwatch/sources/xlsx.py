@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import io
 import os
+import sys
 import zipfile
 from xml.etree import ElementTree as ET
 
@@ -22,6 +23,15 @@ from pyspark.sql import types as T
 
 from cardwatch.sources.files import blank_to_null
 
+# The task-side functions of this module use only the standard library,
+# pandas and pyspark; shipping them by value means Python workers need no
+# copy of this package (on a cluster it would otherwise go out with --py-files).
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle without the hook
+    pass
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
