@@ -284,8 +284,10 @@ def restore_previous(hist: DataFrame, dim: Dim, eff_from: Column | None, eff_to:
                      scalars: DataFrame | None = None) -> DataFrame:
     """SCD-8: distinct unflagged copies of the flagged rows of keys that pass
     SCD-7; ``effective_from`` kept unless given, ``effective_to`` = ``eff_to``."""
-    keys = first_unique_version_keys(hist, dim.key)
-    rows = hist.where(F.col("deleted_flg") == 1).join(keys, dim.key, "left_semi")
+    flagged = hist.where(F.col("deleted_flg") == 1)
+    # SCD-7 is per key: only keys with a flagged row need their versions counted
+    keys = first_unique_version_keys(restrict(hist, flagged, [dim.key]), dim.key)
+    rows = flagged.join(keys, dim.key, "left_semi")
     frm = F.col("effective_from") if eff_from is None else eff_from
     return version_rows(_with_scalars(rows, scalars), dim, 0, frm, eff_to).distinct()
 
