@@ -16,7 +16,7 @@ def new_facts(fact: DataFrame, stg: DataFrame, key: str) -> DataFrame:
     # only fact keys that occur in the day's rows matter: the (large) fact
     # table is semi-joined against the day's keys, not aggregated whole
     from cardwatch.operators.scd2 import restrict
-    known = restrict(fact.select(key), stg, [key]).distinct()
+    known = restrict(fact.select(key), stg, [key])
     return stg.join(known, key, "left_anti").select(*fact.columns)
 
 

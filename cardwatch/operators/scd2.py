@@ -92,7 +92,8 @@ def restrict(big: DataFrame, small: DataFrame, cols: list[str]) -> DataFrame:
     history gives the same result as against all of it, since rows of
     other keys can never match.
     """
-    probe = small.select(*cols).where(" and ".join(f"`{c}` is not null" for c in cols)).distinct()
+    # (a semi join ignores duplicates on its build side: no distinct needed)
+    probe = small.select(*cols).where(" and ".join(f"`{c}` is not null" for c in cols))
     return big.join(probe, cols, "left_semi")
 
 
@@ -116,7 +117,7 @@ def version_end(df: DataFrame, key: str, start: str, tie_breakers=(), out: str =
 
 def insert_new(hist: DataFrame, stg: DataFrame, dim: Dim, spec: Spec) -> DataFrame:
     """SCD-1: staged rows whose key has no history row at all (NULL keys included)."""
-    known = restrict(hist.select(dim.key), stg, [dim.key]).distinct()
+    known = restrict(hist.select(dim.key), stg, [dim.key])
     new = stg.join(known, dim.key, "left_anti")
     eff_from = F.col("create_dt") if spec.new_from == "create_dt" else low()
     if spec.new_to == "lead":
@@ -144,8 +145,7 @@ def insert_changed(hist: DataFrame, stg: DataFrame, dim: Dim, match_on: str,
     diff = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_t_{a}")) for a in dim.attrs], F.lit(False))
     using = j.where(F.col("_tk").isNull() | ((F.col("_t_to") == high()) & diff)).select(*s_cols)
     # candidates are staged rows, so the staged values bound the lookup
-    taken = (restrict(hist.select(match_on), stg, [match_on])
-             .select(F.col(match_on).alias("_m")).distinct())
+    taken = restrict(hist.select(match_on), stg, [match_on]).select(F.col(match_on).alias("_m"))
     new = using.join(taken, F.col(match_on) == F.col("_m"), "left_anti")
     return version_rows(_with_scalars(new, scalars), dim, 0, eff_from, high())
 
@@ -162,7 +162,7 @@ def insert_changed_keyed(hist: DataFrame, stg: DataFrame, dim: Dim, eff_from: Co
     """SCD-4 (keyed): a staged row of a known key with no open, unflagged
     version holding exactly its attributes becomes the new open version.
     ``stg`` must hold one row per key (:func:`dedupe_by_key`)."""
-    known = restrict(hist.select(dim.key), stg, [dim.key]).distinct()
+    known = restrict(hist.select(dim.key), stg, [dim.key])
     cur = (restrict(hist.where(is_open() & (F.col("deleted_flg") == 0)), stg, [dim.key])
            .select(dim.key, *[F.col(a).alias(f"_t_{a}") for a in dim.attrs]).alias("t"))
     same = reduce(lambda x, y: x & y, [F.col(f"s.{a}").eqNullSafe(F.col(f"t._t_{a}")) for a in dim.attrs],
