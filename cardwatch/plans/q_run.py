@@ -3,6 +3,8 @@ fixture views, run one day through :func:`run_day`, read the result back."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
@@ -15,14 +17,16 @@ from cardwatch.plans.state import Run, read_table, reset
 
 
 def seed_state(fx, root: str) -> dict:
-    """Run "0": the warehouse as it stood before today."""
+    """Run "0": the warehouse as it stood before today (tables written concurrently)."""
     run = Run(fx.spark, root, "0")
-    for d in ("clients", "accounts", "cards", "terminals"):
-        run.replace(f"hist_{d}", fx[f"fx_{d}_hist"])
-    run.append("fact_transactions", fx["fx_transactions_hist"])
-    run.append("fact_blacklist", fx["fx_blacklist_hist"])
-    run.replace("meta", fx["fx_meta"])
-    run.replace("rep_fraud", S.empty(fx.spark, S.REP_FRAUD))
+    writes = [(run.replace, f"hist_{d}", fx[f"fx_{d}_hist"])
+              for d in ("clients", "accounts", "cards", "terminals")]
+    writes += [(run.append, "fact_transactions", fx["fx_transactions_hist"]),
+               (run.append, "fact_blacklist", fx["fx_blacklist_hist"]),
+               (run.replace, "meta", fx["fx_meta"]),
+               (run.replace, "rep_fraud", S.empty(fx.spark, S.REP_FRAUD))]
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        list(pool.map(lambda w: w[0](w[1], w[2]), writes))
     return run.commit()
 
 

@@ -114,8 +114,13 @@ def low() -> Column:
 
 
 def conform(df, schema: T.StructType):
-    """Select ``schema``'s columns by name and cast to its types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Select ``schema``'s columns by name and cast to its types.
+
+    One ``selectExpr`` call (text parsed in the JVM) instead of a Column
+    object per field: the same plan with far fewer driver round trips.
+    """
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields])
 
 
 def empty(spark, schema: T.StructType):
