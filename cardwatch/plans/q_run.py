@@ -36,20 +36,24 @@ def day_inputs(fx) -> DayInputs:
                      blacklist=fx["fx_blacklist_src"], transactions=fx["fx_transactions"])
 
 
-def _after_run_sql() -> str:
+def _after_run_sql(profile: str = "reference") -> str:
     ctes = []
     names = {}
     for d, p in (("clients", "cli_"), ("accounts", "acc_"), ("cards", "crd_"), ("terminals", "trm_")):
-        body, last = q_scd.prefixed(q_scd.reference_sql(d, "restore"), p)
+        dim_sql = (q_scd.reference_sql(d, "restore") if profile == "reference"
+                   else q_scd.keyed_sql(d, "flag_deleted"))
+        body, last = q_scd.prefixed(dim_sql, p)
         ctes.append(body)
         names[d] = last
     ctes.append("""tx_after as (select * from fx_transactions_hist union all select * from fx_transactions s
   where not exists (select 1 from fx_transactions_hist t where t.trans_id = s.trans_id))""")
     ctes.append("""bl_after as (select * from fx_blacklist_hist union all select * from fx_blacklist_src s
   where not exists (select 1 from fx_blacklist_hist t where t.passport_num = s.passport_num))""")
+    keyed = profile == "keyed"
     enrich = q_fraud.state_enrich_sql(names["terminals"], "tx_after", names["cards"],
-                                      names["accounts"], names["clients"], "bl_after")
-    report = q_fraud._report_sql(enrich)          # "with enriched as (...), ... select ..."
+                                      names["accounts"], names["clients"], "bl_after",
+                                      q_fraud.ENRICH_ASOF_SQL if keyed else q_fraud.ENRICH_SQL)
+    report = q_fraud._report_sql(enrich, "60 minute" if keyed else "60 day")
     return "with " + ",\n".join(ctes) + ",\n" + report[len("with "):].lstrip()
 
 
@@ -62,6 +66,16 @@ def run_publish(fx):
     return read_table(fx.spark, root, "rep_fraud")
 
 
+@register("run_publish_keyed", _after_run_sql("keyed"))
+def run_publish_keyed(fx):
+    """E1-E3 in the keyed profile: SCD2 by key, as-of report, 60-minute city hop."""
+    root = scratch(fx.spark, "warehouse")
+    seed_state(fx, root)
+    run_day(fx.spark, root, "1", day_inputs(fx), RUN_TS, profile="keyed", max_gap="60 minutes",
+            work_dir=f"{root}/_work")
+    return read_table(fx.spark, root, "rep_fraud")
+
+
 @register("run_reset", "\nunion all\n".join(
     [f"select '{n}' table_name, 0 n_rows" for n in S.WAREHOUSE_TABLES if n != "meta"]
     + ["select 'meta' table_name, (select count(*) from fx_meta) n_rows"]))
