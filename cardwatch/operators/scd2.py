@@ -18,7 +18,7 @@ history once per run (:func:`apply_day`).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -41,7 +41,6 @@ class Spec:
     clock: str                       # "run" (run time) | "day" (day's latest operation)
     null_safe_close: bool = False
     keyed: bool = False
-    extra: dict = field(default_factory=dict)
 
 
 # What each statement of the daily job matches on.
@@ -71,11 +70,6 @@ def spec_for(dim: Dim, profile: str = "reference") -> Spec:
     raise ValueError(f"unknown profile {profile!r}")
 
 
-def _with_scalars(df: DataFrame, scalars: DataFrame | None) -> DataFrame:
-    # Optional 1-row table whose columns the expressions name: broadcast is size-bounded.
-    return df if scalars is None else df.crossJoin(F.broadcast(scalars))
-
-
 def version_rows(df: DataFrame, dim: Dim, flag, eff_from: Column, eff_to: Column) -> DataFrame:
     """Project staged/history rows to the history schema of ``dim``."""
     out = df.select(dim.key, *dim.attrs, F.lit(flag).cast("int").alias("deleted_flg"),
@@ -131,7 +125,7 @@ def insert_new(hist: DataFrame, stg: DataFrame, dim: Dim, spec: Spec) -> DataFra
 # ---- SCD-4 ----------------------------------------------------------------
 
 def insert_changed(hist: DataFrame, stg: DataFrame, dim: Dim, match_on: str,
-                   eff_from: Column, scalars: DataFrame | None = None) -> DataFrame:
+                   eff_from: Column) -> DataFrame:
     """SCD-4 (reference): a staged row that has no history row, or differs
     (null-safe, any attribute) from an open one, becomes a new version,
     once per such history row, unless some history row has the same
@@ -147,7 +141,7 @@ def insert_changed(hist: DataFrame, stg: DataFrame, dim: Dim, match_on: str,
     # candidates are staged rows, so the staged values bound the lookup
     taken = restrict(hist.select(match_on), stg, [match_on]).select(F.col(match_on).alias("_m"))
     new = using.join(taken, F.col(match_on) == F.col("_m"), "left_anti")
-    return version_rows(_with_scalars(new, scalars), dim, 0, eff_from, high())
+    return version_rows(new, dim, 0, eff_from, high())
 
 
 def dedupe_by_key(stg: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -157,8 +151,7 @@ def dedupe_by_key(stg: DataFrame, key: str, order: list[str]) -> DataFrame:
     return stg.groupBy(key).agg(pick.alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def insert_changed_keyed(hist: DataFrame, stg: DataFrame, dim: Dim, eff_from: Column,
-                         scalars: DataFrame | None = None) -> DataFrame:
+def insert_changed_keyed(hist: DataFrame, stg: DataFrame, dim: Dim, eff_from: Column) -> DataFrame:
     """SCD-4 (keyed): a staged row of a known key with no open, unflagged
     version holding exactly its attributes becomes the new open version.
     ``stg`` must hold one row per key (:func:`dedupe_by_key`)."""
@@ -169,7 +162,7 @@ def insert_changed_keyed(hist: DataFrame, stg: DataFrame, dim: Dim, eff_from: Co
                   F.col(f"s.{dim.key}") == F.col(f"t.{dim.key}"))
     cand = stg.join(known, dim.key, "left_semi").alias("s")
     new = cand.join(cur, same, "left_anti")
-    return version_rows(_with_scalars(new, scalars), dim, 0, eff_from, high())
+    return version_rows(new, dim, 0, eff_from, high())
 
 
 # ---- SCD-5 ----------------------------------------------------------------
@@ -196,14 +189,13 @@ def close_targets(hist: DataFrame, stg: DataFrame, dim: Dim, spec: Spec) -> Data
     return j.where(hit).select(F.col(f"t.{spec.close_on}").alias(spec.close_on)).distinct()
 
 
-def apply_close(hist: DataFrame, targets: DataFrame, spec: Spec, end: Column,
-                scalars: DataFrame | None = None) -> DataFrame:
+def apply_close(hist: DataFrame, targets: DataFrame, spec: Spec, end: Column) -> DataFrame:
     """SCD-5 update: ``effective_to = end`` for every row whose ``close_on``
     value is a target (keyed: open rows only; the caller adds this run's
     new versions after the update)."""
     m = spec.close_on
     tg = targets.where(F.col(m).isNotNull()).select(F.col(m).alias("_c"), F.lit(True).alias("_close"))
-    h = _with_scalars(hist.join(tg, F.col(m) == F.col("_c"), "left"), scalars)
+    h = hist.join(tg, F.col(m) == F.col("_c"), "left")
     hit = F.coalesce(F.col("_close"), F.lit(False))
     if spec.keyed:
         hit = hit & is_open()
@@ -212,8 +204,8 @@ def apply_close(hist: DataFrame, targets: DataFrame, spec: Spec, end: Column,
     return h.select(*cols)
 
 
-def close_versions(hist, stg, dim, spec, end, scalars=None):
-    return apply_close(hist, close_targets(hist, stg, dim, spec), spec, end, scalars)
+def close_versions(hist, stg, dim, spec, end):
+    return apply_close(hist, close_targets(hist, stg, dim, spec), spec, end)
 
 
 # ---- SCD-6 ----------------------------------------------------------------
@@ -228,13 +220,13 @@ def flag_targets(hist: DataFrame, keys: DataFrame, dim: Dim, spec: Spec) -> Data
 
 
 def apply_flag(hist: DataFrame, targets: DataFrame, spec: Spec, set_from: Column | None,
-               set_to: Column, scalars: DataFrame | None = None) -> DataFrame:
+               set_to: Column) -> DataFrame:
     """SCD-6 update (reference): every row sharing a target value gets
     ``deleted_flg = 1``, ``effective_to = set_to`` and, when given,
     ``effective_from = set_from``."""
     m = spec.flag_on
     tg = targets.where(F.col(m).isNotNull()).select(F.col(m).alias("_f"), F.lit(True).alias("_flag"))
-    h = _with_scalars(hist.join(tg, F.col(m) == F.col("_f"), "left"), scalars)
+    h = hist.join(tg, F.col(m) == F.col("_f"), "left")
     hit = F.coalesce(F.col("_flag"), F.lit(False))
     new = {"deleted_flg": F.lit(1), "effective_to": set_to}
     if set_from is not None:
@@ -245,7 +237,7 @@ def apply_flag(hist: DataFrame, targets: DataFrame, spec: Spec, set_from: Column
 
 
 def flag_deleted_keyed(hist: DataFrame, keys: DataFrame, dim: Dim, at: Column,
-                       end: Column, scalars: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                       end: Column) -> tuple[DataFrame, DataFrame]:
     """SCD-6 (keyed): close the open unflagged row of every key missing from
     the snapshot and add a tombstone (flag 1) from ``at`` to 9999-12-31.
     Returns (updated history, tombstones)."""
@@ -253,9 +245,9 @@ def flag_deleted_keyed(hist: DataFrame, keys: DataFrame, dim: Dim, at: Column,
     gone_keys = (hist.where((F.col("deleted_flg") == 0) & is_open())
                  .join(present, dim.key, "left_anti")
                  .where(F.col(dim.key).isNotNull()))
-    tomb = version_rows(_with_scalars(gone_keys, scalars), dim, 1, at, high())
+    tomb = version_rows(gone_keys, dim, 1, at, high())
     g = gone_keys.select(dim.key).distinct().withColumn("_gone", F.lit(True))
-    h = _with_scalars(hist.join(g, dim.key, "left"), scalars)
+    h = hist.join(g, dim.key, "left")
     hit = F.coalesce(F.col("_gone"), F.lit(False)) & is_open() & (F.col("deleted_flg") == 0)
     cols = [F.when(hit, end).otherwise(F.col(c)).cast(TS).alias(c) if c == "effective_to"
             else F.col(c) for c in hist.columns]
@@ -280,8 +272,7 @@ def first_unique_version_keys(hist: DataFrame, key: str) -> DataFrame:
     return first.where(F.col("_first.c") < 2).select(key)
 
 
-def restore_previous(hist: DataFrame, dim: Dim, eff_from: Column | None, eff_to: Column,
-                     scalars: DataFrame | None = None) -> DataFrame:
+def restore_previous(hist: DataFrame, dim: Dim, eff_from: Column | None, eff_to: Column) -> DataFrame:
     """SCD-8: distinct unflagged copies of the flagged rows of keys that pass
     SCD-7; ``effective_from`` kept unless given, ``effective_to`` = ``eff_to``."""
     flagged = hist.where(F.col("deleted_flg") == 1)
@@ -289,7 +280,7 @@ def restore_previous(hist: DataFrame, dim: Dim, eff_from: Column | None, eff_to:
     keys = first_unique_version_keys(restrict(hist, flagged, [dim.key]), dim.key)
     rows = flagged.join(keys, dim.key, "left_semi")
     frm = F.col("effective_from") if eff_from is None else eff_from
-    return version_rows(_with_scalars(rows, scalars), dim, 0, frm, eff_to).distinct()
+    return version_rows(rows, dim, 0, frm, eff_to).distinct()
 
 
 # ---- one dimension, one day -------------------------------------------------
@@ -298,15 +289,15 @@ STEPS = ("insert_new", "insert_changed", "close", "flag_deleted", "restore")
 
 
 def clocks(spec: Spec, run_ts: Column, day_scalars: DataFrame | None):
-    """(start of a new version, end of a closed one, scalars to join).
+    """(start of a new version, end of a closed one).
 
     Terminals run on the day's latest operation time: a 1-row aggregate
     used as a scalar subquery, evaluated once per query.
     """
     if spec.clock == "run":
-        return run_ts, minus_days(run_ts), None
+        return run_ts, minus_days(run_ts)
     day = day_scalars.scalar()
-    return day, minus_days(day), None
+    return day, minus_days(day)
 
 
 def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts: Column,
@@ -325,36 +316,36 @@ def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts
         from cardwatch.plans.state import materializer
         materialize = materializer(hist.sparkSession)
     spec = spec_for(dim, profile)
-    start, end, sc = clocks(spec, run_ts, day_scalars)
+    start, end = clocks(spec, run_ts, day_scalars)
     h = hist.unionByName(materialize(insert_new(hist, stg, dim, spec)))
     if stop_after == "insert_new":
         return h
     if spec.keyed:
         one = dedupe_by_key(stg, dim.key, ["update_dt", "create_dt"]) if "update_dt" in stg.columns else \
             dedupe_by_key(stg, dim.key, [])
-        new = materialize(insert_changed_keyed(h, one, dim, start, sc))
+        new = materialize(insert_changed_keyed(h, one, dim, start))
         targets = materialize(close_targets(h, one, dim, spec))
         if stop_after == "insert_changed":
             return h.unionByName(new)
-        h = apply_close(h, targets, spec, end, sc).unionByName(new)
+        h = apply_close(h, targets, spec, end).unionByName(new)
         if stop_after == "close":
             return h
-        h, tomb = flag_deleted_keyed(h, keys, dim, start, end, sc)
+        h, tomb = flag_deleted_keyed(h, keys, dim, start, end)
         return h.unionByName(materialize(tomb))
     for m in spec.change_match:
-        h = h.unionByName(materialize(insert_changed(h, stg, dim, m, start, sc)))
+        h = h.unionByName(materialize(insert_changed(h, stg, dim, m, start)))
     if stop_after == "insert_changed":
         return h
-    h = apply_close(h, materialize(close_targets(h, stg, dim, spec)), spec, end, sc)
+    h = apply_close(h, materialize(close_targets(h, stg, dim, spec)), spec, end)
     if stop_after == "close":
         return h
     set_from = run_ts if spec.clock == "run" else None
     h = apply_flag(h, materialize(flag_targets(h, keys, dim, spec)), spec, set_from,
-                   high() if spec.clock == "run" else end, sc)
+                   high() if spec.clock == "run" else end)
     if stop_after == "flag_deleted":
         return h
     if spec.clock == "run":
         restored = restore_previous(h, dim, None, end)
     else:
-        restored = restore_previous(h, dim, start, high(), sc)
+        restored = restore_previous(h, dim, start, high())
     return h.unionByName(materialize(restored))

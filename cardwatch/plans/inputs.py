@@ -58,6 +58,3 @@ def staged(fx, dim_name: str):
     # the staging table (SNK-1): written once, read by every step of the day
     return hist, materializer(fx.spark)(stg), cdc.key_snapshot(src, src_key, key), None
 
-
-def staged_terminals_keys(fx):
-    return fx["fx_terminals_src"].select(F.col("terminal_id"))

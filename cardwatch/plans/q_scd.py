@@ -25,10 +25,6 @@ HI = "timestamp '9999-12-31 00:00:00'"
 LO = "timestamp '1900-01-01 00:00:00'"
 DAY = "(select max(trans_date) from fx_transactions)"
 
-STEP_NAMES = {"insert_new": "insert_new", "insert_changed": "insert_changed",
-              "close": "close", "flag_deleted": "flag_deleted", "restore": "restore"}
-
-
 def day_history(fx, dim_name: str, stop_after: str, profile: str = "reference"):
     dim = S.DIMS[dim_name]
     hist, stg, keys, day = staged(fx, dim_name)
