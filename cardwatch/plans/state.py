@@ -1,10 +1,12 @@
 """Warehouse state on Parquet: materialize, publish a run, read, reset (SNK-1..4).
 
 No transactional table format is assumed. A run writes every table it
-changes to ``<root>/<table>/run=<run_id>/`` and then, last, the pointer
-file ``<root>/_current`` naming the run; readers resolve tables through
-the pointer, so a run becomes visible all at once or not at all, and a
-failed run leaves the previous state untouched.
+changes to ``<root>/<table>/run=<run_id>/`` and then, last, a new pointer
+file ``<root>/_pointers/<sequence>.json`` naming the paths of every table.
+Pointer files are never overwritten (created exclusively, so a second
+writer of the same sequence fails) and readers take the highest
+sequence: a run becomes visible all at once or not at all, and a failed
+run leaves the previous state untouched.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cardwatch import schemas as S
 from cardwatch.session import checkpoint_dir
 
-POINTER = "_current"
+POINTERS = "_pointers"
 
 
 def materializer(spark: SparkSession, fallback_dir: str | None = None):
@@ -60,9 +62,9 @@ def _jvm_fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Small control file, written through Hadoop FS (works on any shared store)."""
+    """Small control file, created exclusively through Hadoop FS (any shared store)."""
     fs, p = _jvm_fs(spark, path)
-    out = fs.create(p, True)
+    out = fs.create(p, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
 
@@ -84,9 +86,13 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def current(spark: SparkSession, root: str) -> dict:
-    """The published pointer: {"run_id": ..., "tables": {name: [paths]}}; empty before any run."""
-    text = _read_text(spark, f"{root}/{POINTER}")
-    return json.loads(text) if text else {"run_id": None, "tables": {}}
+    """The published state: {"seq", "run_id", "tables": {name: [paths]}}; empty before any run."""
+    fs, p = _jvm_fs(spark, f"{root}/{POINTERS}")
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p)
+                   if st.getPath().getName().endswith(".json")) if fs.exists(p) else []
+    if not names:
+        return {"seq": 0, "run_id": None, "tables": {}}
+    return json.loads(_read_text(spark, f"{root}/{POINTERS}/{names[-1]}"))
 
 
 def _read_paths(spark: SparkSession, name: str, paths: list[str]) -> DataFrame:
@@ -135,8 +141,11 @@ class Run:
         return _read_paths(self.spark, name, self.paths.get(name, []))
 
     def commit(self) -> dict:
-        state = {"run_id": self.run_id, "previous": self.before.get("run_id"), "tables": self.paths}
-        _write_text(self.spark, f"{self.root}/{POINTER}", json.dumps(state, sort_keys=True))
+        seq = int(self.before.get("seq", 0)) + 1
+        state = {"seq": seq, "run_id": self.run_id, "previous": self.before.get("run_id"),
+                 "tables": self.paths}
+        _write_text(self.spark, f"{self.root}/{POINTERS}/{seq:012d}.json",
+                    json.dumps(state, sort_keys=True))
         return state
 
 
