@@ -77,7 +77,7 @@ def run_publish_keyed(fx):
 
 
 @register("run_reset", "\nunion all\n".join(
-    [f"select '{n}' table_name, 0 n_rows" for n in S.WAREHOUSE_TABLES if n != "meta"]
+    [f"select '{n}' table_name, cast(0 as bigint) n_rows" for n in S.WAREHOUSE_TABLES if n != "meta"]
     + ["select 'meta' table_name, (select count(*) from fx_meta) n_rows"]))
 def run_reset(fx):
     """SNK-4: every table emptied except the watermark, in one publish."""
@@ -86,7 +86,7 @@ def run_reset(fx):
     reset(fx.spark, root, "reset")
     out = None
     for n in S.WAREHOUSE_TABLES:
-        part = read_table(fx.spark, root, n).agg(F.count(F.lit(1)).cast("int").alias("n_rows")) \
+        part = read_table(fx.spark, root, n).agg(F.count(F.lit(1)).alias("n_rows")) \
             .select(F.lit(n).alias("table_name"), "n_rows")
         out = part if out is None else out.unionByName(part)
     return out

@@ -49,16 +49,27 @@ def rows_of_duck(con, sql):
     return cols, sorted(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
 
 
+# Spark type -> DuckDB type name, for the schema part of the comparison
+TYPES = {"StringType()": "VARCHAR", "IntegerType()": "INTEGER", "LongType()": "BIGINT",
+         "TimestampNTZType()": "TIMESTAMP", "BooleanType()": "BOOLEAN",
+         "DecimalType(10,2)": "DECIMAL(10,2)", "DoubleType()": "DOUBLE"}
+
+
 def compare(spark, name, sf_dir, queries, oracle, con=None):
-    """Returns (ok, message)."""
+    """Returns (ok, message): same column names and types, same multiset of rows."""
     con = con or duck_connection(sf_dir)
     sdf = queries[name](spark, sf_dir)
+    stypes = {f.name: TYPES.get(str(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
     scols, srows = rows_of_spark(sdf)
     if name not in oracle:
         return True, f"{name}: {len(srows)} rows (no oracle)"
+    rel = con.sql(oracle[name])
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
     dcols, drows = rows_of_duck(con, oracle[name])
     if scols != dcols:
         return False, f"{name}: columns differ spark={scols} duck={dcols}"
+    if stypes != dtypes:
+        return False, f"{name}: types differ spark={stypes} duck={dtypes}"
     if srows != drows:
         s, d = set(srows), set(drows)
         return False, (f"{name}: rows differ spark={len(srows)} duck={len(drows)}; "
