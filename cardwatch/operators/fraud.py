@@ -169,11 +169,19 @@ EVENT_COLS = ["event_dt", "passport_num", "last_name", "first_name", "patronymic
 
 def report_events(terminals, transactions, cards, accounts, clients, blacklist,
                   stg_transactions, max_gap: str = "60 days", as_of: bool = False,
-                  skew_safe: bool = True) -> DataFrame:
-    """FRD-9: distinct event rows (before the name is assembled), type > 0."""
+                  skew_safe: bool = True, materialize=None) -> DataFrame:
+    """FRD-9: distinct event rows (before the name is assembled), type > 0.
+
+    In the as-of form the enriched rows feed both the next-operation
+    lookup and the last event per passport; ``materialize`` (e.g. a
+    Parquet write in the checkpoint folder) makes them one evaluation of
+    the four version joins instead of two.
+    """
     tx = transactions.select("trans_id", "trans_date", "card_num")
     if as_of:
         enriched = _enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist)
+        if materialize is not None:
+            enriched = materialize(enriched)
         links = enriched.select("card_num", "passport_num", "trans_date")
         last = links.groupBy("passport_num").agg(F.max("trans_date").alias("event_dt"))
     else:
@@ -197,10 +205,10 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
 
 def fraud_report(terminals, transactions, cards, accounts, clients, blacklist,
                  stg_transactions, max_gap: str = "60 days", as_of: bool = False,
-                 skew_safe: bool = True) -> DataFrame:
+                 skew_safe: bool = True, materialize=None) -> DataFrame:
     """FRD-11: rows of the fraud report (columns of ``rep_fraud``)."""
     ev = report_events(terminals, transactions, cards, accounts, clients, blacklist,
-                       stg_transactions, max_gap, as_of, skew_safe)
+                       stg_transactions, max_gap, as_of, skew_safe, materialize)
     return ev.select("event_dt", F.col("passport_num").alias("passport"),
                      full_name("last_name", "first_name", "patronymic").alias("fio"),
                      "phone", F.col("event_type").cast("int").alias("event_type"), "report_dt")

@@ -90,7 +90,8 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
     # E3: the report over the new state, then the watermark
     report = fraud.fraud_report(out["hist_terminals"], out["fact_transactions"], out["hist_cards"],
                                 out["hist_accounts"], out["hist_clients"], out["fact_blacklist"],
-                                stg_tx, max_gap=max_gap, as_of=(profile == "keyed"))
+                                stg_tx, max_gap=max_gap, as_of=(profile == "keyed"),
+                                materialize=mat)
     out["rep_fraud"] = run.append("rep_fraud", report)
     out["meta"] = run.replace("meta", cdc.advance_watermark(meta, stg_tx, meta_db, meta_table))
     state = run.commit()

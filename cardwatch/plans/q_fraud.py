@@ -118,8 +118,9 @@ def fraud_report(fx):
 @register("fraud_report_keyed", _report_sql(ENRICH_ASOF_SQL, "60 minute"))
 def fraud_report_keyed(fx):
     """FRD-11, keyed profile: versions valid at the operation time, 60-minute hop."""
+    from cardwatch.plans.state import materializer
     return frd.fraud_report(**_state(fx), stg_transactions=fx["fx_transactions"],
-                            max_gap="60 minutes", as_of=True)
+                            max_gap="60 minutes", as_of=True, materialize=materializer(fx.spark))
 
 
 _ENRICH_COLS = ("trans_id, trans_date, card_num, terminal, terminal_city, tm_effective_from, client_id, "
