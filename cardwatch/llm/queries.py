@@ -3,16 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licenses, mixing, warc
+from . import decontaminate, fingerprints, licenses, linededup, mixing, neardup, warc
 from ._shared import new_path, table
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc.archive_pages(table(spark, sf_dir, "pages"), new_path(spark, "warc"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents")).withColumn("kept", linededup.spans(F.col("kept")))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -21,10 +39,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_warc, op9_licenses, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_neardup, op5_fingerprints, op6_warc, op8_linededup, op9_licenses, op10_mixing)}
 
 ORACLE = {
+    "op2_decontaminate": decontaminate.ORACLE_SQL,
     "op6_warc": warc.ORACLE_SQL,
+    "op8_linededup": linededup.ORACLE_SQL,
     "op9_licenses": licenses.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL.format(docs="documents"),
 }
