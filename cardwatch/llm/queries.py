@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses, linededup, mixing, neardup, warc
+from . import decontaminate, fingerprints, licenses, linededup, lm, mixing, neardup, toxicity, warc
 from ._shared import new_path, table
 
 
@@ -18,6 +18,11 @@ def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).withColumn("kept", linededup.spans(F.col("kept")))
 
@@ -39,7 +48,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_neardup, op5_fingerprints, op6_warc, op8_linededup, op9_licenses, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_neardup, op4_toxicity, op5_fingerprints, op6_warc, op7_lm, op8_linededup, op9_licenses, op10_mixing)}
 
 ORACLE = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
