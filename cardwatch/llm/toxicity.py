@@ -24,11 +24,12 @@ ship(__name__)
 
 SIZES = (3, 4, 5, 6)      # characters of an n-gram
 BUCKETS_LOG2 = 18
-DIMENSIONS = 8
+DIMENSIONS = 4
 BAG_WORDS = 8
 SAMPLE = 1500             # of each class
 SAMPLE_CHARS = 6000       # only texts up to this length are learnt from; all are scored whole
-EPOCHS = 60
+EPOCHS = 100
+STEP = 1.0                # of Adagrad
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -161,7 +162,7 @@ def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 11) -> Mode
         np.add.at(grad_v, ids[inside], by_text[owner])
         for w, m, g in zip((vectors, softmax, bias), memory, (grad_v, mean.T @ error + 1e-4 * softmax, error.sum(0))):
             m += g * g
-            w -= 0.3 * g / np.sqrt(m)
+            w -= STEP * g / np.sqrt(m)
     return Model((vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
