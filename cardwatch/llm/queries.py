@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses, linededup, lm, mixing, neardup, toxicity, warc
+from . import decontaminate, fingerprints, licenses, linededup, lm, mixing, neardup, pii, toxicity, warc
 from ._shared import new_path, table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -48,7 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_neardup, op4_toxicity, op5_fingerprints, op6_warc, op7_lm, op8_linededup, op9_licenses, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_neardup, op4_toxicity, op5_fingerprints, op6_warc, op7_lm, op8_linededup, op9_licenses, op10_mixing)}
 
 ORACLE = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
