@@ -110,9 +110,9 @@ def _doc_rows(bits, short: list[int], span: int, k: int):
             carried = np.repeat(hit, np.diff(first))
             words = binary_column(h[carried], np.concatenate([[0], np.cumsum(np.where(hit, np.diff(first), 0))]))
             yield pa.RecordBatch.from_arrays(
-                [_numbers(seen, b.num_rows), b.column(0), pa.array(np.diff(first), pa.int64()), words,
+                [_numbers(seen, b.num_rows), b.column(0), b.column(2), pa.array(np.diff(first), pa.int64()), words,
                  _lists(pa.array(fp.view(np.int64)), at), _lists(pa.array((p - of).astype(np.int32)), at)],
-                ["rid", "doc_id", "n_words", "d_hashes", "fps", "ps"])
+                ["rid", "doc_id", "t_hash", "n_words", "d_hashes", "fps", "ps"])
             seen += b.num_rows
     return run
 
@@ -136,7 +136,7 @@ def _extend(span: int):
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", span: int = SPAN, k: int = K) -> tuple[DataFrame, DataFrame]:
-    """(documents, hits): one row per document (rid, doc_id, n_words), and maximal runs (rid, item_id, start, end) in words.
+    """(documents, hits): one row per document (rid, doc_id, t_hash, n_words), and maximal runs (rid, item_id, start, end) in words.
 
     Words are runs of 0-9, a-z (A-Z lower-cased) and characters beyond ASCII. An item of
     fewer than ``span`` words is a single window. Null and empty texts have no words and match
@@ -155,9 +155,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     for r in cells.collect():  # as many rows as the table has words, at most
         table[r["w"]] = np.uint64(r["bits"] & (2 ** 64 - 1))
     bits = spark.sparkContext.broadcast(table)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("t_hash"))
     read = saved(rows.mapInArrow(_doc_rows(bits, sorted(short), span, k),
-                                 "rid long, doc_id long, n_words long, d_hashes binary, fps array<long>, ps array<int>"), "bench-docs")
+                                 "rid long, doc_id long, t_hash long, n_words long, d_hashes binary, fps array<long>, ps array<int>"), "bench-docs")
     seen = (read.filter(F.size("fps") > 0).select("rid", F.explode(F.arrays_zip("fps", "ps")).alias("z"))
             .select("rid", F.col("z.fps").alias("fp"), F.col("z.ps").alias("p")))
     # One row for each diagonal: many hits of one run are one extension.
@@ -171,7 +171,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                        cut(F.col("i_hashes"), start - F.col("shift"), stop - F.col("shift")).alias("iw"), "i_words")
     runs = pairs.mapInArrow(_extend(span), "rid long, iid long, start int, end int")
     hits = runs.join(found.select("iid", F.coalesce("item_id", F.lit("null")).alias("item_id")), "iid")
-    return read.select("rid", "doc_id", "n_words"), hits.select("rid", "item_id", "start", "end")
+    return read.select("rid", "doc_id", "t_hash", "n_words"), hits.select("rid", "item_id", "start", "end")
 
 
 def covered(spans: Column) -> Column:
@@ -182,16 +182,30 @@ def covered(spans: Column) -> Column:
                        lambda acc: acc["n"])
 
 
-def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items (ids as sorted strings), contaminated."""
+def _judged(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     read, hits = contamination(docs, items, **options)
     found = hits.groupBy("rid").agg(covered(F.collect_set(F.struct("start", "end"))).alias("n_hit"),
                                     F.array_sort(F.collect_set("item_id")).alias("items"))
-    out = read.join(found, "rid", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-                      F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-                      ((n_hit > 0) & (n_hit * SHARE >= F.col("n_words"))).alias("contaminated"))
+    return read.join(found, "rid", "left").select(
+        "doc_id", "t_hash", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (n_hit * SHARE >= F.col("n_words"))).alias("contaminated"))
+
+
+def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items (ids as sorted strings), contaminated.
+
+    Options and special cases as in :func:`contamination`; empty tables give no rows or no hits.
+    """
+    return _judged(docs, items, **options).drop("t_hash")
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    bad = _judged(docs, items, id_col=id_col, text_col=text_col, **options).filter("contaminated")
+    bad = saved(bad.select(F.col("doc_id").alias("__of"), F.col("t_hash").alias("__of_hash")).distinct(), "bench-contaminated")
+    named = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text_col}`")))
+    return named.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("__of")) & (F.col("__hash") == F.col("__of_hash")), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE_SQL = rf"""

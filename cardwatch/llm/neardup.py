@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._shared import join_hot, saved, ship
+from ._shared import SPACE_WORD, join_hot, saved, ship
 from ._words import NOT_SPACE, bytes_of, distinct_by_text, mix64, shingles, slices, tokens
 
 ship(__name__)
@@ -213,7 +213,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked with nothing. Repeated rows are documents of one id: all have the same component. Only the two
     named columns are read.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("t_hash"), F.col(f"`{text_col}`").alias("text"))
+    out = _grouped(docs, id_col, text_col, words, percent)
+    return (out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("low.doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, of which no near-duplicate has a smaller id; of repeated rows one.
+
+    Of several texts with the component's smallest id, that of the smallest hash stays. Texts without words all stay.
+    """
+    groups = saved(_grouped(docs, id_col, text_col, words, percent), "dup-groups")
+    lead = groups.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("low.doc_id")) & (F.col("t_hash") == F.col("low.t_hash")))
+    keys = saved(lead.groupBy("doc_id", "t_hash").agg(F.count(F.lit(1)).alias("__n")).withColumnRenamed("doc_id", "__of").withColumnRenamed("t_hash", "__of_hash"), "dup-keys")
+    named = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text_col}`")))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    met = named.join(keys, F.col(f"`{id_col}`").eqNullSafe(F.col("__of")) & (F.col("__hash") == F.col("__of_hash")))
+    out = met.filter("__n = 1").select(*own)
+    if keys.filter("__n > 1").limit(1).count():
+        repeated = [f"`{id_col}`", "__hash"]
+        first = met.filter("__n > 1").groupBy(*repeated).agg(*[F.first(c).alias(f"__{i}") for i, c in enumerate(own)])
+        out = out.unionByName(first.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)]))
+    bare = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(SPACE_WORD)
+    return out.unionByName(docs.filter(~bare))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """(doc_id, t_hash, n_shingles, low) of every row; low: the smallest (no_id, doc_id, t_hash) of its component."""
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("t_hash"), text.alias("text"))
     read = saved(rows.mapInArrow(_sketch_rows(words), "doc_id long, t_hash long, n_shingles long, digest binary, sketch binary"), "dup-sketches")
     rep = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t_hash")
     classes = saved(read.filter("n_shingles > 0").groupBy("digest").agg(
@@ -222,11 +250,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     low = found.join(classes.select(F.col("digest").alias("node"), "rep"), "node")
     low = saved(low.groupBy("root").agg(F.min("rep").alias("rep"), F.count(F.lit(1)).alias("n")), "dup-roots")
     named = saved(join_hot(found, low, "root", "n").select(F.col("node").alias("digest"), F.col("rep").alias("low")), "dup-named")
-    classes = saved(classes.join(named, "digest", "left").select("digest", "n", F.coalesce("low", "rep")["doc_id"].alias("component_id")), "dup-named-classes")
-    out = join_hot(read.filter("n_shingles > 0").select("doc_id", "n_shingles", "digest"), classes, "digest", "n")
-    alone = read.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return (out.select("doc_id", "n_shingles", "component_id").unionByName(alone)
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    classes = saved(classes.join(named, "digest", "left").select("digest", "n", F.coalesce("low", "rep").alias("low")), "dup-named-classes")
+    out = join_hot(read.filter("n_shingles > 0").select("doc_id", "t_hash", "n_shingles", "digest"), classes, "digest", "n")
+    alone = read.filter("n_shingles = 0").select("doc_id", "t_hash", "n_shingles", F.lit(None).cast(classes.schema["low"].dataType).alias("low"))
+    return out.select("doc_id", "t_hash", "n_shingles", "low").unionByName(alone)
 
 
 def _links(classes: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:

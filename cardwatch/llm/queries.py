@@ -52,7 +52,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_neardup, op4_toxicity, op5_fingerprints, op6_warc, op7_lm, op8_linededup, op9_licenses, op10_mixing)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_neardup, op4_toxicity, op5_fingerprints, op6_warc, op7_lm, op8_linededup, op9_licenses, op10_mixing, pipeline)}
 
 ORACLE = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
