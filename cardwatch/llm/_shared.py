@@ -56,6 +56,12 @@ def text_rows(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in columns.items()])
 
 
+def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, t_hash, row): all columns in one struct, so that none can clash with those of a join; ``row.*`` unpacks."""
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("t_hash"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 #: A key is hot if it holds more than this share of all rows; so at most 512 keys are hot.
 HOT_SHARE = 512
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import saved, ship
+from ._shared import packed, saved, ship
 from ._words import LETTERS_DIGITS, binary_column, bytes_of, grams, slices, tokens
 
 ship(__name__)
@@ -203,9 +203,9 @@ def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
     bad = _judged(docs, items, id_col=id_col, text_col=text_col, **options).filter("contaminated")
-    bad = saved(bad.select(F.col("doc_id").alias("__of"), F.col("t_hash").alias("__of_hash")).distinct(), "bench-contaminated")
-    named = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text_col}`")))
-    return named.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("__of")) & (F.col("__hash") == F.col("__of_hash")), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = saved(bad.select(F.col("doc_id").alias("of"), F.col("t_hash").alias("of_hash")).distinct(), "bench-contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("t_hash") == F.col("of_hash"))
+    return packed(docs, id_col, text_col).join(bad, same, "left_anti").select("row.*")
 
 
 ORACLE_SQL = rf"""

@@ -30,7 +30,7 @@ JUNK = r"[!%$#&*|]"
 
 def quality_weight(text: Column) -> Column:
     """1 for clean text, falling with the share of symbols in it, 0.1 at least."""
-    junk = F.regexp_count(text, F.lit(JUNK)) / F.length(text)
+    junk = F.regexp_count(text, F.lit(JUNK)) / F.nullif(F.length(text), F.lit(0))
     return F.coalesce(F.greatest(F.lit(0.1), F.lit(1.0) - F.lit(4.0) * junk), F.lit(0.1))
 
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import join_hot, saved
+from ._shared import join_hot, packed, saved
 
 KEY = "surrogates-1"
 MAX_ATTEMPTS = 12
@@ -52,8 +52,9 @@ PATTERNS = {
     "secret": rf"(?<![A-Za-z]){_SECRET_HEAD}[^\s\"',;]{{6,}}+|(?<![A-Za-z0-9])AKIA[0-9A-Z]{{16}}(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
-    "card": r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d-])",
+    "phone": r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+             r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?:-\d{4}){3}|\d{4}(?: \d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
     "person": rf"(?<!\p{{L}}){_TITLE} {_WORD}(?:[ -]{_WORD}){{0,2}}|(?<!\p{{L}}){_KNOWN} {_WORD}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -264,11 +265,11 @@ def _rendered(kind: Column, raw: Column, sub: Column) -> Column:
 def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", secret: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text_col``, and two more columns: n_entities, entity_kinds (sorted, comma-joined).
 
-    All other columns stay as they are. Null text: null, no entities. Repeated rows get the same text. Null
+    All other columns stay as they are (of those two names, ours replace theirs). Null text: null, no entities. Repeated rows get the same text. Null
     ids are documents like others. Entities are the same over the whole table, whatever document they are in.
     """
-    inner = docs.withColumns({"__t_hash": F.xxhash64(F.col(f"`{text_col}`")), "__id": F.col(f"`{id_col}`"), "__text": F.col(f"`{text_col}`")})
-    small = inner.select(F.col("__id").alias("doc_id"), F.col("__t_hash").alias("t_hash"), F.col("__text").alias("text"))
+    inner = packed(docs, id_col, text_col).withColumn("text", F.col(f"row.`{text_col}`"))
+    small = inner.select("doc_id", "t_hash", "text")
     found = saved(find(small).withColumn("entity", F.concat_ws(":", "kind", "norm")), "pii-found")
     entities = saved(found.groupBy("kind", "norm").agg(F.count(F.lit(1)).alias("n")), "pii-entities")
     subs = assign(entities, secret).join(entities, ["kind", "norm"]).select(F.concat_ws(":", "kind", "norm").alias("entity"), "surrogate", "n")
@@ -284,15 +285,16 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sec
     kind = F.element_at("parts", -1)["kind"]
     hits = hits.select("doc_id", "t_hash", F.struct("place", new.alias("new"), F.when(kind == "surname", "person").otherwise(kind).alias("kind")).alias("h"))
     by_doc = saved(hits.groupBy("doc_id", "t_hash").agg(F.array_sort(F.collect_list("h")).alias("hits")), "pii-documents")
-    by_doc = by_doc.select(F.col("doc_id").alias("__of"), F.col("t_hash").alias("__of_hash"), F.col("hits").alias("__hits"))
-    joined = inner.join(by_doc, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__t_hash") == F.col("__of_hash")), "left")
+    by_doc = by_doc.select(F.col("doc_id").alias("of"), F.col("t_hash").alias("of_hash"), "hits")
+    joined = inner.join(by_doc, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("t_hash") == F.col("of_hash")), "left")
     # what lies between the matches, and the matches, each of them replaced or as it was
-    touched = F.col("__hits").isNotNull()
-    places = F.map_from_arrays(F.col("__hits.place"), F.col("__hits.new"))
-    joined = joined.withColumns({"__between": F.split(F.when(touched, F.col("__text")), PATTERN, -1),
-                                 "__was": F.regexp_extract_all(F.when(touched, F.col("__text")), F.lit(PATTERN), F.lit(0)), "__now": F.when(touched, places)})
-    now = F.transform("__was", lambda w, i: F.coalesce(F.element_at("__now", i), w))
-    text = F.when(touched, F.array_join(F.zip_with("__between", F.concat(now, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")).otherwise(F.col("__text"))
-    return joined.select(*[(text.alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns],
-                         F.coalesce(F.size("__hits"), F.lit(0)).cast("long").alias("n_entities"),
-                         F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.col("__hits.kind"))), ","), F.lit("")).alias("entity_kinds"))
+    touched = F.col("hits").isNotNull()
+    places = F.map_from_arrays(F.col("hits.place"), F.col("hits.new"))
+    joined = joined.withColumns({"between": F.split(F.when(touched, F.col("text")), PATTERN, -1),
+                                 "was": F.regexp_extract_all(F.when(touched, F.col("text")), F.lit(PATTERN), F.lit(0)), "now": F.when(touched, places)})
+    now = F.transform("was", lambda w, i: F.coalesce(F.element_at("now", i), w))
+    text = F.when(touched, F.array_join(F.zip_with("between", F.concat(now, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")).otherwise(F.col("text"))
+    own = [c for c in docs.columns if c not in ("n_entities", "entity_kinds")]
+    return joined.select(*[(text if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in own],
+                         F.coalesce(F.size("hits"), F.lit(0)).cast("long").alias("n_entities"),
+                         F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.col("hits.kind"))), ","), F.lit("")).alias("entity_kinds"))
