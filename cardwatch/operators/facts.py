@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def new_facts(fact: DataFrame, stg: DataFrame, key: str) -> DataFrame:
+def new_facts(fact: DataFrame, stg: DataFrame, key: str, keep=()) -> DataFrame:
     """Staged rows whose business key is not in the fact table yet.
 
     Changes to existing keys are ignored; duplicates inside the day's
     file are all kept (the match looks at the state before the load);
-    a NULL key never matches, so it is always inserted.
+    a NULL key never matches, so it is always inserted. ``keep``: staged
+    columns to pass on besides those of the fact table.
     """
     # only fact keys that occur in the day's rows matter: the (large) fact
     # table is semi-joined against the day's keys, not aggregated whole
     from cardwatch.operators.scd2 import restrict
     known = restrict(fact.select(key), stg, [key])
-    return stg.join(known, key, "left_anti").select(*fact.columns)
+    return stg.join(known, key, "left_anti").select(*fact.columns, *keep)
 
 
 def insert_fact(fact: DataFrame, stg: DataFrame, key: str) -> DataFrame:

@@ -68,7 +68,7 @@ def enrich(terminals: DataFrame, transactions: DataFrame, cards: DataFrame,
     """FRD-1: one row per operation and combination of dimension versions.
 
     ``as_of=True`` keeps only the version of each dimension that was valid
-    at the operation time (``effective_from <= trans_date <= effective_to``).
+    at the operation time (``effective_from <= trans_date < effective_to``).
     """
     if as_of:
         return _enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist)
@@ -81,7 +81,7 @@ def enrich(terminals: DataFrame, transactions: DataFrame, cards: DataFrame,
 
 
 def _valid_at(ts: Column, frm: Column, to: Column) -> Column:
-    return (frm <= ts) & (ts <= to)
+    return (frm <= ts) & (ts < to)
 
 
 def _enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist):
@@ -119,16 +119,20 @@ def rule_closed(df: DataFrame) -> Column:
     return F.col("deleted_flg") == 1
 
 
-def with_next_operation(df: DataFrame, skew_safe: bool = True,
-                        tx: DataFrame | None = None) -> DataFrame:
+def with_next_operation(df: DataFrame, skew_safe: bool = True, tx: DataFrame | None = None,
+                        profiles: DataFrame | None = None) -> DataFrame:
     """Adds ``next_terminal_city`` and ``next_trans_date`` of the same card.
 
-    ``tx`` (the operations before the fan-out join) gives the per-card
-    statistics that decide which cards are hot, from a cheap partial
-    aggregate instead of the enriched rows.
+    ``tx`` (the operations before the fan-out join) gives the rows per card
+    that decide which cards are hot, from a cheap partial aggregate instead
+    of the enriched rows; ``profiles`` multiplies them by the card's profile rows.
     """
     from cardwatch.operators.sequence import key_stats, lead_columns
-    stats = key_stats(tx, ["card_num"], "trans_date") if tx is not None else None
+    stats = key_stats(tx, ["card_num"]) if tx is not None else None
+    if stats is not None and profiles is not None:
+        fan = key_stats(profiles, ["card_num"]).withColumnRenamed("_n", "_fan")
+        key = stats.columns[0]
+        stats = stats.join(fan, key, "left").select(key, (F.col("_n") * F.coalesce("_fan", F.lit(1))).alias("_n"))
     return lead_columns(df, ["card_num"], LEAD_ORDER, ["terminal_city", "trans_date"],
                         skew_safe=skew_safe, stats=stats)
 
@@ -177,7 +181,7 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
     Parquet write in the checkpoint folder) makes them one evaluation of
     the four version joins instead of two.
     """
-    tx = transactions.select("trans_id", "trans_date", "card_num")
+    tx, prof = transactions.select("trans_id", "trans_date", "card_num"), None
     if as_of:
         enriched = _enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist)
         if materialize is not None:
@@ -189,7 +193,7 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
         prof = card_profiles(cards, accounts, clients, blacklist)
         enriched = tx.join(prof, "card_num", "left")
         last = last_event_by_passport(tx, prof)
-    seq = with_next_operation(enriched, skew_safe=skew_safe, tx=tx)
+    seq = with_next_operation(enriched, skew_safe=skew_safe, tx=tx, profiles=prof)
     events = (seq.select(*[c for c in seq.columns if c not in ("event_type",)],
                          event_type(seq, max_gap).alias("event_type"))
               .where(F.col("event_type") > 0))

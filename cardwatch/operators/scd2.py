@@ -39,7 +39,6 @@ class Spec:
     close_guarded: tuple[str, ...]   # arms of the SCD-5 finder guarded by "open"
     flag_on: str                     # SCD-6 match column
     clock: str                       # "run" (run time) | "day" (day's latest operation)
-    null_safe_close: bool = False
     keyed: bool = False
 
 
@@ -58,7 +57,7 @@ REFERENCE = {
 
 def _keyed(spec: Spec, key: str, attrs) -> Spec:
     return Spec(spec.new_from, "high", (key,), key, tuple(attrs), key, spec.clock,
-                null_safe_close=True, keyed=True)
+                keyed=True)
 
 
 def spec_for(dim: Dim, profile: str = "reference") -> Spec:
@@ -139,7 +138,8 @@ def insert_changed(hist: DataFrame, stg: DataFrame, dim: Dim, match_on: str,
     diff = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_t_{a}")) for a in dim.attrs], F.lit(False))
     using = j.where(F.col("_tk").isNull() | ((F.col("_t_to") == high()) & diff)).select(*s_cols)
     # candidates are staged rows, so the staged values bound the lookup
-    taken = restrict(hist.select(match_on), stg, [match_on]).select(F.col(match_on).alias("_m"))
+    # (distinct: many history rows may share one value, and an anti join's right side is not split)
+    taken = restrict(hist.select(match_on), stg, [match_on]).distinct().select(F.col(match_on).alias("_m"))
     new = using.join(taken, F.col(match_on) == F.col("_m"), "left_anti")
     return version_rows(new, dim, 0, eff_from, high())
 
@@ -169,43 +169,44 @@ def insert_changed_keyed(hist: DataFrame, stg: DataFrame, dim: Dim, eff_from: Co
 
 def close_targets(hist: DataFrame, stg: DataFrame, dim: Dim, spec: Spec) -> DataFrame:
     """SCD-5 finder: distinct ``close_on`` values of history rows whose key is
-    staged with different attributes. Reference: plain ``<>`` (NULL never
-    differs) and only the arms in ``close_guarded`` require an open row.
-    Keyed: null-safe, open unflagged-or-flagged rows only, by key.
+    staged with different attributes: plain ``<>`` (NULL never differs), and
+    only the arms in ``close_guarded`` require an open row (keyed: :func:`close_keyed`).
     """
     t = hist.alias("t")
     s = stg.select(dim.key, *dim.attrs).alias("s")
     arms = []
     for a in dim.attrs:
-        arm = (~F.col(f"t.{a}").eqNullSafe(F.col(f"s.{a}")) if spec.null_safe_close
-               else F.col(f"t.{a}") != F.col(f"s.{a}"))
+        arm = F.col(f"t.{a}") != F.col(f"s.{a}")
         if a in spec.close_guarded:
             arm = is_open("t.") & arm
         arms.append(arm)
     hit = reduce(or_, arms, F.lit(False))
-    if spec.keyed:  # a re-appearing key also closes its open tombstone
-        hit = is_open("t.") & (hit | (F.col("t.deleted_flg") == 1))
     j = t.join(s, F.col(f"t.{dim.key}") == F.col(f"s.{dim.key}"), "inner")
     return j.where(hit).select(F.col(f"t.{spec.close_on}").alias(spec.close_on)).distinct()
 
 
 def apply_close(hist: DataFrame, targets: DataFrame, spec: Spec, end: Column) -> DataFrame:
-    """SCD-5 update: ``effective_to = end`` for every row whose ``close_on``
-    value is a target (keyed: open rows only; the caller adds this run's
-    new versions after the update)."""
+    """SCD-5 update: ``effective_to = end`` for every row whose ``close_on`` value is a target."""
     m = spec.close_on
     tg = targets.where(F.col(m).isNotNull()).select(F.col(m).alias("_c"), F.lit(True).alias("_close"))
     h = hist.join(tg, F.col(m) == F.col("_c"), "left")
     hit = F.coalesce(F.col("_close"), F.lit(False))
-    if spec.keyed:
-        hit = hit & is_open()
     cols = [F.when(hit, end).otherwise(F.col("effective_to")).cast(TS).alias(c) if c == "effective_to"
             else F.col(c) for c in hist.columns]
     return h.select(*cols)
 
 
-def close_versions(hist, stg, dim, spec, end):
-    return apply_close(hist, close_targets(hist, stg, dim, spec), spec, end)
+def close_keyed(hist: DataFrame, stg: DataFrame, dim: Dim, end: Column) -> DataFrame:
+    """SCD-5 (keyed): end every open row of a staged key that differs (null-safe)
+    from the staged row or is a tombstone; an open row equal to it stays open.
+    ``stg`` must hold one row per key."""
+    s = stg.where(F.col(dim.key).isNotNull()).select(
+        F.col(dim.key).alias("_k"), *[F.col(a).alias(f"_s_{a}") for a in dim.attrs])
+    diff = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_s_{a}")) for a in dim.attrs], F.col("deleted_flg") == 1)
+    hit = F.col("_k").isNotNull() & is_open() & diff
+    h = hist.join(s, F.col(dim.key) == F.col("_k"), "left")
+    return h.select(*[F.when(hit, end).otherwise(F.col(c)).cast(TS).alias(c) if c == "effective_to"
+                      else F.col(c) for c in hist.columns])
 
 
 # ---- SCD-6 ----------------------------------------------------------------
@@ -292,12 +293,12 @@ def clocks(spec: Spec, run_ts: Column, day_scalars: DataFrame | None):
     """(start of a new version, end of a closed one).
 
     Terminals run on the day's latest operation time: a 1-row aggregate
-    used as a scalar subquery, evaluated once per query.
+    used as a scalar subquery, evaluated once per query. Keyed versions are
+    half-open: one ends where the next one starts, so every moment after the
+    first start belongs to exactly one version. The reference ends a day before.
     """
-    if spec.clock == "run":
-        return run_ts, minus_days(run_ts)
-    day = day_scalars.scalar()
-    return day, minus_days(day)
+    start = run_ts if spec.clock == "run" else day_scalars.scalar()
+    return start, (start if spec.keyed else minus_days(start))
 
 
 def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts: Column,
@@ -317,17 +318,17 @@ def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts
         materialize = materializer(hist.sparkSession)
     spec = spec_for(dim, profile)
     start, end = clocks(spec, run_ts, day_scalars)
+    if spec.keyed:      # one row per key from the first step on; rows without a key are no entity
+        order = ["update_dt", "create_dt"] if "update_dt" in stg.columns else []
+        stg = materialize(dedupe_by_key(stg.where(F.col(dim.key).isNotNull()), dim.key, order))
     h = hist.unionByName(materialize(insert_new(hist, stg, dim, spec)))
     if stop_after == "insert_new":
         return h
     if spec.keyed:
-        one = dedupe_by_key(stg, dim.key, ["update_dt", "create_dt"]) if "update_dt" in stg.columns else \
-            dedupe_by_key(stg, dim.key, [])
-        new = materialize(insert_changed_keyed(h, one, dim, start))
-        targets = materialize(close_targets(h, one, dim, spec))
+        new = materialize(insert_changed_keyed(h, stg, dim, start))
         if stop_after == "insert_changed":
             return h.unionByName(new)
-        h = apply_close(h, targets, spec, end).unionByName(new)
+        h = close_keyed(h, stg, dim, end).unionByName(new)
         if stop_after == "close":
             return h
         h, tomb = flag_deleted_keyed(h, keys, dim, start, end)

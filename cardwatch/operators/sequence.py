@@ -3,13 +3,14 @@
 ``lead(x) over (partition by k order by o)`` needs every row of ``k`` in
 one task; when a single key holds a large share of all rows (an unknown
 card, a test terminal) that task holds that share. Here a key with more
-than ``hot_rows`` rows is split into ``ceil(n / hot_rows)`` time buckets
-of its first order column (equal width between its own min and max; the
-bucket is a pure function of the row, so any recomputation after a lost
-executor gives the same buckets). The lead is taken per (key, bucket);
-the last row of each bucket then takes the first row of the next
+than ``hot_rows`` rows is split into buckets of its first order column
+with about equally many rows each (its own quantiles, so bursts and
+outliers do not matter; they are saved once, so any recomputation after
+a lost executor gives the same buckets). The lead is taken per (key,
+bucket); the last row of each bucket then takes the first row of the next
 non-empty bucket of the same key. Keys below the threshold keep one
-bucket and never reach the fix-up.
+bucket and never reach the fix-up. Rows of one key with the very same
+value, or NULL, in the first order column stay together.
 
 The ordering must be total on the columns that matter (add tie-breakers):
 rows that tie on ``order_by`` may come out in any order.
@@ -35,7 +36,7 @@ def _position(df: DataFrame, col: str):
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return F.unix_micros(F.col(col).cast("timestamp"))
     if isinstance(dtype, T.NumericType):
-        return F.col(col).cast("double")
+        return F.col(col)
     raise TypeError(f"first order column {col} must be a timestamp, date or number, not {dtype}")
 
 
@@ -48,12 +49,45 @@ def _sort_struct(order_by, values):
     return F.struct(*fields)
 
 
-def key_stats(df: DataFrame, partition_by: list[str], first_order: str) -> DataFrame:
-    """Rows, first and last position per key: a partial aggregate (map-side combined)."""
-    pos = _position(df, first_order)
-    return (df.select(F.struct(*partition_by).alias(_KEY), pos.alias(_POS))
-            .groupBy(_KEY).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_lo"),
-                               F.max(_POS).alias("_hi")))
+def key_stats(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows per key: a partial aggregate (map-side combined)."""
+    return df.select(F.struct(*partition_by).alias(_KEY)).groupBy(_KEY).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _chunks(df: DataFrame, partition_by: list[str], order_by: list[str], hot_rows: int | None,
+            stats: DataFrame | None) -> DataFrame | None:
+    """``df`` with its key, bucket and whether the key is hot; None if no key is hot."""
+    hot_rows = int(hot_rows or df.sparkSession.conf.get("cardwatch.lead.hotRows",
+                                                        str(DEFAULT_HOT_ROWS)))
+    stats = stats if stats is not None else key_stats(df, partition_by)
+    # Hot keys: at most total_rows / hot_rows of them.
+    hot = stats.where(F.col("_n") > hot_rows).select(_KEY, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_b"))
+    n_hot, parts = hot.agg(F.count(F.lit(1)), F.max("_b")).first()
+    if n_hot == 0:
+        return None
+    parts = max(parts, 2)
+    # A struct is never NULL and compares NULL fields as equal, so one plain
+    # equi-key serves the window, the bucket table and the fix-up join; the
+    # join then reuses the window's hash partitioning for the big side.
+    keyed = df.select("*", F.struct(*partition_by).alias(_KEY), _position(df, order_by[0]).alias(_POS))
+    # Quantiles of the hot keys alone, saved: every later use sees the same bounds.
+    from cardwatch.plans.state import materializer
+    bounds = (keyed.select(_KEY, _POS).join(hot, _KEY, "left_semi").groupBy(_KEY)
+              .agg(F.percentile_approx(_POS, [i / parts for i in range(1, parts)], max(10_000, 20 * parts)).alias("_bounds")))
+    bounds = materializer(df.sparkSession)(bounds)
+    if n_hot <= BROADCAST_HOT_KEYS:      # checked size: broadcast; else a shuffle join
+        bounds = F.broadcast(bounds)
+    bucket = (F.when(F.col("_hot").isNull(), F.lit(0))
+              .when(F.col(_POS).isNull(), F.lit(parts))         # NULLS LAST
+              .otherwise(F.size(F.filter(F.coalesce("_bounds", F.array().cast(T.ArrayType(bounds.schema["_bounds"].dataType.elementType))), lambda x: x < F.col(_POS))))).cast("long")
+    return (keyed.join(bounds.withColumn("_hot", F.lit(True)), _KEY, "left")
+               .select(*df.columns, _KEY, bucket.alias(_BUCKET), F.col("_hot").isNotNull().alias("_hot")))
+
+
+def bucket_sizes(df: DataFrame, partition_by: list[str], order_by: list[str], hot_rows: int) -> list[int]:
+    """Rows of each bucket of the hot keys, as :func:`lead_columns` would make them (for tests and tuning)."""
+    chunked = _chunks(df, partition_by, order_by, hot_rows, None)
+    return [r[0] for r in chunked.where("_hot").groupBy(_KEY, _BUCKET).agg(F.count(F.lit(1)).alias("n")).select("n").collect()] if chunked else []
 
 
 def lead_columns(df: DataFrame, partition_by: list[str], order_by: list[str],
@@ -62,7 +96,7 @@ def lead_columns(df: DataFrame, partition_by: list[str], order_by: list[str],
     """Add ``prefix + v`` = ``lead(v)`` over (partition_by, order_by ASC NULLS LAST).
 
     ``stats`` (from :func:`key_stats`, possibly over a cheaper input with the
-    same keys and first order column, e.g. the facts before a fan-out join)
+    same keys, e.g. the facts before a fan-out join, times that fan-out)
     tells which keys are hot. Their number is checked on the driver (one
     count): with no hot key the plain window is used, which keeps an
     existing partitioning on the key and adds no stage; otherwise hot keys
@@ -74,31 +108,9 @@ def lead_columns(df: DataFrame, partition_by: list[str], order_by: list[str],
         w = Window.partitionBy(*partition_by).orderBy(*order)
         return df.select("*", *[F.lead(v).over(w).alias(prefix + v) for v in values])
 
-    if not skew_safe:
-        return plain()
-    hot_rows = int(hot_rows or df.sparkSession.conf.get("cardwatch.lead.hotRows",
-                                                        str(DEFAULT_HOT_ROWS)))
-    stats = stats if stats is not None else key_stats(df, partition_by, order_by[0])
-    # Hot keys: at most total_rows / hot_rows of them.
-    hot = (stats.where(F.col("_n") > hot_rows)
-           .select(_KEY, F.ceil(F.col("_n") / hot_rows).alias("_b"), "_lo", "_hi"))
-    n_hot = hot.count()
-    if n_hot == 0:
+    chunked = _chunks(df, partition_by, order_by, hot_rows, stats) if skew_safe else None
+    if chunked is None:
         return plain()
-    if n_hot <= BROADCAST_HOT_KEYS:      # checked size: broadcast; else a shuffle join
-        hot = F.broadcast(hot)
-    # A struct is never NULL and compares NULL fields as equal, so one plain
-    # equi-key serves the window, the bucket table and the fix-up join; the
-    # join then reuses the window's hash partitioning for the big side.
-    keyed = df.select("*", F.struct(*partition_by).alias(_KEY), _position(df, order_by[0]).alias(_POS))
-    span = (F.col("_hi") - F.col("_lo")).cast("double") + 1.0
-    bucket = (F.when(F.col("_b").isNull(), F.lit(0))
-              .when(F.col(_POS).isNull(), F.col("_b"))          # NULLS LAST
-              .otherwise(F.least(F.floor((F.col(_POS) - F.col("_lo")) / span * F.col("_b")),
-                                 F.col("_b") - 1))).cast("long")
-    chunked = (keyed.join(hot, _KEY, "left")
-               .select(*df.columns, _KEY, bucket.alias(_BUCKET), F.col("_b").isNotNull().alias("_hot")))
-
     w = Window.partitionBy(_KEY, _BUCKET).orderBy(*order)
     local = chunked.select(
         "*", *[F.lead(v).over(w).alias(prefix + v) for v in values],

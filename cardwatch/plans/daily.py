@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cardwatch import schemas as S
 from cardwatch.operators import cdc, facts, fraud, scd2
 from cardwatch.plans.state import Run, materializer
+from cardwatch.sources.files import conform_bank
 
 # Staging column <- source column of the bank tables.
 BANK_CAPTURE = {
@@ -56,7 +57,8 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
     # E1: capture and version a bank dimension
     def bank(name):
         key, src_key, columns = BANK_CAPTURE[name]
-        src = getattr(inputs, name)
+        # read the source once: capture, key snapshot and history see the same rows
+        src = mat(conform_bank(getattr(inputs, name), name))
         hist = run.table(f"hist_{name}")
         stg = mat(cdc.capture_incremental(src, wm, hist, key, columns, now, src_key=src_key))
         keys = cdc.key_snapshot(src, src_key, key)
@@ -71,8 +73,8 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
         return "hist_terminals", run.replace("hist_terminals", new_tm)
 
     def blacklist():
-        new = facts.new_facts(run.table("fact_blacklist"),
-                              S.conform(inputs.blacklist, S.STG_BLACKLIST), "passport_num")
+        stg_bl = mat(S.conform(inputs.blacklist, S.STG_BLACKLIST))
+        new = facts.new_facts(run.table("fact_blacklist"), stg_bl, "passport_num")
         return "fact_blacklist", run.append("fact_blacklist", new)
 
     def transactions():

@@ -4,12 +4,14 @@ The daily files are located by date in their names (SRC-5), read by the
 Spark readers, the run is published (``run_day``), and only after the
 commit are the files moved to the archive folder with a ``.backup``
 suffix (SRC-6). A failed run therefore leaves its files in the inbox to
-be retried, and the published state unchanged.
+be retried, and the published state unchanged. Running a date again
+replaces it; a file that an earlier attempt has archived is read there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,18 @@ def archive_files(spark: SparkSession, paths: list[str], archive_dir: str) -> li
     return moved
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def locate(spark: SparkSession, inbox: str, archive_dir: str, kind: str, business_date) -> str:
+    """The day's file in the inbox, or in the archive if an earlier attempt moved it."""
+    path = files.daily_path(inbox, kind, business_date)
+    moved = f"{archive_dir.rstrip('/')}/{path.rsplit('/', 1)[1]}.backup"
+    return moved if not _exists(spark, path) and _exists(spark, moved) else path
+
+
 def run_business_day(spark: SparkSession, root: str, inbox: str, archive_dir: str,
                      business_date: dt.date | str, bank: dict[str, DataFrame],
                      run_ts: str | None = None, profile: str = "reference",
@@ -43,7 +57,7 @@ def run_business_day(spark: SparkSession, root: str, inbox: str, archive_dir: st
     ``clients``, ``accounts``, ``cards`` (e.g. from :func:`files.read_bank`)."""
     if isinstance(business_date, str):
         business_date = dt.date.fromisoformat(business_date)
-    paths = {k: files.daily_path(inbox, k, business_date) for k in files.FILE_PATTERNS}
+    paths = {k: locate(spark, inbox, archive_dir, k, business_date) for k in files.FILE_PATTERNS}
     tx = files.read_transactions(spark, paths["transactions"], bad_rows=bad_rows)
     quarantined = None
     if bad_rows == "quarantine":
@@ -54,11 +68,13 @@ def run_business_day(spark: SparkSession, root: str, inbox: str, archive_dir: st
                        transactions=tx)
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0).isoformat(sep=" ")
     run_id = business_date.strftime("%Y%m%d")
-    result = run_day(spark, root, run_id, inputs, run_ts, profile=profile, max_gap=max_gap)
+    result = run_day(spark, root, run_id, inputs, run_ts, profile=profile, max_gap=max_gap,
+                     work_dir=f"{root.rstrip('/')}/_work")
     if quarantined is not None:     # kept next to the warehouse: the inbox file is about to move
-        qpath = f"{root.rstrip('/')}/_quarantine/run={run_id}"
+        qpath = f"{root.rstrip('/')}/_quarantine/run={run_id}/attempt={uuid.uuid4().hex}"
         write_parquet(quarantined, qpath)
         quarantined = spark.read.parquet(qpath)
-    result["archived"] = archive_files(spark, list(paths.values()), archive_dir)
+    result["archived"] = archive_files(
+        spark, [p for p in paths.values() if not p.endswith(".backup")], archive_dir)
     result["quarantined"] = quarantined
     return result

@@ -58,16 +58,22 @@ select 'null_date', (select coalesce(last_update_dt, {LO}) from
                      where table_db = 'wh' and table_name = 'transactions')
 union all
 select 'no_row', (select coalesce(last_update_dt, {LO}) from fx_meta
-                  where table_db = 'wh' and table_name = 'no such table')""")
+                  where table_db = 'wh' and table_name = 'no such table')
+union all
+select 'after_load', (select max(trans_date) from fx_transactions_hist)""")
 def cdc_watermark_cases(fx):
-    """CDC-1: watermark with a dated row, a NULL-dated row, and no row."""
+    """CDC-1: watermark with a dated row, a NULL-dated row, no row, and the row that the
+    loaded facts leave behind."""
     meta = fx["fx_meta"]
     null_meta = meta.withColumn("last_update_dt", F.lit(None).cast("timestamp_ntz"))
     return (cdc.watermark(meta, "wh", "transactions").select(F.lit("date").alias("meta_case"), "watermark")
             .unionByName(cdc.watermark(null_meta, "wh", "transactions")
                          .select(F.lit("null_date").alias("meta_case"), "watermark"))
             .unionByName(cdc.watermark(meta, "wh", "no such table")
-                         .select(F.lit("no_row").alias("meta_case"), "watermark")))
+                         .select(F.lit("no_row").alias("meta_case"), "watermark"))
+            .unionByName(cdc.watermark(cdc.advance_watermark(meta, fx["fx_transactions_hist"], "wh", "transactions"),
+                                       "wh", "transactions")
+                         .select(F.lit("after_load").alias("meta_case"), "watermark")))
 
 
 @register("cdc_key_snapshot", """

@@ -49,13 +49,13 @@ enriched as (
          coalesce(c.passport_num in (select passport_num from fx_blacklist_src), false) blacklisted
   from fx_terminals_hist tm
   join fx_transactions t on tm.terminal_id = t.terminal
-       and t.trans_date between tm.effective_from and tm.effective_to
+       and t.trans_date >= tm.effective_from and t.trans_date < tm.effective_to
   left join fx_cards_hist cd on t.card_num = cd.card_num
-       and t.trans_date between cd.effective_from and cd.effective_to
+       and t.trans_date >= cd.effective_from and t.trans_date < cd.effective_to
   left join fx_accounts_hist a on cd.account_num = a.account_num
-       and t.trans_date between a.effective_from and a.effective_to
+       and t.trans_date >= a.effective_from and t.trans_date < a.effective_to
   left join fx_clients_hist c on a.client = c.client_id
-       and t.trans_date between c.effective_from and c.effective_to
+       and t.trans_date >= c.effective_from and t.trans_date < c.effective_to
 )"""
 
 

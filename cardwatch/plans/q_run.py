@@ -76,6 +76,27 @@ def run_publish_keyed(fx):
     return read_table(fx.spark, root, "rep_fraud")
 
 
+@register("run_rerun", _after_run_sql())
+def run_rerun(fx):
+    """SNK-2/3: the same business date run twice publishes what one run does."""
+    root = scratch(fx.spark, "warehouse")
+    seed_state(fx, root)
+    for _ in range(2):
+        run_day(fx.spark, root, "1", day_inputs(fx), RUN_TS, work_dir=f"{root}/_work")
+    return read_table(fx.spark, root, "rep_fraud")
+
+
+@register("run_rerun_keyed", _after_run_sql("keyed"))
+def run_rerun_keyed(fx):
+    """SNK-2/3, keyed profile: the same business date run twice publishes what one run does."""
+    root = scratch(fx.spark, "warehouse")
+    seed_state(fx, root)
+    for _ in range(2):
+        run_day(fx.spark, root, "1", day_inputs(fx), RUN_TS, profile="keyed", max_gap="60 minutes",
+                work_dir=f"{root}/_work")
+    return read_table(fx.spark, root, "rep_fraud")
+
+
 @register("run_reset", "\nunion all\n".join(
     [f"select '{n}' table_name, cast(0 as bigint) n_rows" for n in S.WAREHOUSE_TABLES if n != "meta"]
     + ["select 'meta' table_name, (select count(*) from fx_meta) n_rows"]))

@@ -125,7 +125,7 @@ def keyed_sql(dim_name: str, stop_after: str) -> str:
     k, attrs = dim.key, dim.attrs
     bank = spec.clock == "run"
     start = RUN if bank else DAY
-    end = f"{start} - interval 1 day"
+    end = start         # half-open versions
     eff_from = "s.create_dt" if spec.new_from == "create_dt" else LO
     by = ("update_dt", "create_dt", *attrs) if bank else attrs
     order = ", ".join(f"{c} desc nulls last" for c in by)
@@ -135,7 +135,7 @@ def keyed_sql(dim_name: str, stop_after: str) -> str:
     ctes = [f"stg as ({_stg_sql(dim_name)})", f"keys as ({KEYS_SQL[dim_name]})",
             f"h0 as materialized (select * from fx_{dim_name}_hist)", one,
             f"""n1 as (select {_cols(dim, 's.')}, 0 deleted_flg, {eff_from} effective_from, {HI} effective_to
-  from stg s where not exists (select 1 from h0 t where t.{k} = s.{k}))""",
+  from one s where not exists (select 1 from h0 t where t.{k} = s.{k}))""",
             "h1 as materialized (select * from h0 union all select * from n1)"]
     last = "h1"
     if stop_after != "insert_new":
@@ -145,14 +145,12 @@ def keyed_sql(dim_name: str, stop_after: str) -> str:
     and not exists (select 1 from h1 t where t.{k} = s.{k} and t.effective_to = {HI}
                     and t.deleted_flg = 0 and {same}))""")
         diff = " or ".join(f"t.{a} is distinct from s.{a}" for a in attrs)
-        ctes.append(f"""ct as (select distinct t.{k} from h1 t join one s on t.{k} = s.{k}
-  where t.effective_to = {HI} and (({diff}) or t.deleted_flg = 1))""")
         if stop_after == "insert_changed":
             ctes.append("h2 as (select * from h1 union all select * from n2)")
         else:
-            ctes.append(f"""h2 as materialized (select {_cols(dim)}, deleted_flg, effective_from,
-  case when {k} in (select {k} from ct) and effective_to = {HI} then {end} else effective_to end effective_to
-  from h1 union all select * from n2)""")
+            ctes.append(f"""h2 as materialized (select {_cols(dim, 't.')}, t.deleted_flg, t.effective_from,
+  case when s.{k} is not null and t.effective_to = {HI} and (t.deleted_flg = 1 or {diff}) then {end} else t.effective_to end effective_to
+  from h1 t left join one s on t.{k} = s.{k} union all select * from n2)""")
         last = "h2"
     if stop_after in ("flag_deleted", "restore"):
         ctes.append(f"""gone as (select * from {last} t where t.deleted_flg = 0 and t.effective_to = {HI}

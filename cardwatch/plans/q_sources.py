@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import functions as F
 
 from cardwatch.catalog import register
+from cardwatch.plans.state import publish, read_table
 from cardwatch.session import checkpoint_dir
 from cardwatch.sources import files, xlsx
 from cardwatch.streaming.daily_files import load_transactions_stream
@@ -18,13 +18,8 @@ TX_SECONDS = ("select trans_id, date_trunc('second', trans_date) trans_date, amt
 
 
 def scratch(spark, what: str) -> str:
-    """A fresh folder below the session's checkpoint folder (local path form)."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, f"cardwatch-{what}-{uuid.uuid4().hex[:12]}")
-    os.makedirs(path, exist_ok=True)
-    return path
+    """A fresh folder name below the session's checkpoint folder, on whatever storage that is."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/cardwatch-{what}-{uuid.uuid4().hex[:12]}"
 
 
 def _tx_text(df, bad=None):
@@ -57,13 +52,22 @@ def src_bad_rows(fx):
     return good
 
 
+@register("src_bad_rows_quarantined", "select trans_id from fx_transactions where cast(trans_id as bigint) % 50 = 0")
+def src_bad_rows_quarantined(fx):
+    """SRC-7, the other side: the raw lines of the rows that do not load."""
+    path = scratch(fx.spark, "badtx") + "/transactions_31012024.txt"
+    (_tx_text(fx["fx_transactions"], F.col("trans_id").cast("bigint") % 50 == 0)
+     .write.option("sep", ";").option("header", True).csv(path))
+    _good, bad = files.read_transactions(fx.spark, path, bad_rows="quarantine")
+    return bad.select(F.split("raw_line", ";")[0].alias("trans_id"))
+
+
 @register("src_terminals_xlsx", "select * from fx_terminals_src")
 def src_terminals_xlsx(fx):
     """SRC-2: terminals written as workbooks (sheet 'terminals'), read back by position."""
     folder = scratch(fx.spark, "xlsx-terminals")
-    written = xlsx.write_sheets(fx["fx_terminals_src"].repartition(3), folder, "terminals", "terminals")
-    paths = [r.path for r in written.collect()]      # one row per written file
-    return xlsx.read_terminals(fx.spark, paths)
+    xlsx.write_sheets(fx["fx_terminals_src"], folder, "terminals", rows_per_book=200)
+    return xlsx.read_terminals(fx.spark, folder)
 
 
 @register("src_blacklist_xlsx", "select entry_dt, passport_num from fx_blacklist_src")
@@ -78,23 +82,21 @@ def src_blacklist_xlsx(fx):
     as_text = bl.where(~even).select(F.date_format("entry_dt", "yyyy-MM-dd HH:mm:ss").alias("date"),
                                      "passport_num")
     folder = scratch(fx.spark, "xlsx-blacklist")
-    paths = [r.path for r in xlsx.write_sheets(as_number.repartition(2), folder, "blacklist", "num").collect()]
-    paths += [r.path for r in xlsx.write_sheets(as_text.repartition(2), folder, "blacklist", "txt").collect()]
-    return xlsx.read_blacklist(fx.spark, paths)
+    xlsx.write_sheets(as_number, folder, "blacklist")
+    xlsx.write_sheets(as_text, folder, "blacklist")
+    return xlsx.read_blacklist(fx.spark, folder)
 
 
 @register("src_stream_daily_files", "select * from fx_transactions_hist union all " + TX_SECONDS.format(
     src="fx_transactions s where not exists "
         "(select 1 from fx_transactions_hist t where t.trans_id = s.trans_id)"))
 def src_stream_daily_files(fx):
-    """SRC-5/6 + FCT-1: day files arriving in an inbox, streamed into the facts."""
+    """SRC-5/6 + FCT-1: day files arriving in an inbox, landed by the stream, loaded in one run."""
     spark = fx.spark
     root = scratch(spark, "stream")
-    fact_path, inbox = f"{root}/fact_transactions", f"{root}/inbox"
-    fx["fx_transactions_hist"].write.parquet(fact_path)
+    inbox = f"{root}/inbox"
+    publish(spark, f"{root}/wh", "0", append={"fact_transactions": fx["fx_transactions_hist"]})
     # the day's operations arrive as several files
     _tx_text(fx["fx_transactions"]).repartition(4).write.option("sep", ";").option("header", True).csv(inbox)
-    q = load_transactions_stream(spark, inbox, fact_path, f"{root}/_checkpoint",
-                                 archive_dir=f"{root}/archive", max_files_per_batch=2)
-    q.awaitTermination()
-    return spark.read.parquet(fact_path)
+    load_transactions_stream(spark, f"{root}/wh", inbox, f"{root}/work", f"{root}/archive", max_files_per_batch=2)
+    return read_table(spark, f"{root}/wh", "fact_transactions")

@@ -1,12 +1,17 @@
 """Warehouse state on Parquet: materialize, publish a run, read, reset (SNK-1..4).
 
 No transactional table format is assumed. A run writes every table it
-changes to ``<root>/<table>/run=<run_id>/`` and then, last, a new pointer
+changes to ``<root>/<table>/run=<run_id>/attempt=<unique>/`` (never to a
+folder that exists) and then, last, a new pointer
 file ``<root>/_pointers/<sequence>.json`` naming the paths of every table.
 Pointer files are never overwritten (created exclusively, so a second
 writer of the same sequence fails) and readers take the highest
 sequence: a run becomes visible all at once or not at all, and a failed
 run leaves the previous state untouched.
+
+A pointer also keeps the state that its run started from. Running the
+last published run id again starts from there and replaces what that run
+had published: the same date twice gives the same state as once.
 """
 
 from __future__ import annotations
@@ -38,20 +43,14 @@ def materializer(spark: SparkSession, fallback_dir: str | None = None):
 
     def materialize(df: DataFrame) -> DataFrame:
         path = f"{base}/t{next(counter):04d}"
-        write_parquet(df, path, "errorifexists")
+        write_parquet(df, path)
         return spark.read.schema(df.schema).parquet(path)
     return materialize
 
 
-# Every write goes to a fresh folder that no reader sees before the pointer
-# names it, so the task outputs may be committed in place (committer v2)
-# and need no _SUCCESS marker: a failed job leaves only an unreferenced folder.
-WRITE_OPTIONS = {"mapreduce.fileoutputcommitter.algorithm.version": "2",
-                 "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
-
-
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**WRITE_OPTIONS).parquet(path)
+def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Every write goes to a fresh folder, with the default (task-atomic) committer."""
+    df.write.mode(mode).parquet(path)
 
 
 def _jvm_fs(spark: SparkSession, path: str):
@@ -91,7 +90,7 @@ def current(spark: SparkSession, root: str) -> dict:
     names = sorted(st.getPath().getName() for st in fs.listStatus(p)
                    if st.getPath().getName().endswith(".json")) if fs.exists(p) else []
     if not names:
-        return {"seq": 0, "run_id": None, "tables": {}}
+        return {"seq": 0, "run_id": None, "tables": {}, "base": {}, "runs": []}
     return json.loads(_read_text(spark, f"{root}/{POINTERS}/{names[-1]}"))
 
 
@@ -121,11 +120,19 @@ class Run:
 
     def __init__(self, spark: SparkSession, root: str, run_id: str):
         self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
+        self.attempt = uuid.uuid4().hex
         self.before = current(spark, self.root)
-        self.paths = {k: list(v) for k, v in self.before["tables"].items()}
+        if self.before["run_id"] == run_id:       # a rerun replaces what the run published
+            self.base = self.before["base"]
+        elif run_id in self.before["runs"]:
+            raise ValueError(f"run {run_id} was published and later runs build on it; "
+                             f"only the last one ({self.before['run_id']}) can be run again")
+        else:
+            self.base = self.before["tables"]
+        self.paths = {k: list(v) for k, v in self.base.items()}
 
     def _write(self, name: str, df: DataFrame) -> str:
-        path = f"{self.root}/{name}/run={self.run_id}"
+        path = f"{self.root}/{name}/run={self.run_id}/attempt={self.attempt}"
         write_parquet(S.conform(df, S.WAREHOUSE_TABLES[name]), path)
         return path
 
@@ -140,24 +147,44 @@ class Run:
     def table(self, name: str) -> DataFrame:
         return _read_paths(self.spark, name, self.paths.get(name, []))
 
-    def commit(self) -> dict:
-        seq = int(self.before.get("seq", 0)) + 1
-        state = {"seq": seq, "run_id": self.run_id, "previous": self.before.get("run_id"),
-                 "tables": self.paths}
+    def commit(self, forget_runs: bool = False) -> dict:
+        seq = int(self.before["seq"]) + 1
+        runs = [] if forget_runs else [r for r in self.before["runs"] if r != self.run_id]
+        state = {"seq": seq, "run_id": self.run_id, "previous": self.before["run_id"],
+                 "tables": self.paths, "base": self.base, "runs": [*runs, self.run_id]}
         _write_text(self.spark, f"{self.root}/{POINTERS}/{seq:012d}.json",
                     json.dumps(state, sort_keys=True))
         return state
 
 
+def remove_superseded(spark: SparkSession, root: str) -> list[str]:
+    """Retention, called explicitly: delete attempts that neither the published
+    state nor the state its run started from refers to (older snapshots, failed
+    and replaced attempts). Not while a run is under way. Returns the folders."""
+    now, removed = current(spark, root), []
+    used = {p.rstrip("/").split("/run=")[1] + "|" + n
+            for tables in (now["tables"], now["base"]) for n, ps in tables.items() for p in ps}
+    for name in S.WAREHOUSE_TABLES:
+        fs, p = _jvm_fs(spark, f"{root.rstrip('/')}/{name}")
+        for run in (fs.listStatus(p) if fs.exists(p) else []):
+            for attempt in fs.listStatus(run.getPath()):
+                path = attempt.getPath()
+                key = f"{run.getPath().getName()[len('run='):]}/{path.getName()}|{name}"
+                if key not in used:
+                    fs.delete(path, True)
+                    removed.append(path.toString())
+    return removed
+
+
 def publish(spark: SparkSession, root: str, run_id: str, replace: dict[str, DataFrame] | None = None,
-            append: dict[str, DataFrame] | None = None) -> dict:
+            append: dict[str, DataFrame] | None = None, forget_runs: bool = False) -> dict:
     """SNK-3: write every table of the run, then switch the pointer once."""
     run = Run(spark, root, run_id)
     for name, df in (replace or {}).items():
         run.replace(name, df)
     for name, df in (append or {}).items():
         run.append(name, df)
-    return run.commit()
+    return run.commit(forget_runs)
 
 
 def reset(spark: SparkSession, root: str, run_id: str, keep=("meta",)) -> dict:
@@ -167,4 +194,4 @@ def reset(spark: SparkSession, root: str, run_id: str, keep=("meta",)) -> dict:
     capture still starts from the old high-water mark.
     """
     return publish(spark, root, run_id, replace={
-        n: S.empty(spark, sc) for n, sc in S.WAREHOUSE_TABLES.items() if n not in keep})
+        n: S.empty(spark, sc) for n, sc in S.WAREHOUSE_TABLES.items() if n not in keep}, forget_runs=True)

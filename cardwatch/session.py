@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,19 +33,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder for intermediate tables, on storage that all executors share.
 
-    Only where the session leaves it unset (local tests) is ``fallback``
-    (or a fresh scratch folder) installed.
+    ``folder`` if given; else the session's ``spark.checkpoint.dir``. Only a
+    local session without either gets a folder of this machine.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
+    if folder:
         if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = fallback or tempfile.mkdtemp(prefix="cardwatch-ckpt-")
-    os.makedirs(path, exist_ok=True) if "://" not in path else None
-    sc.setCheckpointDir(path)
-    return path
+            sc.setCheckpointDir(folder)
+        return folder
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir (or pass work_dir): a folder that driver and executors share")
+        current = tempfile.mkdtemp(prefix="cardwatch-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current

@@ -61,16 +61,20 @@ def transactions_reader(spark: SparkSession, bad_rows: str = "fail"):
             .option("columnNameOfCorruptRecord", CORRUPT))
 
 
-def conform_transactions(raw: DataFrame) -> DataFrame:
+def staging_columns() -> list:
     """File columns -> staging schema; blank text -> NULL, padded card numbers trimmed."""
-    return raw.select(
+    return [
         blank_to_null("trans_id").alias("trans_id"),
         F.col("transaction_date").alias("trans_date"),
         F.col("amount").alias("amt"),
         F.rtrim(blank_to_null("card_num")).alias("card_num"),
         blank_to_null("oper_type").alias("oper_type"),
         blank_to_null("oper_result").alias("oper_result"),
-        blank_to_null("terminal").alias("terminal"))
+        blank_to_null("terminal").alias("terminal")]
+
+
+def conform_transactions(raw: DataFrame) -> DataFrame:
+    return raw.select(*staging_columns())
 
 
 def read_transactions(spark: SparkSession, path: str | list[str], bad_rows: str = "fail"):
@@ -84,25 +88,17 @@ def read_transactions(spark: SparkSession, path: str | list[str], bad_rows: str
     raw = transactions_reader(spark, bad_rows).csv(paths)
     if bad_rows == "fail":
         return conform_transactions(raw)
-    good = conform_transactions(raw.where(F.col(CORRUPT).isNull()))
-    # The CSV reader parses (and so validates) only the columns a query
-    # references, so the quarantine side names every file column.
-    bad = raw.where(F.col(CORRUPT).isNotNull()).select(
+    # The CSV reader parses, and so validates, only the columns that a query
+    # names. A filter that needs every column (and that nothing can simplify away)
+    # makes each projection, a plain count included, see the same bad rows.
+    parsed = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in TX_FILE_SCHEMA.fieldNames()])) >= 0
+    good = conform_transactions(raw.where(F.col(CORRUPT).isNull() & parsed))
+    bad = raw.where(F.col(CORRUPT).isNotNull() & parsed).select(
         F.col(CORRUPT).alias("raw_line"),
         F.struct(*TX_FILE_SCHEMA.fieldNames()).alias("parsed"))
     return good, bad
 
 
-def write_transactions(df: DataFrame, path: str) -> None:
-    """Writes staging-shaped rows as the daily text file format (tests, replays)."""
-    out = df.select(
-        "trans_id",
-        F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),
-        F.regexp_replace(F.col("amt").cast("string"), r"\.", ",").alias("amount"),
-        "card_num", "oper_type", "oper_result", "terminal")
-    out.write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
-
-
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  partition_column: str | None = None, lower_bound=None, upper_bound=None,
                  num_partitions: int | None = None, fetch_size: int = 10000, **extra) -> dict:
@@ -124,7 +120,14 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
 BANK_SCHEMAS = {"clients": S.SRC_CLIENTS, "accounts": S.SRC_ACCOUNTS, "cards": S.SRC_CARDS}
 
 
+def conform_bank(df: DataFrame, table: str) -> DataFrame:
+    """A bank table in its schema: text right-trimmed (``CHAR(n)`` columns arrive
+    padded, the day's files do not), blank text NULL."""
+    df = S.conform(df, BANK_SCHEMAS[table])
+    return df.select(*[F.when(F.rtrim(f.name) != "", F.rtrim(f.name)).alias(f.name)
+                       if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema])
+
+
 def read_bank(spark: SparkSession, table: str, options: dict) -> DataFrame:
     """SRC-1: one operational table; the change-capture filter is pushed to the database."""
-    df = spark.read.format("jdbc").options(**options).load()
-    return S.conform(df, BANK_SCHEMAS[table])
+    return conform_bank(spark.read.format("jdbc").options(**options).load(), table)

@@ -11,7 +11,6 @@ Cells come out as text plus a type letter (``n`` number, ``s`` text,
 from __future__ import annotations
 
 import io
-import os
 import sys
 import zipfile
 from xml.etree import ElementTree as ET
@@ -48,13 +47,18 @@ def _col_index(ref: str) -> int:
 
 
 def _text(el) -> str:
-    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
+    """Text of a string item: its own ``t`` and those of its rich-text runs; phonetic runs are not part of it."""
+    item = el.find("m:is", _NS) if el.find("m:is", _NS) is not None else el
+    return "".join(t.text or "" for t in [*item.findall("m:t", _NS), *item.findall("m:r/m:t", _NS)])
 
 
 def sheet_rows(data: bytes, sheet: str, ncols: int):
     """Yield (row_number, [text]*ncols, [type]*ncols) for every non-empty row of ``sheet``."""
     zf = zipfile.ZipFile(io.BytesIO(data))
     wb = ET.fromstring(zf.read("xl/workbook.xml"))
+    properties = wb.find("m:workbookPr", _NS)
+    # day numbers of a workbook with the 1904 date system get a letter of their own
+    number = "m" if properties is not None and properties.get("date1904") in ("1", "true") else "n"
     rid = None
     for s in wb.iter(f"{{{_NS['m']}}}sheet"):
         if s.get("name") == sheet:
@@ -92,7 +96,7 @@ def sheet_rows(data: bytes, sheet: str, ncols: int):
             elif t == "d":
                 vals[j], kinds[j] = v.text, "d"
             else:
-                vals[j], kinds[j] = v.text, "n"
+                vals[j], kinds[j] = v.text, number
         if any(x is not None for x in vals):
             yield int(row.get("r", 0)), vals, kinds
 
@@ -125,12 +129,14 @@ def read_sheet(spark: SparkSession, paths, sheet: str, ncols: int, header: bool
 
 def excel_time(value: str, kind: str):
     """A cell as a zone-free timestamp: Excel serial day numbers (days since
-    1899-12-30) or text such as ``2021-03-01`` / ``2021-03-01 10:11:12``."""
+    1899-12-30, or since 1904-01-01 in a workbook that says so) or text such as ``2021-03-01`` / ``2021-03-01 10:11:12``."""
     serial = F.col(value).cast("double")
     from_serial = F.expr(
         f"timestampadd(MICROSECOND, cast(round(cast(`{value}` as double) * 86400000000) as bigint), "
         "TIMESTAMP_NTZ'1899-12-30 00:00:00')")
+    days_1904 = F.expr("interval 1462 days")
     return (F.when(F.col(kind) == "n", F.when(serial.isNotNull(), from_serial))
+            .when(F.col(kind) == "m", F.when(serial.isNotNull(), from_serial + days_1904))
             .otherwise(F.expr(f"try_cast(`{value}` as timestamp_ntz)")))
 
 
@@ -206,24 +212,25 @@ def workbook_bytes(sheet: str, header: list[str], rows) -> bytes:
     return buf.getvalue()
 
 
-def write_sheets(df: DataFrame, folder: str, sheet: str, stem: str) -> DataFrame:
-    """Each partition of ``df`` becomes one workbook ``<stem>-<partition>.xlsx`` in
-    ``folder`` (a path every executor can write, e.g. a mounted shared store).
-    Returns (path, rows) per written file."""
+def write_sheets(df: DataFrame, folder: str, sheet: str, rows_per_book: int = 50_000) -> None:
+    """Fixture writer: workbooks of at most ``rows_per_book`` rows each, added to ``folder``.
+
+    A workbook is one value of Spark's text writer (bytes pass through it
+    unchanged, readers of zip files ignore the line end after them), so any
+    storage that Spark can write will do and a retried task leaves nothing behind.
+    """
     header = df.columns
 
-    def write(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
+    def books(batches):
         rows = []
         for pdf in batches:
-            rows += [[None if pd.isna(v) else v for v in r] for r in pdf.itertuples(index=False)]
-        out = pd.DataFrame({"path": pd.Series(dtype=str), "rows": pd.Series(dtype="int64")})
+            for r in pdf.itertuples(index=False):
+                rows.append([None if pd.isna(v) else v for v in r])
+                if len(rows) == rows_per_book:
+                    yield pd.DataFrame({"content": [workbook_bytes(sheet, header, rows)]})
+                    rows = []
         if rows:
-            path = os.path.join(folder, f"{stem}-{pid:05d}.xlsx")
-            with open(path, "wb") as fh:
-                fh.write(workbook_bytes(sheet, header, rows))
-            out = pd.DataFrame({"path": [path], "rows": [len(rows)]})
-        yield out
-    os.makedirs(folder, exist_ok=True)
-    return df.mapInPandas(write, "path string, rows long")
+            yield pd.DataFrame({"content": [workbook_bytes(sheet, header, rows)]})
+
+    (df.mapInPandas(books, "content binary").select(F.col("content").cast("string").alias("value"))
+     .write.mode("append").option("maxRecordsPerFile", 1).text(folder))

@@ -1,44 +1,79 @@
 """Daily files as a stream (SRC-5, SRC-6 with FCT-1).
 
 New transaction files in an inbox folder are picked up by a Structured
-Streaming file source; each micro-batch is inserted into the fact table
-with the insert-only rule (anti join on ``trans_id`` against the facts
-as they are now), so a replayed batch after a failure adds nothing
-twice. The checkpoint, not the file move, guarantees a file is read
-once; with ``archive_dir`` Spark also moves processed files there.
+Streaming file source and only *landed*: each micro-batch is written to a
+folder of its own, and a replayed batch overwrites its folder. When the
+stream has caught up, what has landed since the last load goes into the
+facts in one published run (:class:`cardwatch.plans.state.Run`), by the
+insert-only rule applied day by day: a key counts as known if the facts or
+an earlier day's file have it, and rows of one day are all kept. So the
+rows depend on the files alone, not on how they were split into batches,
+and a failure at any point loads nothing twice. Files are archived last.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cardwatch import schemas as S
 from cardwatch.operators.facts import new_facts
-from cardwatch.sources.files import TX_FILE_SCHEMA, conform_transactions
+from cardwatch.plans.job import _exists, archive_files
+from cardwatch.plans.state import Run, current
+from cardwatch.sources.files import TX_FILE_SCHEMA, staging_columns
 
+RUN_PREFIX = "stream-"
 
-def transaction_stream(spark: SparkSession, inbox: str, archive_dir: str | None = None,
-                       max_files_per_batch: int | None = None) -> DataFrame:
+
+def transaction_stream(spark: SparkSession, inbox: str, max_files_per_batch: int | None = None) -> DataFrame:
+    """Staging columns plus the source file and the day in its name (yyyyMMdd; empty if it has none)."""
     reader = (spark.readStream.schema(TX_FILE_SCHEMA)
               .option("sep", ";").option("header", True).option("enforceSchema", True)
               .option("locale", "de-DE").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
               .option("mode", "FAILFAST"))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return conform_transactions(reader.csv(inbox))
+    raw = reader.csv(inbox).withColumn("source_file", F.col("_metadata.file_path"))
+    name = F.element_at(F.split("source_file", "/"), -1)
+    day = F.regexp_replace(F.regexp_extract(name, r"_(\d{8})\.", 1), r"^(\d\d)(\d\d)(\d{4})$", "$3$2$1")
+    return raw.select(*staging_columns(), day.alias("day"), "source_file")
+
 
+def land_transactions(spark: SparkSession, inbox: str, landing: str, checkpoint: str,
+                      max_files_per_batch: int | None = None) -> None:
+    """Read all new files of the inbox into ``landing/batch=<id>/``; returns when caught up."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{landing}/batch={batch_id:012d}")
 
-def load_transactions_stream(spark: SparkSession, inbox: str, fact_path: str, checkpoint: str,
-                             archive_dir: str | None = None, max_files_per_batch: int | None = None,
-                             available_now: bool = True):
-    """Start the stream; returns the ``StreamingQuery`` (``availableNow``: stops when caught up)."""
-    stream = transaction_stream(spark, inbox, archive_dir, max_files_per_batch)
+    (transaction_stream(spark, inbox, max_files_per_batch).writeStream.foreachBatch(land)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        facts = batch.sparkSession.read.parquet(fact_path)
-        new_facts(facts, batch, "trans_id").write.mode("append").parquet(fact_path)
 
-    w = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+def load_transactions_stream(spark: SparkSession, root: str, inbox: str, work: str,
+                             archive_dir: str | None = None, max_files_per_batch: int | None = None) -> dict | None:
+    """Land the inbox, load what was landed since the last load into ``fact_transactions``, archive the files.
+
+    ``work``: folder of the stream's checkpoint and landing zone. Returns the
+    published state, or None if there was nothing new.
+    """
+    landing = f"{work}/landing"
+    land_transactions(spark, inbox, landing, f"{work}/checkpoint", max_files_per_batch)
+    if not _exists(spark, landing):
+        return None
+    loaded = [int(r[len(RUN_PREFIX):]) for r in current(spark, root)["runs"] if r.startswith(RUN_PREFIX)]
+    fresh = spark.read.parquet(landing).filter(F.col("batch").cast("long") > max(loaded, default=-1))
+    last = fresh.agg(F.max(F.col("batch").cast("long"))).first()[0]
+    if last is None:
+        return None
+    run = Run(spark, root, f"{RUN_PREFIX}{last}")
+    rows = new_facts(run.table("fact_transactions"), fresh.select(*S.STG_TRANSACTIONS.fieldNames(), "day"),
+                     "trans_id", keep=["day"])
+    # of a key in the files of several days the first day's rows; a NULL key is always new
+    first = rows.filter("trans_id is not null").groupBy("trans_id").agg(F.min("day").alias("first_day"))
+    rows = rows.join(first, "trans_id", "left").filter("first_day is null or day = first_day").drop("day", "first_day")
+    run.append("fact_transactions", rows)
+    state = run.commit()
+    if archive_dir:
+        done = [r[0] for r in fresh.select("source_file").distinct().collect()]     # one row per file
+        archive_files(spark, [p for p in done if _exists(spark, p)], archive_dir)
+    return state

@@ -41,3 +41,7 @@ def test_business_day_from_inbox(spark, scratch):
     assert os.listdir(inbox) == []
     assert state.read_table(spark, root, "fact_blacklist").count() == 1
     assert out["state"]["run_id"] == "20210301"
+    # the same date again, its files already archived: the same state, once
+    before = {n: sorted(map(repr, state.read_table(spark, root, n).collect())) for n in S.WAREHOUSE_TABLES}
+    run_business_day(spark, root, inbox, archive, "2021-03-01", bank, run_ts="2021-03-02 03:36:00")
+    assert {n: sorted(map(repr, state.read_table(spark, root, n).collect())) for n in S.WAREHOUSE_TABLES} == before

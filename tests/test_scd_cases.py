@@ -78,15 +78,16 @@ def test_keyed_profile_is_proper_scd2(spark):
     run = S.ts_lit(RUN)
     out = scd2.apply_day(hist, stg, keys, S.CLIENTS, run, profile="keyed")
     assert _rows(out) == sorted([
-        ("c1", "Ivanov", "ph1", 0, OLD, CLOSED),
+        ("c1", "Ivanov", "ph1", 0, OLD, RUN_TS),
         ("c1", "Ivanov", "ph1-new", 0, RUN_TS, HI),
-        ("c2", "Petrov", "ph2", 0, OLD, CLOSED),
+        ("c2", "Petrov", "ph2", 0, OLD, RUN_TS),
         ("c2", "Sidorov", "ph2", 0, RUN_TS, HI),
         ("c3", "Ivanov", "ph3", 0, OLD, HI),                 # untouched
         ("c4", "Smirnov", "ph4", 0, dt.datetime(2024, 1, 20), HI),
-        ("c5", "Kuznetsov", "ph5", 0, OLD, CLOSED),          # closed ...
+        ("c5", "Kuznetsov", "ph5", 0, OLD, RUN_TS),          # closed ...
         ("c5", "Kuznetsov", "ph5", 1, RUN_TS, HI),           # ... and tombstoned
     ])
+    # half-open: a version ends where the next one starts
     # at most one open unflagged version per key
     open_rows = (out.where((F.col("effective_to") == S.high()) & (F.col("deleted_flg") == 0))
                  .groupBy("client_id").count().where("count > 1"))
@@ -96,6 +97,17 @@ def test_keyed_profile_is_proper_scd2(spark):
     assert _rows(again) == _rows(out)
 
 
+def test_keyed_profile_keeps_an_entity_staged_twice(spark):
+    hist = S.empty(spark, S.HIST_ACCOUNTS)
+    stg = spark.createDataFrame([("a1", PPV, "c1", OLD, OLD), ("a1", PPV, "c2", OLD, RUN_TS), (None, PPV, "c3", OLD, OLD)], S.STG_ACCOUNTS)
+    out = scd2.apply_day(hist, stg, stg.select("account_num"), S.ACCOUNTS, S.ts_lit(RUN), profile="keyed")
+    assert [(r.account_num, r.client, r.effective_to) for r in out.collect()] == [("a1", "c2", HI)]
+    # an open row equal to the staged one stays open, others of the key close
+    dirty = spark.createDataFrame([("a1", PPV, "c1", 0, OLD, HI), ("a1", PPV, "c2", 0, OLD, HI)], S.HIST_ACCOUNTS)
+    out = scd2.apply_day(dirty, stg, stg.select("account_num"), S.ACCOUNTS, S.ts_lit(RUN), profile="keyed")
+    assert sorted((r.client, r.effective_to) for r in out.collect()) == [("c1", RUN_TS), ("c2", HI)]
+
+
 def test_null_key_is_always_new(spark):
     hist = spark.createDataFrame([("a1", PPV, "c1", 0, OLD, HI)], S.HIST_ACCOUNTS)
     stg = spark.createDataFrame([(None, PPV, "c9", OLD, RUN_TS)], S.STG_ACCOUNTS)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.operators.sequence import lead_columns
+from cardwatch.operators.sequence import bucket_sizes, lead_columns
 
 
 def _rows(df, cols):
@@ -25,3 +25,13 @@ def test_lead_matches_window(spark, hot_rows):
     cols = ["id", "next_event_type", "next_ts"]
     assert _rows(fast, cols) == _rows(slow, cols)
     assert fast.count() == df.count()
+
+
+def test_an_outlier_does_not_put_a_hot_key_into_one_bucket(spark):
+    """Bursts and one early date: no (key, bucket) has more than twice the bound."""
+    df = spark.range(10_001).select(F.lit("k").alias("k"), F.when(F.col("id") == 0, F.lit("1900-01-01").cast("timestamp_ntz"))
+                                    .otherwise(F.timestamp_seconds(1_700_000_000 + F.col("id")).cast("timestamp_ntz")).alias("ts"), "id")
+    fast = lead_columns(df, ["k"], ["ts", "id"], ["id"], hot_rows=1000)
+    assert _rows(fast, ["id", "next_id"]) == _rows(lead_columns(df, ["k"], ["ts", "id"], ["id"], skew_safe=False), ["id", "next_id"])
+    sizes = bucket_sizes(df, ["k"], ["ts", "id"], hot_rows=1000)
+    assert max(sizes) <= 2000 and sum(sizes) == 10_001

@@ -2,12 +2,16 @@
 
 import datetime as dt
 import decimal
+import io
 import os
 import zipfile
 
 import pytest
 
+from cardwatch import schemas as S
+from cardwatch.plans import state
 from cardwatch.sources import files, xlsx
+from cardwatch.streaming.daily_files import load_transactions_stream
 
 HEADER = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
 
@@ -97,8 +101,62 @@ def test_terminals_xlsx_round_trip_and_missing_sheet(spark, scratch):
     rows = [("T1", "ATM", "Moscow", "Lenina 1"), ("T2", "POS", None, "Mira & 2 <b>")]
     df = spark.createDataFrame(rows, "terminal_id string, terminal_type string, "
                                      "terminal_city string, terminal_address string")
-    paths = [r.path for r in xlsx.write_sheets(df.coalesce(1), scratch, "terminals", "terminals").collect()]
-    back = sorted(tuple(r) for r in xlsx.read_terminals(spark, paths).collect())
+    folder = f"{scratch}/books"
+    xlsx.write_sheets(df, folder, "terminals", rows_per_book=1)
+    back = sorted(tuple(r) for r in xlsx.read_terminals(spark, folder).collect())
     assert back == sorted(rows)
+    assert len([f for f in os.listdir(folder) if f.startswith("part-") and os.path.getsize(f"{folder}/{f}")]) == 2
     with pytest.raises(Exception, match="no sheet named"):
-        xlsx.read_sheet(spark, paths, "blacklist", 2).collect()
+        xlsx.read_sheet(spark, folder, "blacklist", 2).collect()
+
+
+def test_xlsx_phonetic_runs_and_1904_dates(spark, scratch):
+    path = os.path.join(scratch, "passport_blacklist_02032021.xlsx")
+    data = xlsx.workbook_bytes("blacklist", ["date", "passport"], [[42794.5, "P1"]])
+    src, out = zipfile.ZipFile(io.BytesIO(data)), zipfile.ZipFile(path, "w")
+    for name in src.namelist():
+        text = src.read(name).decode()
+        text = text.replace("<sheets>", '<workbookPr date1904="1"/><sheets>')
+        text = text.replace("<t>P1</t>", "<r><t>P</t></r><r><t>1</t></r><rPh sb=\"0\" eb=\"1\"><t>xyz</t></rPh>")
+        out.writestr(name, text)
+    out.close()
+    rows = xlsx.read_blacklist(spark, path).collect()
+    assert [(r.entry_dt, r.passport_num) for r in rows] == [(dt.datetime(2021, 3, 1, 12, 0), "P1")]
+
+
+def test_quarantine_is_the_same_for_every_projection(spark, scratch):
+    path = _write(scratch, "transactions_03032021.txt", HEADER +
+                  '1;2021-03-02 10:00:00;1,5;C1;PAYMENT;SUCCESS;T1\n'
+                  '2;not a date;2,5;C2;PAYMENT;SUCCESS;T1\n')
+    good, bad = files.read_transactions(spark, path, bad_rows="quarantine")
+    assert good.count() == 1 and bad.count() == 1
+    assert [r.trans_id for r in good.select("trans_id").collect()] == ["1"]
+    assert [r.card_num for r in good.select("card_num").collect()] == ["C1"]
+
+
+def test_bank_keys_are_trimmed(spark):
+    raw = spark.createDataFrame([("4000 1   ", "A1  ", None, None), ("    ", " A2 ", None, None)], S.SRC_CARDS)
+    rows = [(r.card_num, r.account) for r in files.conform_bank(raw, "cards").collect()]
+    assert rows == [("4000 1", "A1"), (None, " A2")]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, None])
+def test_stream_rows_do_not_depend_on_batches(spark, scratch, files_per_batch):
+    inbox, root = f"{scratch}/inbox", f"{scratch}/wh"
+    os.makedirs(inbox)
+    row = "{};2021-03-0{} 10:00:0{};1,5;C1;PAYMENT;SUCCESS;T1\n"
+    _write(inbox, "transactions_01032021.txt", HEADER + row.format(1, 1, 0) + row.format(1, 1, 1) + row.format("", 1, 2))
+    _write(inbox, "transactions_02032021.txt", HEADER + row.format(1, 2, 3) + row.format(2, 2, 4))
+    _write(inbox, "transactions_03032021.txt", HEADER + row.format(2, 3, 5) + row.format(7, 3, 6))
+    old = spark.createDataFrame([("7", dt.datetime(2021, 2, 1), None, "C", "P", "S", "T")], S.FACT_TRANSACTIONS)
+    state.publish(spark, root, "0", append={"fact_transactions": old})
+    load = lambda: load_transactions_stream(spark, root, inbox, f"{scratch}/work", f"{scratch}/archive", files_per_batch)
+    load()
+    facts = lambda: sorted((r.trans_id or "", r.trans_date.second) for r in state.read_table(spark, root, "fact_transactions").collect())
+    want = [("", 2), ("1", 0), ("1", 1), ("2", 4), ("7", 0)]
+    assert facts() == want
+    assert os.listdir(inbox) == [] and len(os.listdir(f"{scratch}/archive")) >= 3
+    assert load() is None and facts() == want      # nothing new
+    _write(inbox, "transactions_04032021.txt", HEADER + row.format(9, 4, 7))
+    load()
+    assert facts() == sorted([*want, ("9", 7)])

@@ -43,6 +43,26 @@ def test_append_parts_and_reset_keeps_watermark(spark, scratch):
     assert state.read_table(spark, root, "meta").count() == 1      # kept, as in the reference
 
 
+def test_rerun_replaces_and_older_runs_are_refused(spark, scratch):
+    root = f"{scratch}/wh"
+    row = lambda p: spark.createDataFrame([(OLD, p)], S.FACT_BLACKLIST)
+    passports = lambda: sorted(r.passport_num for r in state.read_table(spark, root, "fact_blacklist").collect())
+    state.publish(spark, root, "d1", append={"fact_blacklist": row("P1")})
+    state.publish(spark, root, "d2", append={"fact_blacklist": row("P2")})
+    failed = state.Run(spark, root, "d2")           # a rerun that stops before its commit
+    failed.append("fact_blacklist", row("P9"))
+    assert passports() == ["P1", "P2"]
+    state.publish(spark, root, "d2", append={"fact_blacklist": row("P3")})
+    assert passports() == ["P1", "P3"]
+    with pytest.raises(ValueError, match="d1"):
+        state.Run(spark, root, "d1")
+    assert len(state.remove_superseded(spark, root)) == 2      # the failed and the replaced attempt
+    assert passports() == ["P1", "P3"]
+    state.reset(spark, root, "reset")
+    state.publish(spark, root, "d1", append={"fact_blacklist": row("P1")})
+    assert passports() == ["P1"]
+
+
 def test_first_run_on_empty_warehouse(spark, scratch):
     """No meta row: the watermark is NULL, so only rows created on 1900-01-01 are captured."""
     root = f"{scratch}/wh"
