@@ -268,8 +268,8 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sec
     All other columns stay as they are (of those two names, ours replace theirs). Null text: null, no entities. Repeated rows get the same text. Null
     ids are documents like others. Entities are the same over the whole table, whatever document they are in.
     """
-    inner = packed(docs, id_col, text_col).withColumn("text", F.col(f"row.`{text_col}`"))
-    small = inner.select("doc_id", "t_hash", "text")
+    inner, own_text = packed(docs, id_col, text_col), F.col(f"row.`{text_col}`").alias("text")
+    small = inner.select("doc_id", "t_hash", own_text)
     found = saved(find(small).withColumn("entity", F.concat_ws(":", "kind", "norm")), "pii-found")
     entities = saved(found.groupBy("kind", "norm").agg(F.count(F.lit(1)).alias("n")), "pii-entities")
     subs = assign(entities, secret).join(entities, ["kind", "norm"]).select(F.concat_ws(":", "kind", "norm").alias("entity"), "surrogate", "n")
@@ -286,7 +286,9 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sec
     hits = hits.select("doc_id", "t_hash", F.struct("place", new.alias("new"), F.when(kind == "surname", "person").otherwise(kind).alias("kind")).alias("h"))
     by_doc = saved(hits.groupBy("doc_id", "t_hash").agg(F.array_sort(F.collect_list("h")).alias("hits")), "pii-documents")
     by_doc = by_doc.select(F.col("doc_id").alias("of"), F.col("t_hash").alias("of_hash"), "hits")
-    joined = inner.join(by_doc, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("t_hash") == F.col("of_hash")), "left")
+    # a shuffle join whatever the size: the matches of all documents are never broadcast
+    joined = inner.join(by_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("t_hash") == F.col("of_hash")), "left")
+    joined = joined.select("row", own_text, "hits")
     # what lies between the matches, and the matches, each of them replaced or as it was
     touched = F.col("hits").isNotNull()
     places = F.map_from_arrays(F.col("hits.place"), F.col("hits.new"))
