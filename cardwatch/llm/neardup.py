@@ -11,8 +11,9 @@ class from the start; everything below works on classes.
 * Candidates within a bucket: all pairs of a small one; in a larger one every member meets
   a few hubs (the member that shares the most bands with others, and random ones), so their number is
   linear. Links are joined into components, and larger buckets that still hold
-  several components are gone through again with other hubs, then exactly, in
-  tiles of at most 512 x 512 sketches.
+  several components are gone through exactly, in tiles of about 512 x 512 sets: a tile
+  looks at its pairs across components and returns only links that join some, so
+  no rows are made for pairs.
 * A candidate whose registers make 0.85 implausible (likelihood ratio, jointly over
   larger, smaller and equal registers with the known set sizes) is dropped; every
   other is verified on the full sets.
@@ -26,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._shared import SPACE_WORD, join_hot, saved, ship
-from ._words import NOT_SPACE, bytes_of, distinct_by_text, mix64, shingles, slices, tokens
+from ._shared import SPACE_WORD, join_hot, packed, saved, ship
+from ._words import NOT_SPACE, binary_column, bytes_of, distinct_by_text, mix64, shingles, slices, tokens
 
 ship(__name__)
 
@@ -37,8 +38,8 @@ REGISTERS = 64
 ROWS = 4              # registers of a band
 BASE, RATE, TOP = 1.001, 20.0, 65534  # b, a and q of the sketch: 16-bit registers
 SMALL = 16            # buckets up to this size: all pairs
-ROUNDS = 2            # further rounds with other hubs, before tiles
-TILE = 512
+TILE, TILE_SHINGLES = 512, 200_000  # sets, and shingles in them, on one side of a tile, about
+FEWEST_EQUAL = 37     # equal registers; 64 of similarity 0.85 have fewer with probability 1e-9
 DOUBT = 16.0          # log likelihood ratio beyond which PERCENT is given up
 
 _FACTORS = np.random.Generator(np.random.PCG64(7)).integers(0, 2 ** 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,29 +112,67 @@ def _plausible_rows(percent: int):
     return run
 
 
-def _tile_rows(percent: int):
-    """All plausible pairs of two chunks of a bucket that are in different components."""
-    def unpack(c, i):
-        x = c[i]
-        return (x["ids"].as_py(), np.array(x["roots"].as_py(), dtype=object), np.array(x["sizes"].as_py(), dtype=float),
-                np.frombuffer(b"".join(x["sketches"].as_py()), np.uint16).reshape(-1, REGISTERS))
+def _set_rows(words: int):
+    def run(batches):
+        for b in slices(batches, "text"):
+            h, _, first = tokens(*bytes_of(b.column(1)), NOT_SPACE)
+            v, at = distinct_by_text(*shingles(h, first, words), b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), binary_column(v, at)], ["digest", "shingles"])
+    return run
 
+
+class _Chunk:
+    """One side of a tile: ids, component numbers, sizes, sketches and sets of its classes."""
+
+    def __init__(self, rows: list, roots: dict):
+        self.ids = [r["digest"] for r in rows]
+        self.root = np.array([roots.setdefault(r["root"], len(roots)) for r in rows])
+        self.size = np.array([r["size"] for r in rows])
+        self.sketch = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint16).reshape(-1, REGISTERS)
+        self.sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+        self.at = np.concatenate([[0], np.cumsum(self.size)])
+        self.all = np.concatenate(self.sets)
+
+
+def _common(own: np.ndarray, side: _Chunk, which: np.ndarray) -> np.ndarray:
+    """How many elements of ``own`` (sorted) each of the sets ``which`` has."""
+    if len(which) * 4 > len(side.ids):
+        place = np.minimum(np.searchsorted(own, side.all), len(own) - 1)
+        return np.add.reduceat((own[place] == side.all).astype(np.int64), side.at[:-1])[which]
+    return np.array([len(np.intersect1d(own, side.sets[i], assume_unique=True)) for i in which])
+
+
+def tile_links(left: list, right: list, same: bool, percent: int) -> list[tuple]:
+    """Links across components between two chunks (or within one), each of which joined two components of the tile."""
+    roots: dict = {}
+    x, y = _Chunk(left, roots), _Chunk(right, roots)
+    group = np.arange(len(roots))  # component numbers as the tile joins them
+    found = []
+    for i in range(len(x.ids)):
+        ok = (group[y.root] != group[x.root[i]]) & (np.minimum(y.size, x.size[i]) * 100 >= np.maximum(y.size, x.size[i]) * percent)
+        if same:
+            ok[:i + 1] = False
+        which = np.flatnonzero(ok)
+        which = which[(y.sketch[which] == x.sketch[i]).sum(1) >= FEWEST_EQUAL]
+        if len(which) == 0:
+            continue
+        both = _common(x.sets[i], y, which)
+        linked = which[100 * both >= percent * (x.size[i] + y.size[which] - both)]
+        for j in linked:
+            a, b = group[x.root[i]], group[y.root[j]]
+            if a != b:
+                group[group == b] = a
+                found.append((x.ids[i], y.ids[j]))
+    return found
+
+
+def _tile_rows(percent: int):
     def run(batches):
         for b in batches:
-            left, right = [], []
+            links = []
             for i in range(b.num_rows):
-                same = b.column(2)[i].as_py()
-                ia, ra, na, ka = unpack(b.column(0), i)
-                ib, rb, nb, kb = unpack(b.column(1), i)
-                for x in range(len(ia)):
-                    y = np.flatnonzero((rb != ra[x]) & (np.minimum(nb, na[x]) * 100 >= np.maximum(nb, na[x]) * percent))
-                    if same:
-                        y = y[y > x]
-                    if len(y):
-                        ok = y[plausible(np.broadcast_to(ka[x], (len(y), REGISTERS)), kb[y], np.full(len(y), na[x]), nb[y], percent)]
-                        left += [ia[x]] * len(ok)
-                        right += [ib[j] for j in ok]
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+                links += tile_links(b.column(0)[i].as_py(), b.column(1)[i].as_py(), b.column(2)[i].as_py(), percent)
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in links], pa.binary()), pa.array([p[1] for p in links], pa.binary())], ["a", "b"])
     return run
 
 
@@ -189,17 +228,13 @@ def _pair_rows(df: DataFrame) -> DataFrame:
                                                     one("sketch").alias("ka"), two("sketch").alias("kb"))
 
 
-def _hub_pairs(members: DataFrame, hubs: list, cross: bool) -> DataFrame:
+def _hub_pairs(members: DataFrame, hubs: list) -> DataFrame:
     """Every member of a bucket with each hub of the bucket; ``hubs``: orders whose largest is a hub."""
-    one = ["digest", "size", "sketch", *(["root"] if cross else [])]
+    one = ["digest", "size", "sketch"]
     agg = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *[F.max(F.struct(order.alias("rank"), *one)).alias(f"h{i}") for i, order in enumerate(hubs)])
-    agg = saved(agg.select("bucket", "n", F.array(*[F.col(f"h{i}") for i in range(len(hubs))]).alias("hubs")), "dup-hubs")
-    met = join_hot(members, agg, "bucket", "n")
-    me = F.struct(*one)
-    met = met.select(me.alias("y"), F.explode(F.array_distinct("hubs")).alias("x"))
-    if cross:
-        met = met.filter("x.root <> y.root")
-    # several bands offer the same pair; the hub goes first, whatever the order of digests
+    agg = saved(agg.select("bucket", "n", F.array(*[F.struct(*[F.col(f"h{i}.{c}") for c in one]) for i in range(len(hubs))]).alias("hubs")), "dup-hubs")
+    met = join_hot(members, agg, "bucket", "n").select(F.struct(*one).alias("y"), F.explode(F.array_distinct("hubs")).alias("x"))
+    # the hub goes first, whatever the order of digests: its set is read once for many members
     return (met.filter("x.digest <> y.digest").select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b"), F.col("x.size").alias("na"), F.col("y.size").alias("nb"),
                                                       F.col("x.sketch").alias("ka"), F.col("y.sketch").alias("kb")))
 
@@ -225,15 +260,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     groups = saved(_grouped(docs, id_col, text_col, words, percent), "dup-groups")
     lead = groups.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("low.doc_id")) & (F.col("t_hash") == F.col("low.t_hash")))
-    keys = saved(lead.groupBy("doc_id", "t_hash").agg(F.count(F.lit(1)).alias("__n")).withColumnRenamed("doc_id", "__of").withColumnRenamed("t_hash", "__of_hash"), "dup-keys")
-    named = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text_col}`")))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    met = named.join(keys, F.col(f"`{id_col}`").eqNullSafe(F.col("__of")) & (F.col("__hash") == F.col("__of_hash")))
-    out = met.filter("__n = 1").select(*own)
-    if keys.filter("__n > 1").limit(1).count():
-        repeated = [f"`{id_col}`", "__hash"]
-        first = met.filter("__n > 1").groupBy(*repeated).agg(*[F.first(c).alias(f"__{i}") for i, c in enumerate(own)])
-        out = out.unionByName(first.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)]))
+    keys = saved(lead.groupBy(F.col("doc_id").alias("of"), F.col("t_hash").alias("of_hash")).agg(F.count(F.lit(1)).alias("n_rows")), "dup-keys")
+    met = packed(docs, id_col, text_col).join(keys, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("t_hash") == F.col("of_hash")))
+    out = met.filter("n_rows = 1").select("row.*")
+    if keys.filter("n_rows > 1").limit(1).count():
+        out = out.unionByName(met.filter("n_rows > 1").groupBy("doc_id", "t_hash").agg(F.first("row").alias("row")).select("row.*"))
     bare = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(SPACE_WORD)
     return out.unionByName(docs.filter(~bare))
 
@@ -267,7 +298,7 @@ def _links(classes: DataFrame, rows: DataFrame, words: int, percent: int) -> Dat
     central = shared.groupBy("digest").agg(F.sum("n").alias("central"))
     members = saved(shared.join(central, "digest").join(classes.select("digest", "size", "sketch"), "digest"), "dup-members")
     small, large = members.filter(F.col("n") <= SMALL), members.filter(F.col("n") > SMALL).drop("n")
-    first = _hub_pairs(large, [F.col("central"), F.xxhash64("digest", F.lit(1)), F.xxhash64("digest", F.lit(2))], cross=False)
+    first = _hub_pairs(large, [F.col("central"), F.xxhash64("digest", F.lit(1)), F.xxhash64("digest", F.lit(2))])
     pairs = saved(_plausible(_all_pairs(small).unionByName(first), percent), "dup-pairs")
     # texts of the classes that have candidates or are in larger buckets: read once, by id
     wanted = members.select("digest").distinct().join(classes.select("digest", "rep"), "digest")
@@ -276,20 +307,11 @@ def _links(classes: DataFrame, rows: DataFrame, words: int, percent: int) -> Dat
     texts = saved(texts.dropDuplicates(["digest"]), "dup-texts")
     links = saved(_verify(pairs, texts, words, percent), "dup-links")
     found = saved(components(links), "dup-found")
-    for turn in range(ROUNDS + 1):
-        open_ = _open(large, found)
-        if open_.limit(1).count() == 0:
-            break
-        if turn < ROUNDS:
-            more = _plausible(_hub_pairs(open_, [F.xxhash64("digest", F.lit(10 + 3 * turn + i)) for i in range(3)] + [F.xxhash64("root", F.lit(turn))], cross=True), percent)
-        else:
-            more = _tiles(open_, percent)
-        more = saved(more.join(pairs, ["a", "b"], "left_anti"), "dup-pairs")
-        pairs = saved(pairs.unionByName(more), "dup-pairs")
-        new = saved(_verify(more, texts, words, percent), "dup-links")
-        if new.limit(1).count():
-            links = saved(links.unionByName(new), "dup-links")
-            found = saved(components(links), "dup-found")
+    open_ = _open(large, found)
+    if open_.limit(1).count():
+        more = saved(_tiles(open_, texts, words, percent), "dup-more-links")
+        if more.limit(1).count():
+            found = components(links.unionByName(more))
     return found
 
 
@@ -301,24 +323,32 @@ def _open(large: DataFrame, found: DataFrame) -> DataFrame:
     """Members, with their component, of larger buckets that hold several components."""
     rooted = saved(large.join(found.withColumnRenamed("node", "digest"), "digest", "left")
                    .withColumn("root", F.coalesce("root", "digest")), "dup-rooted")
-    several = rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+    several = (rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                            F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("who"))
+               .filter("lo <> hi").dropDuplicates(["n", "who"]))  # several bands give the same members
     return saved(join_hot(rooted, saved(several.select("bucket", "n"), "dup-several"), "bucket", "n").select(*rooted.columns), "dup-open")
 
 
-def _tiles(open_: DataFrame, percent: int) -> DataFrame:
-    """All plausible pairs across components within buckets: chunks of sketches meet two by two.
+def _tiles(open_: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links across components within buckets, by chunks of sets that meet two by two.
 
-    A chunk is one row of about TILE sketches. A bucket of m members makes (m / TILE)^2 / 2
-    tiles; no row is made for a pair that is not plausible.
+    The members of a bucket's largest component are chunks of their own: they need
+    not meet one another. A bucket of m members of which k are in other components makes
+    about (k / TILE) * (m / TILE) tiles, of one row each.
     """
-    counts = saved(open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "dup-counts")
-    # one bucket in each set of members is enough: equal member sets come from several bands
-    sized = join_hot(open_, counts, "bucket", "n").withColumn("chunks", F.ceil(F.col("n") / TILE).cast("int"))
-    sized = sized.withColumn("chunk", F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int"))
-    packed = saved(sized.groupBy("bucket", "chunks", "chunk").agg(F.collect_list(F.struct("digest", "root", "size", "sketch")).alias("m")).select(
-        "bucket", "chunks", "chunk", F.struct(F.col("m.digest").alias("ids"), F.col("m.root").alias("roots"), F.col("m.size").alias("sizes"), F.col("m.sketch").alias("sketches")).alias("c")), "dup-chunks")
-    # tile (i, j), i <= j: chunk i goes to the row's right end, chunk j comes down to it
-    left = packed.select("bucket", F.col("chunk").alias("i"), F.col("c").alias("c1"), F.explode(F.sequence(F.col("chunk"), F.col("chunks") - 1)).alias("j"))
-    right = packed.select("bucket", F.col("chunk").alias("j"), F.col("c").alias("c2"), F.explode(F.sequence(F.lit(0), F.col("chunk"))).alias("i"))
+    sets = saved(texts.join(open_.select("digest").distinct(), "digest", "left_semi").mapInArrow(_set_rows(words), "digest binary, shingles binary"), "dup-sets")
+    by_root = open_.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
+    stats = by_root.groupBy("bucket").agg(F.max(F.struct("n", "root", "s")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+    chunks = lambda n, s: F.ceil(F.greatest(n / TILE, s / TILE_SHINGLES)).cast("int")
+    stats = stats.select("bucket", "n", F.col("top.root").alias("main"), chunks(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("others"),
+                         chunks(F.col("top.n"), F.col("top.s")).alias("mains"))
+    met = join_hot(open_, saved(stats, "dup-tile-stats"), "bucket", "n")
+    place = F.xxhash64("digest")
+    met = met.withColumn("chunk", F.when(F.col("root") == F.col("main"), F.col("others") + F.pmod(place, F.col("mains"))).otherwise(F.pmod(place, F.col("others"))).cast("int"))
+    met = met.select("bucket", "chunk", "others", "mains", "digest", "root", "size", "sketch").join(sets, "digest")
+    packed_ = saved(met.groupBy("bucket", "others", "mains", "chunk").agg(F.collect_list(F.struct("digest", "root", "size", "sketch", "shingles")).alias("c")), "dup-chunks")
+    # tile (i, j), i <= j, i not of the largest component
+    left = packed_.filter("chunk < others").select("bucket", F.col("chunk").alias("i"), F.col("c").alias("c1"), F.explode(F.sequence(F.col("chunk"), F.col("others") + F.col("mains") - 1)).alias("j"))
+    right = packed_.select("bucket", F.col("chunk").alias("j"), F.col("c").alias("c2"), F.explode(F.sequence(F.lit(0), F.least(F.col("chunk"), F.col("others") - 1))).alias("i"))
     tiles = left.join(right, ["bucket", "i", "j"]).select("c1", "c2", (F.col("i") == F.col("j")).alias("same"))
     return tiles.mapInArrow(_tile_rows(percent), "a binary, b binary").distinct()
