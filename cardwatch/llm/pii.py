@@ -42,8 +42,10 @@ SYLLABLES = {"latin": ["bar", "del", "fen", "gor", "hal", "kem", "lin", "mar", "
 
 _TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g) + r")\.?"
 _KNOWN = "(?:" + "|".join(n for g in GIVEN.values() for n in g) + ")"
+_FIRST = "".join(sorted({n[0] for g in [*TITLES.values(), *GIVEN.values()] for n in g}))
 _WORD = r"\p{Lu}\p{L}{1,30}+"
-_SECRET_HEAD = r"""(?:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}["']?"""
+_SECRET_WORDS = ["password", "passwd", "secret", "token", "api_key", "apikey"]
+_SECRET_HEAD = "(?:" + "|".join(_SECRET_WORDS) + r""")\s{0,2}[=:]\s{0,2}["']?"""
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 # Kinds in order: where two could begin at one place, the first is taken.
@@ -55,7 +57,7 @@ PATTERNS = {
     "phone": r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
              r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?:-\d{4}){3}|\d{4}(?: \d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
-    "person": rf"(?<!\p{{L}}){_TITLE} {_WORD}(?:[ -]{_WORD}){{0,2}}|(?<!\p{{L}}){_KNOWN} {_WORD}",
+    "person": rf"(?=[{_FIRST}])(?<!\p{{L}})(?:{_TITLE} {_WORD}(?:[ -]{_WORD}){{0,2}}|{_KNOWN} {_WORD})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -193,13 +195,22 @@ def _digits(raw: Column) -> Column:
     return F.regexp_replace(raw, r"\D", "")
 
 
+def _may_match(text: Column) -> Column:
+    """False only for texts in which no pattern can match: quick tests spare them the long expression."""
+    words = [text.contains(w) for w in ["@", "AKIA", *_SECRET_WORDS]]
+    found = text.rlike("[0-9]")
+    for w in words:
+        found = found | w
+    return found | text.rlike(PATTERNS["person"])
+
+
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, t_hash, place, part, kind, norm, raw): a row for each part of each match in ``text``.
 
     A match has one part, a name one for each given name and one for the surname;
     what no part covers (a title, a credential's label) stays.
     """
-    hits = docs.select("doc_id", "t_hash", F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("place", "hit"))
+    hits = docs.filter(_may_match(F.col("text"))).select("doc_id", "t_hash", F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("place", "hit"))
     hit = F.col("hit")
     whole = lambda k: F.regexp_like(hit, F.lit(f"^(?:{PATTERNS[k]})$"))
     # lookbehinds see the beginning of the match, which any of them accepts
