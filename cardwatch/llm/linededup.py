@@ -53,7 +53,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # repeated rows give each place twice: a set
     gone = again.groupBy("doc_id", "t_hash").agg(F.collect_set("place").alias("gone"))
     gone = saved(gone.withColumnRenamed("doc_id", "of").withColumnRenamed("t_hash", "of_hash"), "line-gone")
-    joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["of"]) & (rows["t_hash"] == gone["of_hash"]), "left")
+    # a shuffle join whatever the size: the plan is the same for a small and a large corpus
+    joined = rows.join(gone.hint("merge"), rows["doc_id"].eqNullSafe(F.col("of")) & (rows["t_hash"] == F.col("of_hash")), "left")
     return _cut(joined, unit)
 
 
