@@ -26,8 +26,8 @@ SIZES = (3, 4, 5, 6)      # characters of an n-gram
 BUCKETS_LOG2 = 18
 DIMENSIONS = 4
 BAG_WORDS = 8
-SAMPLE = 1500             # of each class
-SAMPLE_CHARS = 6000       # only texts up to this length are learnt from; all are scored whole
+SAMPLE = 1000             # of each class
+SAMPLE_CHARS = 3000       # only texts up to this length are learnt from; all are scored whole
 EPOCHS = 100
 STEP = 1.0                # of Adagrad
 FOLDS, HELD_OUT = 5, 0
@@ -119,19 +119,21 @@ def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 11) -> Mode
     start, end, of = _bags(x, at)
     buckets = 1 << BUCKETS_LOG2
     ids, bag = [], []
+    has = [np.full(buckets, 0.5), np.full(buckets, 0.5)]  # texts of each class that have the n-gram
     for place, bucket in _grams(x):
         b = np.searchsorted(start, place, side="right") - 1
         ok = (b >= 0) & (place < end[np.maximum(b, 0)])
         ids.append(bucket[ok])
         bag.append(b[ok].astype(np.int32))
+        seen = np.unique(of[bag[-1]] * buckets + ids[-1])
+        for c in (0, 1):
+            has[c] += np.bincount(seen[y[seen // buckets] == c] % buckets, minlength=buckets)
     ids, bag = np.concatenate(ids), np.concatenate(bag)
-    order = np.argsort(bag, kind="stable")
+    order = np.argsort(bag, kind="stable").astype(np.int32)
     ids, bag = ids[order], bag[order]
     cut = np.searchsorted(bag, np.arange(len(start) + 1))
+    del bag, order, seen
     size = np.maximum(np.diff(cut), 1).astype(float)
-    seen = np.unique(of[bag].astype(np.int64) * buckets + ids)
-    text_of, gram = seen // buckets, seen % buckets
-    has = [np.bincount(gram[y[text_of] == c], minlength=buckets) + 0.5 for c in (0, 1)]
     odds = np.log(has[1] / ((y == 1).sum() + 1)) - np.log(has[0] / ((y == 0).sum() + 1))
     odds[(has[0] + has[1]) < 3] = 0
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -144,7 +146,7 @@ def fit(texts: list, labels: list, epochs: int = EPOCHS, seed: int = 11) -> Mode
     target = np.stack([1 - y[some], y[some]], 1)
     for _ in range(epochs):
         direction = softmax[:, 1] - softmax[:, 0]
-        per_bag = np.add.reduceat(np.append((vectors @ direction)[ids], 0.0), np.minimum(cut[:-1], len(ids)))
+        per_bag = np.add.reduceat(np.append((vectors @ direction).astype(np.float32)[ids], np.float32(0)), np.minimum(cut[:-1], len(ids)), dtype=float)
         per_bag = np.where(np.diff(cut) > 0, per_bag, 0.0) / size
         top = np.array([a + int(np.argmax(per_bag[a:b])) for a, b in zip(lead, np.append(lead[1:], len(of)))])
         n = np.diff(cut)[top]
