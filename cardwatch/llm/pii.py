@@ -14,7 +14,7 @@ for names, gender:
 Every distinct entity of the corpus is in one table. Attempts are checked there:
 a surrogate that another entity has, or that is itself an entity of the corpus, is
 drawn again, until all differ. So equal entities (however written: case, blanks,
-brackets) have equal surrogates in all documents, and different ones different.
+brackets; of credentials, hex digits in capitals or not) have equal surrogates in all documents, and different ones different.
 
 Texts are cut at the matches and put together again by JVM expressions alone.
 """
@@ -45,7 +45,8 @@ _KNOWN = "(?:" + "|".join(n for g in GIVEN.values() for n in g) + ")"
 _FIRST = "".join(sorted({n[0] for g in [*TITLES.values(), *GIVEN.values()] for n in g}))
 _WORD = r"\p{Lu}\p{L}{1,30}+"
 _SECRET_WORDS = ["password", "passwd", "secret", "token", "api_key", "apikey"]
-_SECRET_HEAD = "(?:" + "|".join(_SECRET_WORDS) + r""")\s{0,2}[=:]\s{0,2}["']?"""
+_SECRET_HEAD = "(?i:" + "|".join(_SECRET_WORDS) + r""")\s{0,2}[=:]\s{0,2}["']?"""
+_HEX_UPPER = "^(?=[0-9]*[A-F])[0-9A-F]+$"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 # Kinds in order: where two could begin at one place, the first is taken.
@@ -157,7 +158,9 @@ def _email(address: Column, key: Column) -> Column:
 
 
 def _secret(value: Column, key: Column) -> Column:
-    whole = F.when(value.rlike("^[0-9a-f]+$"), permuted(value, key, [HEX])).otherwise(permuted(value, key, [DIGITS, LOWER, UPPER]))
+    # a draw that reads as hex in capitals has another normal form: the value itself is an entity, so it is drawn again
+    other = _let(permuted(value, key, [DIGITS, LOWER, UPPER]), lambda v: F.when(v.rlike(_HEX_UPPER), value).otherwise(v))
+    whole = F.when(value.rlike("^[0-9a-f]+$"), permuted(value, key, [HEX])).otherwise(other)
     return F.when(value.startswith("AKIA"), F.concat(F.lit("AKIA"), permuted(F.substring(value, F.lit(5), F.length(value)), key, [DIGITS, UPPER]))).otherwise(whole)
 
 
@@ -197,7 +200,7 @@ def _digits(raw: Column) -> Column:
 
 def _may_match(text: Column) -> Column:
     """False only for texts in which no pattern can match: quick tests spare them the long expression."""
-    words = [text.contains(w) for w in ["@", "AKIA", *_SECRET_WORDS]]
+    words = [text.contains(w) for w in ["@", "AKIA"]] + [F.lower(text).contains(w) for w in _SECRET_WORDS]
     found = text.rlike("[0-9]")
     for w in words:
         found = found | w
@@ -222,13 +225,14 @@ def find(docs: DataFrame) -> DataFrame:
     part = lambda k, n, raw: F.struct(k.alias("kind") if isinstance(k, Column) else F.lit(k).alias("kind"), n.alias("norm"), raw.alias("raw"))
     phone = F.when(F.length(_digits(hit)).eqNullSafe(11) & _digits(hit).startswith("1"), F.substring(_digits(hit), 2, 10)).otherwise(_digits(hit))
     secret = F.regexp_replace(hit, f"^{_SECRET_HEAD}", "")
+    secret_norm = F.when(secret.rlike(_HEX_UPPER), F.lower(secret)).otherwise(secret)
     bare = F.regexp_replace(hit, f"^{_TITLE} ", "")
     names = F.split(bare, "[ -]")
     gender = F.when(F.regexp_like(hit, F.lit("^(?:" + "|".join(TITLES["f"] + [n for (g, _), l in GIVEN.items() if g == "f" for n in l]) + r")(?:\.| )")), "f").otherwise("m")
     person = F.transform(names, lambda n, i: part(F.when(i == F.size(names) - 1, "surname").otherwise(F.concat(F.lit("given-"), gender)), F.lower(n), n))
     one = (F.when(kind == "email", part("email", F.lower(hit), hit)).when(kind == "phone", part("phone", phone, hit))
            .when((kind == "card") & (luhn(_digits(hit)) == 0), part("card", _digits(hit), hit))
-           .when(kind == "ssn", part("ssn", _digits(hit), hit)).when(kind == "ip", part("ip", hit, hit)).when(kind == "secret", part("secret", secret, secret)))
+           .when(kind == "ssn", part("ssn", _digits(hit), hit)).when(kind == "ip", part("ip", hit, hit)).when(kind == "secret", part("secret", secret_norm, secret)))
     parts = F.when(kind == "person", person).otherwise(F.filter(F.array(one), lambda x: x.isNotNull()))
     return (hits.select("doc_id", "t_hash", "place", "hit", F.posexplode(parts).alias("part", "p"))
             .select("doc_id", "t_hash", "place", "part", "hit", "p.kind", "p.norm", "p.raw"))
@@ -270,7 +274,7 @@ def _rendered(kind: Column, raw: Column, sub: Column) -> Column:
     cased = F.array_join(F.zip_with(chars(raw), chars(sub), lambda a, b: F.when(a != F.lower(a), F.upper(b)).otherwise(b)), "")
     name = F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(sub)).otherwise(F.array_join(F.transform(F.split(sub, "-"), F.initcap), "-"))
     return (F.when(kind.isin("phone", "card", "ssn"), digits(raw, sub)).when(kind == "email", cased)
-            .when(kind.isin("ip", "secret"), sub).otherwise(name))
+            .when((kind == "secret") & raw.rlike(_HEX_UPPER), F.upper(sub)).when(kind.isin("ip", "secret"), sub).otherwise(name))
 
 
 def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", secret: str = KEY) -> DataFrame:

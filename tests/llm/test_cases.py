@@ -326,6 +326,20 @@ def test_pii_surrogates(spark):
     assert other[1] != one
 
 
+def test_credential_labels_in_any_case(spark):
+    value = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    docs = [(1, f'TOKEN = "{value.upper()}"'), (2, f'token="{value}"'), (3, "Password: aB3$kLm9"), (4, "SECRET=QWERTZXY api_key=aB3$kLm9"), (5, "ApiKey: Zebra!mnop"),
+            (6, "PASSWD='aBcDeF01'"), (7, "no Token, no secret")]
+    got = {r.doc_id: (r.text, r.n_entities, r.entity_kinds) for r in pii.replace(brute.frame(spark, docs)).collect()}
+    import re
+    new = re.fullmatch('token="([0-9a-f]{40})"', got[2][0])[1]
+    assert got[1][0] == f'TOKEN = "{new.upper()}"' and new != value  # one entity, written as it was
+    password = re.fullmatch(r"Password: ([a-z][A-Z]\d\$[a-z][A-Z][a-z]\d)", got[3][0])[1]
+    assert password != "aB3$kLm9" and re.fullmatch(r"SECRET=(?!QWERTZXY)[A-Z]{8} api_key=" + re.escape(password), got[4][0])
+    assert re.fullmatch("ApiKey: (?!Zebra)[A-Z][a-z]{4}![a-z]{4}", got[5][0]) and re.fullmatch(r"PASSWD='(?!aBcDeF)[a-z][A-Z][a-z][A-Z][a-z][A-Z]\d\d'", got[6][0])
+    assert [got[i][1:] for i in range(1, 8)] == [(1, "secret")] * 3 + [(2, "secret")] + [(1, "secret")] * 2 + [(0, "")] and got[7][0] == docs[6][1]
+
+
 def test_surrogates_differ_and_are_new(spark):
     """Full domains and crowded name lists: no two entities share a surrogate, none is an entity."""
     names = [("given-f", f"name{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(300)] + [("surname", f"von{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(300)]
