@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ._shared import SPACE_WORD, join_hot, saved
 
-MIN_WORDS = 10
+MIN_WORDS = 1  # every line that is not blank
 SPLIT = {"line": "\n", "paragraph": r"\n[ \t\r]*\n"}
 
 

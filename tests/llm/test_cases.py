@@ -229,6 +229,14 @@ def test_line_cases(spark):
     assert linededup.dedup_lines(empty(spark)).count() == 0
 
 
+def test_short_lines_are_grouped(spark):
+    docs = [(1, "a passage\nof short\nlines\n\nend one"), (2, "start\nA  passage\nof short \nlines\n\nend two"), (3, "lines\n\n\nlines")]
+    got = linededup.dedup_lines(brute.frame(spark, docs))
+    assert rows_of(got, "doc_id", "text", "n_units", "n_removed") == [(1, docs[0][1], 5, 0), (2, "start\n\nend two", 6, 3), (3, "\n\n", 4, 2)]
+    floor = linededup.dedup_lines(brute.frame(spark, docs), min_words=3)
+    assert rows_of(floor, "doc_id", "text") == sorted(docs)
+
+
 def test_license_cases(spark):
     mit = [t for i, t in licenses.TEMPLATES if i == "MIT"][1]
     docs = [(1, None), (2, ""), (3, "x\nreleased UNDER the   MIT license!!\ny"), (4, mit.replace("Software", "software")), (5, "intro\n\n" + mit.replace(", ", ",\n") + "\n\nrest of it"),
