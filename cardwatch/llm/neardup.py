@@ -6,21 +6,23 @@ class from the start; everything below works on classes.
 * Sketch: 64 registers; register i is the smallest of n exponential draws, truncated to a power of
   the base (``K = floor(1 - log_b(min))``), so sketches merge by maximum and equal
   registers are as likely as the sets are similar.
-* Bands of four registers are the buckets. Two sets of similarity 0.85 miss all 16
-  bands with probability 8e-6.
+* Bands of registers are the buckets, as wide as the similarity allows: of four for 0.85 (two
+  such sets miss all 16 bands with probability 8e-6), of three for 0.80 (21 bands, 3e-7).
 * Candidates within a bucket: all pairs of a small one; in a larger one every member meets
   a few hubs (the member that shares the most bands with others, and random ones), so their number is
   linear. Links are joined into components, and larger buckets that still hold
   several components are gone through exactly, in tiles of about 512 x 512 sets: a tile
   looks at its pairs across components and returns only links that join some, so
   no rows are made for pairs.
-* A candidate whose registers make 0.85 implausible (likelihood ratio, jointly over
+* A candidate whose registers make the similarity implausible (likelihood ratio, jointly over
   larger, smaller and equal registers with the known set sizes) is dropped; every
   other is verified on the full sets.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,16 +37,30 @@ ship(__name__)
 WORDS = 5
 PERCENT = 85          # linked: 100 * intersection >= PERCENT * union
 REGISTERS = 64
-ROWS = 4              # registers of a band
+MISSED = 1e-5         # probability at most that a link of just the similarity asked for shares no band
 BASE, RATE, TOP = 1.001, 20.0, 65534  # b, a and q of the sketch: 16-bit registers
 SMALL = 16            # buckets up to this size: all pairs
 TILE, TILE_SHINGLES = 512, 200_000  # sets, and shingles in them, on one side of a tile, about
-FEWEST_EQUAL = 37     # equal registers; 64 of similarity 0.85 have fewer with probability 1e-9
+TOO_FEW = 5e-8        # probability at most that the sketches of a link have too few equal registers
 DOUBT = 16.0          # log likelihood ratio beyond which PERCENT is given up
 
 _FACTORS = np.random.Generator(np.random.PCG64(7)).integers(0, 2 ** 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def band_rows(percent: int) -> int:
+    """Registers of a band: as many as miss no more than MISSED of the links of that similarity."""
+    fit = [r for r in range(1, REGISTERS + 1) if (1 - (percent / 100) ** r) ** (REGISTERS // r) <= MISSED]
+    return max(fit, default=1)
+
+
+def fewest_equal(percent: int) -> int:
+    """Equal registers that a link has: fewer come with probability TOO_FEW at most."""
+    j, below, k = percent / 100, 0.0, 0
+    while k < REGISTERS and (below := below + comb(REGISTERS, k) * j ** k * (1 - j) ** (REGISTERS - k)) <= TOO_FEW:
+        k += 1
+    return k
+
+
 def registers(v: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Registers (texts x REGISTERS, uint16) of the sets v[at[i]:at[i+1]]; empty sets give zeros."""
     out = np.zeros((len(at) - 1, REGISTERS), dtype=np.uint16)
@@ -147,13 +163,13 @@ def tile_links(left: list, right: list, same: bool, percent: int) -> list[tuple]
     roots: dict = {}
     x, y = _Chunk(left, roots), _Chunk(right, roots)
     group = np.arange(len(roots))  # component numbers as the tile joins them
-    found = []
+    found, fewest = [], fewest_equal(percent)
     for i in range(len(x.ids)):
         ok = (group[y.root] != group[x.root[i]]) & (np.minimum(y.size, x.size[i]) * 100 >= np.maximum(y.size, x.size[i]) * percent)
         if same:
             ok[:i + 1] = False
         which = np.flatnonzero(ok)
-        which = which[(y.sketch[which] == x.sketch[i]).sum(1) >= FEWEST_EQUAL]
+        which = which[(y.sketch[which] == x.sketch[i]).sum(1) >= fewest]
         if len(which) == 0:
             continue
         both = _common(x.sets[i], y, which)
@@ -289,8 +305,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
 
 def _links(classes: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, root) of all classes that are linked with another."""
-    step = 2 * ROWS
-    bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * step + 1, step)) for i in range(REGISTERS // ROWS)])
+    width = band_rows(percent)
+    step = 2 * width
+    bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * step + 1, step)) for i in range(REGISTERS // width)])
     listed = classes.select("digest", F.explode(bands).alias("bucket"))
     buckets = saved(listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "dup-buckets")
     shared = saved(join_hot(saved(listed, "dup-bands"), buckets, "bucket", "n"), "dup-shared")
