@@ -53,15 +53,14 @@ def test_keep_one_keeps_one_row_of_each_group(spark):
     assert neardup.keep_one(empty(spark)).count() == 0
 
 
-def test_the_stage_links_from_80_percent(spark):
-    import corpus_pipeline
+def test_links_from_80_percent(spark):
     docs = []
     for i in range(40):  # the copy ends in other words: similarity 100 / 120, 100 / 125 (linked) and 100 / 126 (not)
         words = prose(104, 500 + i).split(" ")
         docs += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(words + [f"w{i}x{k}" for k in range((20, 25, 26)[i % 3])]))]
-    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, brute.frame(spark, docs), "").collect()}
+    kept = {r.doc_id for r in neardup.keep_one(brute.frame(spark, docs), percent=80).collect()}
     assert kept == {10 * i for i in range(40)} | {10 * i + 1 for i in range(40) if i % 3 == 2}
-    assert {r.doc_id for r in neardup.keep_one(brute.frame(spark, docs)).collect()} == {d for d, _ in docs}  # 85 of the query
+    assert {r.doc_id for r in neardup.keep_one(brute.frame(spark, docs)).collect()} == {d for d, _ in docs}  # 85
     assert [(neardup.band_rows(p), neardup.fewest_equal(p)) for p in (85, 80)] == [(4, 37), (3, 32)]
 
 
