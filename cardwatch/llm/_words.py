@@ -18,6 +18,7 @@ ship(__name__)
 # Bytes that make up words, after A-Z became a-z.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+AS_IS = np.arange(256, dtype=np.uint8)
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 LETTERS_DIGITS = np.zeros(256, dtype=bool)
@@ -69,15 +70,16 @@ def slices(batches, column: str = "text", size: int = SLICE_BYTES):
             i = j
 
 
-def tokens(data: np.ndarray, at: np.ndarray, is_word: np.ndarray):
+def tokens(data: np.ndarray, at: np.ndarray, is_word: np.ndarray, fold: np.ndarray = LOWER):
     """Hash, text number and first token number per text of all words: (hashes, doc, first) of lower-cased ``data``.
 
     ``first`` has n + 1 entries: text i has the tokens first[i] .. first[i+1] - 1.
+    ``fold`` maps the bytes first; ``AS_IS`` keeps upper and lower case apart.
     """
     n, texts = len(data), len(at) - 1
     if n == 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros(texts + 1, np.int64)
-    low = LOWER[data]
+    low = fold[data]
     w = is_word[low]
     cut = np.zeros(n + 1, dtype=bool)
     cut[at] = True  # words end where texts end

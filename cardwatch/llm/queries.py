@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, licenses, linededup, lm, mixing, neardup, pii, toxicity, warc
+from . import decontaminate, fingerprints, licenses, linededup, lm, mixing, neardup, pii, quality, runs, search, toxicity, warc
 from ._shared import new_path, table
 
 
@@ -52,13 +52,27 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.clean(table(spark, sf_dir, "documents"))
+    return out.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).drop("text")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(runs.with_planted_periods(table(spark, sf_dir, "documents")))
+    return found.select(*runs.digests(found))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_neardup, op4_toxicity, op5_fingerprints, op6_warc, op7_lm, op8_linededup, op9_licenses, op10_mixing, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_neardup, op4_toxicity, op5_fingerprints, op6_warc, op7_lm, op8_linededup, op9_licenses, op10_mixing, op11_search, op12_quality, op13_runs, pipeline)}
 
 ORACLE = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
@@ -66,4 +80,6 @@ ORACLE = {
     "op8_linededup": linededup.ORACLE_SQL,
     "op9_licenses": licenses.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL.format(docs="documents"),
+    "op11_search": search.ORACLE_SQL,
+    "op12_quality": quality.ORACLE_SQL,
 }
