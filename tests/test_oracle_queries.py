@@ -1,14 +1,17 @@
-"""Every registered query equals its DuckDB oracle (driver contract, small scale)."""
+"""Every query of the warehouse equals its DuckDB oracle (driver contract, small scale).
+
+The training-data queries have tests of their own in ``tests/llm``.
+"""
 
 import pytest
 
-import __spark_entry__ as entry
+from cardwatch import catalog
 from oracle import compare, duck_connection
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
