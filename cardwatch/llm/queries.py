@@ -41,7 +41,8 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(table(spark, sf_dir, "documents")).withColumn("kept", linededup.spans(F.col("kept")))
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents"), unit="sentence", run_words=linededup.RUN_WORDS)
+    return out.withColumn("kept", linededup.spans(F.col("kept")))
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
