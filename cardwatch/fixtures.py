@@ -92,6 +92,37 @@ from {fx_clients_all} where k % 29 <> 2""",
 select 'C' || client_id card_num, case when k % 17 = 3 then 'A_OLD' else 'A' || client_id end account_num,
        0 deleted_flg, create_dt effective_from, {TS} '9999-12-31 00:00:00' effective_to
 from {fx_clients_all} where k % 13 <> 2""",
+    # Histories with closed versions, holes and moves, for the as-of joins.
+    "fx_terminals_versions": """
+select terminal_id, terminal_type, case when moved = 1 and part = 1 then 'EARLIER ' || terminal_city else terminal_city end terminal_city,
+       terminal_address, 0 deleted_flg,
+       case when part = 1 then {TS} '1900-01-01 00:00:00' else {TS} '2024-01-16 08:00:00' end effective_from,
+       case when part = 1 then {TS} '2024-01-16 08:00:00' else {TS} '9999-12-31 00:00:00' end effective_to
+from (select *, case when terminal_address like '%2' or terminal_address like '%5' then 1 else 0 end moved from {fx_terminals_hist}) t
+cross join (select 1 part union all select 2 part) p""",
+    "fx_cards_versions": """
+select 'C' || client_id card_num, 'A' || client_id account_num, 0 deleted_flg, create_dt effective_from,
+       case when k % 6 = 0 then {TS} '2024-01-12 06:30:00' else {TS} '9999-12-31 00:00:00' end effective_to
+from {fx_clients_all} where k % 13 <> 2
+union all
+select 'C' || client_id, 'A' || cast(k + 1 as string), 0, {TS} '2024-01-12 06:30:00', {TS} '9999-12-31 00:00:00'
+from {fx_clients_all} where k % 13 <> 2 and k % 6 = 0""",
+    "fx_accounts_versions": """
+select 'A' || client_id account_num, {TS} '2030-01-01 00:00:00' valid_to, client_id client, 0 deleted_flg, create_dt effective_from,
+       case when k % 5 = 0 then {TS} '2024-01-15 00:00:00' when k % 23 = 1 then create_dt else {TS} '9999-12-31 00:00:00' end effective_to
+from {fx_clients_all} where k % 13 <> 1
+union all
+select 'A' || client_id, {TS} '2031-01-01 00:00:00', cast(k + 2 as string), 0, {TS} '2024-01-15 00:00:00', {TS} '9999-12-31 00:00:00'
+from {fx_clients_all} where k % 13 <> 1 and k % 5 = 0""",
+    "fx_clients_versions": """
+select client_id, last_name, first_name, patronymic, date_of_birth, passport_num, passport_valid_to, phone,
+       case when k % 8 = 6 then 1 else 0 end deleted_flg, create_dt effective_from,
+       case when k % 4 = 1 then {TS} '2024-01-18 00:00:00' when k % 9 = 2 then {TS} '2024-01-05 00:00:00' else {TS} '9999-12-31 00:00:00' end effective_to
+from {fx_clients_all} where k % 14 <> 0
+union all
+select client_id, last_name, first_name, patronymic, date_of_birth, passport_num, passport_valid_to, 'new ' || phone,
+       case when k % 8 = 5 then 1 else 0 end, case when k % 4 = 1 then {TS} '2024-01-18 00:00:00' else {TS} '2024-01-20 00:00:00' end, {TS} '9999-12-31 00:00:00'
+from {fx_clients_all} where k % 14 <> 0 and (k % 4 = 1 or k % 9 = 2)""",
     "fx_blacklist_src": """
 select create_dt entry_dt, passport_num from {fx_clients_all} where k % 11 = 0""",
     "fx_blacklist_hist": """

@@ -68,7 +68,8 @@ def enrich(terminals: DataFrame, transactions: DataFrame, cards: DataFrame,
     """FRD-1: one row per operation and combination of dimension versions.
 
     ``as_of=True`` keeps only the version of each dimension that was valid
-    at the operation time (``effective_from <= trans_date < effective_to``).
+    at the operation time (``effective_from <= trans_date < effective_to``);
+    an operation without a whole chain of card, account and client has no client.
     """
     if as_of:
         return _enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist)
@@ -84,29 +85,61 @@ def _valid_at(ts: Column, frm: Column, to: Column) -> Column:
     return (frm <= ts) & (ts < to)
 
 
+#: Rows of terminal versions up to which the terminal side is broadcast (counted first); beyond, a shuffle join.
+BROADCAST_VERSIONS = 500_000
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_VERSIONS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``limit`` rows (counted, one small job)."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def card_timeline(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                  blacklist: DataFrame | None = None) -> DataFrame:
+    """Segments [seg_from, seg_to) of each card in which one client version holds.
+
+    The validities of a card version, of its account's versions and of their
+    client's versions are intersected, dimension against dimension; empty
+    intersections, and versions without a key or a bound, drop out. With one
+    version of each key at a time (as the keyed profile keeps them) the
+    segments of a card do not overlap; where versions overlap, each chain has its own.
+    """
+    cd = cards.select("card_num", F.col("account_num").alias("_account"),
+                      F.col("effective_from").alias("_cd_from"), F.col("effective_to").alias("_cd_to"))
+    a = accounts.select(F.col("account_num").alias("_a_account"), F.col("client").alias("_client"),
+                        F.col("effective_from").alias("_a_from"), F.col("effective_to").alias("_a_to"))
+    c = clients.select(*CLIENT_OUT, F.col("effective_from").alias("c_effective_from"), F.col("effective_to").alias("_c_to"))
+    # greatest/least skip NULLs, and a version with a NULL bound holds never
+    ca = (cd.join(a, (F.col("_account") == F.col("_a_account")) & (F.col("_cd_from") < F.col("_a_to")) & (F.col("_a_from") < F.col("_cd_to")))
+          .where("_cd_from < _cd_to and _a_from < _a_to")
+          .select("card_num", "_client", F.greatest("_cd_from", "_a_from").alias("_from"), F.least("_cd_to", "_a_to").alias("_to")))
+    line = (ca.join(c, (F.col("_client") == F.col("client_id")) & (F.col("_from") < F.col("_c_to")) & (F.col("c_effective_from") < F.col("_to")))
+            .where("c_effective_from < _c_to")
+            .select("card_num", F.greatest("_from", "c_effective_from").alias("seg_from"), F.least("_to", "_c_to").alias("seg_to"),
+                    *CLIENT_OUT, "c_effective_from"))
+    if blacklist is not None:
+        line = (line.join(blacklisted_passports(blacklist), "passport_num", "left")
+                .withColumn("blacklisted", F.coalesce("blacklisted", F.lit(False))))
+    return line
+
+
 def _enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist):
-    t = transactions.select("trans_id", "trans_date", "card_num", "terminal").alias("t")
-    tm = terminals.select("terminal_id", "terminal_city",
-                          F.col("effective_from").alias("tm_effective_from"),
-                          F.col("effective_to").alias("tm_effective_to")).alias("tm")
-    cd = cards.select(F.col("card_num").alias("cd_card_num"), F.col("account_num").alias("cd_account_num"),
-                      F.col("effective_from").alias("cd_from"), F.col("effective_to").alias("cd_to"))
-    a = accounts.select(F.col("account_num").alias("a_account_num"), "client",
-                        F.col("effective_from").alias("a_from"), F.col("effective_to").alias("a_to"))
-    c = clients.select(*CLIENT_OUT, F.col("effective_from").alias("c_effective_from"),
-                       F.col("effective_to").alias("c_to"))
+    """One exchange of the operations, on the card: the versions meet among themselves
+    first (:func:`card_timeline`), then every operation takes the segment that holds it.
+    A hot card is one of the operations' side, which AQE splits; its segments are few.
+    """
+    t = transactions.select("trans_id", "trans_date", "card_num", "terminal")
+    tm = terminals.select("terminal_id", "terminal_city", F.col("effective_from").alias("tm_effective_from"),
+                          F.col("effective_to").alias("_tm_to"))
     ts = F.col("trans_date")
-    df = (t.join(tm, (F.col("terminal") == F.col("terminal_id"))
-                 & _valid_at(ts, F.col("tm_effective_from"), F.col("tm_effective_to")), "inner")
-          .join(cd, (F.col("card_num") == F.col("cd_card_num")) & _valid_at(ts, F.col("cd_from"), F.col("cd_to")), "left")
-          .join(a, (F.col("cd_account_num") == F.col("a_account_num")) & _valid_at(ts, F.col("a_from"), F.col("a_to")), "left")
-          .join(c, (F.col("client") == F.col("client_id")) & _valid_at(ts, F.col("c_effective_from"), F.col("c_to")), "left"))
+    tx = (t.join(small_side(tm), (F.col("terminal") == F.col("terminal_id"))
+                 & _valid_at(ts, F.col("tm_effective_from"), F.col("_tm_to")), "inner").drop("terminal_id", "_tm_to"))
+    line = card_timeline(cards, accounts, clients, blacklist).withColumnRenamed("card_num", "_line_card")
+    df = tx.join(line, (F.col("card_num") == F.col("_line_card")) & _valid_at(ts, F.col("seg_from"), F.col("seg_to")), "left")
     df = df.select("trans_id", "trans_date", "card_num", "terminal", "terminal_city",
-                   "tm_effective_from", *CLIENT_OUT, "c_effective_from")
-    if blacklist is not None:
-        df = (df.join(blacklisted_passports(blacklist), "passport_num", "left")
-              .withColumn("blacklisted", F.coalesce("blacklisted", F.lit(False))))
-    return df
+                   "tm_effective_from", *CLIENT_OUT, "c_effective_from",
+                   *(["blacklisted"] if blacklist is not None else []))
+    return df if blacklist is None else df.withColumn("blacklisted", F.coalesce("blacklisted", F.lit(False)))
 
 
 def rule_passport(df: DataFrame) -> Column:

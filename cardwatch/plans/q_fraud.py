@@ -7,6 +7,8 @@ report date) and today's blacklist ``fx_blacklist_src``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from cardwatch.catalog import register
@@ -140,6 +142,28 @@ def frd_enrich_asof(fx):
     return frd.enrich(**_state(fx), as_of=True).select(*[c.strip() for c in _ENRICH_COLS.split(",")])
 
 
+def _versions(fx):
+    """The state with closed versions, holes and moves."""
+    return dict(_state(fx), **{d: fx[f"fx_{d}_versions"] for d in ("terminals", "cards", "accounts", "clients")})
+
+
+_VERSIONS_SQL = re.sub(r"fx_(terminals|cards|accounts|clients)_hist", r"fx_\1_versions", ENRICH_ASOF_SQL)
+
+
+@register("frd_enrich_asof_versions", f"with {_VERSIONS_SQL} select {_ENRICH_COLS} from enriched")
+def frd_enrich_asof_versions(fx):
+    """FRD-1 as-of over histories with closed versions and holes: a card moves between accounts, an account between clients."""
+    return frd.enrich(**_versions(fx), as_of=True).select(*[c.strip() for c in _ENRICH_COLS.split(",")])
+
+
+@register("fraud_report_keyed_versions", _report_sql(_VERSIONS_SQL, "60 minute"))
+def fraud_report_keyed_versions(fx):
+    """FRD-11, keyed profile, over histories with closed versions and holes."""
+    from cardwatch.plans.state import materializer
+    return frd.fraud_report(**_versions(fx), stg_transactions=fx["fx_transactions"],
+                            max_gap="60 minutes", as_of=True, materialize=materializer(fx.spark))
+
+
 @register("frd_rule_passport", f"""with {ENRICH_SQL}
 select trans_id, card_num, client_id, passport_num, passport_valid_to, trans_date, blacklisted
 from enriched where passport_valid_to < trans_date or blacklisted""")
@@ -165,8 +189,15 @@ select trans_id, card_num, trans_date, terminal_city, next_terminal_city, next_t
 from typed where next_terminal_city <> terminal_city and next_trans_date < trans_date + interval {gap}"""
 
 
+def _sequence(fx):
+    """Enriched operations with the next one of the card; the rows per card are counted before the fan-out."""
+    st = _state(fx)
+    profiles = frd.card_profiles(st["cards"], st["accounts"], st["clients"])
+    return frd.with_next_operation(frd.enrich(**st), tx=st["transactions"].select("card_num"), profiles=profiles)
+
+
 def _hop(fx, gap):
-    seq = frd.with_next_operation(frd.enrich(**_state(fx)))
+    seq = _sequence(fx)
     return seq.where(frd.rule_city_hop(seq, gap)).select(
         "trans_id", "card_num", "trans_date", "terminal_city", "next_terminal_city",
         "next_trans_date", "passport_num")
@@ -188,7 +219,7 @@ def frd_rule_city_hop_60min(fx):
 select event_type, count(*) n_rows from typed group by event_type""")
 def frd_event_type(fx):
     """FRD-5: rule priority per enriched row, counted by resulting type."""
-    seq = frd.with_next_operation(frd.enrich(**_state(fx)))
+    seq = _sequence(fx)
     return (seq.select(frd.event_type(seq).alias("event_type"))
             .groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows")))
 
