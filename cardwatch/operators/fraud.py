@@ -18,9 +18,12 @@ Plan shape (reference profile, all history versions):
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardwatch import schemas as S
 from cardwatch.functions.columns import full_name, within
 
 # Next-row order inside a card: the date, then tie-breakers so that rows
@@ -249,3 +252,79 @@ def fraud_report(terminals, transactions, cards, accounts, clients, blacklist,
     return ev.select("event_dt", F.col("passport_num").alias("passport"),
                      full_name("last_name", "first_name", "patronymic").alias("fio"),
                      "phone", F.col("event_type").cast("int").alias("event_type"), "report_dt")
+
+
+# ---- the day's report: only the day's rows, and what they decide about earlier ones ----
+
+def own_event_type(df: DataFrame) -> Column:
+    """Rules 1 and 2, which an operation's own row decides; else 0."""
+    return F.coalesce(F.when(rule_passport(df), 1).when(rule_closed(df), 2), F.lit(0)).cast("int")
+
+
+def carry_rows(enriched: DataFrame) -> DataFrame:
+    """Enriched operations as ``carry_cards`` keeps them."""
+    return enriched.withColumn("event_type", own_event_type(enriched)).select(*S.CARRY_CARDS.fieldNames())
+
+
+def carried_cards(*rows: DataFrame) -> DataFrame:
+    """The last row of each card in the order of :data:`LEAD_ORDER` (a partial aggregate; NULL is a card too)."""
+    from cardwatch.operators.sequence import sort_struct
+    cols = S.CARRY_CARDS.fieldNames()
+    every = reduce(DataFrame.unionByName, [r.select(*cols) for r in rows])
+    last = every.groupBy("card_num").agg(F.max_by(F.struct(*cols[1:]), sort_struct(LEAD_ORDER)).alias("_r"))
+    return last.select("card_num", "_r.*")
+
+
+def carried_passports(carry: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """Latest operation per passport: what was carried, moved on by ``rows``."""
+    new = rows.select("passport_num", F.col("trans_date").alias("event_dt"))
+    every = new if carry is None else carry.select("passport_num", "event_dt").unionByName(new)
+    return every.groupBy("passport_num").agg(F.max("event_dt").alias("event_dt"))
+
+
+def carry_from_history(terminals, transactions, cards, accounts, clients, blacklist, materialize) -> tuple[DataFrame, DataFrame]:
+    """(carry_cards, carry_passports) of operations that no day's report has covered yet: one pass over them."""
+    rows = materialize(carry_rows(_enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist)))
+    return materialize(carried_cards(rows)), materialize(carried_passports(None, rows))
+
+
+def day_report(terminals, day_transactions, cards, accounts, clients, blacklist, stg_transactions,
+               carry_cards: DataFrame, carry_passports: DataFrame, max_gap: str = "60 days", materialize=None,
+               skew_safe: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Report scope "rows of the day": (report rows, new carry_cards, new carry_passports).
+
+    ``day_transactions`` are the operations that the run adds. An operation is
+    judged on its own day by rules 1 and 2, and by rule 3 when its card's next
+    operation is there: that of the last operation of an earlier day arrives
+    later, so it is carried, and reported by the day that brings the next one
+    (unless its own day reported it). ``event_dt`` is the passport's latest
+    operation so far. The reports of consecutive days hold together what one
+    report over all of them holds, a type 3 row on the later day. An operation that arrives
+    late, before the carried one in time, is followed by the next of the day's
+    and the carried operation; a passport that enters the blacklist later does not bring earlier days back.
+
+    Reads the day's operations, the dimensions and the two carried tables (one row a card, one a
+    passport); never the facts of earlier days. Carried rows are of this profile: versions valid at the operation.
+    """
+    from cardwatch.operators.sequence import key_stats, lead_columns
+    today = carry_rows(_enrich_as_of(terminals, day_transactions, cards, accounts, clients, blacklist))
+    if materialize is not None:
+        today = materialize(today)
+    # a struct is never NULL: operations without a card follow one another too
+    key = F.struct("card_num").alias("_card")
+    earlier = (carry_cards.select("*", key).join(today.select(key), "_card", "left_semi").drop("_card"))
+    rows = today.withColumn("_new", F.lit(True)).unionByName(earlier.withColumn("_new", F.lit(False)))
+    seq = lead_columns(rows, ["card_num"], LEAD_ORDER, ["terminal_city", "trans_date"], skew_safe=skew_safe,
+                       stats=key_stats(today, ["card_num"]))
+    hop = (F.col("event_type") == 0) & F.coalesce(rule_city_hop(seq, max_gap), F.lit(False))
+    events = (seq.withColumn("_type", F.when(hop, 3).otherwise(F.col("event_type")))
+              .where(hop | (F.col("_new") & (F.col("event_type") > 0))))
+    new_cards, new_passports = carried_cards(carry_cards, today), carried_passports(carry_passports, today)
+    if materialize is not None:
+        new_cards, new_passports = materialize(new_cards), materialize(new_passports)
+    ev, ls = events.alias("e"), new_passports.alias("p")
+    events = ev.join(ls, F.col("e.passport_num").eqNullSafe(F.col("p.passport_num")), "left")
+    report = (events.select(F.col("p.event_dt"), F.col("e.passport_num").alias("passport"),
+                            full_name("e.last_name", "e.first_name", "e.patronymic").alias("fio"), "e.phone",
+                            F.col("e._type").cast("int").alias("event_type"), report_date(stg_transactions).scalar().alias("report_dt")).distinct())
+    return report, new_cards, new_passports

@@ -3,14 +3,15 @@
 ``lead(x) over (partition by k order by o)`` needs every row of ``k`` in
 one task; when a single key holds a large share of all rows (an unknown
 card, a test terminal) that task holds that share. Here a key with more
-than ``hot_rows`` rows is split into buckets of its first order column
-with about equally many rows each (its own quantiles, so bursts and
-outliers do not matter; they are saved once, so any recomputation after
-a lost executor gives the same buckets). The lead is taken per (key,
+than ``hot_rows`` rows is split into buckets with about equally many rows
+each, along the whole order: bounds are quantiles of the complete sort tuple, so
+bursts, outliers and any number of rows with the same or no first value
+do not matter. The bounds come from the rows whose tuple's hash falls into a
+fixed share (about ``SAMPLES`` a bucket) and are saved once, so any recomputation after
+a lost executor gives the same buckets. The lead is taken per (key,
 bucket); the last row of each bucket then takes the first row of the next
 non-empty bucket of the same key. Keys below the threshold keep one
-bucket and never reach the fix-up. Rows of one key with the very same
-value, or NULL, in the first order column stay together.
+bucket and never reach the fix-up. Only rows equal in every order column stay together.
 
 The ordering must be total on the columns that matter (add tie-breakers):
 rows that tie on ``order_by`` may come out in any order.
@@ -20,27 +21,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _KEY, _BUCKET, _TAIL = "_seq_key", "_seq_bucket", "_seq_tail"
 _HEAD, _NEXT_HEAD, _POS = "_seq_head", "_seq_next_head", "_seq_pos"
 DEFAULT_HOT_ROWS = 2_000_000
 BROADCAST_HOT_KEYS = 100_000
+SAMPLES = 64        # rows whose tuples place a bound, per bucket
 
 
-def _position(df: DataFrame, col: str):
-    """Numeric, order-preserving image of the first order column."""
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
-    if isinstance(dtype, (T.TimestampType, T.DateType)):
-        return F.unix_micros(F.col(col).cast("timestamp"))
-    if isinstance(dtype, T.NumericType):
-        return F.col(col)
-    raise TypeError(f"first order column {col} must be a timestamp, date or number, not {dtype}")
-
-
-def _sort_struct(order_by, values):
+def sort_struct(order_by, values=()):
     """Struct that sorts like ``order_by ASC NULLS LAST`` and carries ``values``."""
     fields = []
     for i, c in enumerate(order_by):
@@ -62,26 +51,29 @@ def _chunks(df: DataFrame, partition_by: list[str], order_by: list[str], hot_row
     stats = stats if stats is not None else key_stats(df, partition_by)
     # Hot keys: at most total_rows / hot_rows of them.
     hot = stats.where(F.col("_n") > hot_rows).select(_KEY, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_b"))
-    n_hot, parts = hot.agg(F.count(F.lit(1)), F.max("_b")).first()
+    n_hot = hot.count()
     if n_hot == 0:
         return None
-    parts = max(parts, 2)
     # A struct is never NULL and compares NULL fields as equal, so one plain
     # equi-key serves the window, the bucket table and the fix-up join; the
     # join then reuses the window's hash partitioning for the big side.
-    keyed = df.select("*", F.struct(*partition_by).alias(_KEY), _position(df, order_by[0]).alias(_POS))
+    keyed = df.select("*", F.struct(*partition_by).alias(_KEY))
     # Quantiles of the hot keys alone, saved: every later use sees the same bounds.
     from cardwatch.plans.state import materializer
-    bounds = (keyed.select(_KEY, _POS).join(hot, _KEY, "left_semi").groupBy(_KEY)
-              .agg(F.percentile_approx(_POS, [i / parts for i in range(1, parts)], max(10_000, 20 * parts)).alias("_bounds")))
+    share = max(1, hot_rows // SAMPLES)
+    sampled = keyed.where(F.pmod(F.xxhash64(*order_by), F.lit(share)) == 0).select(_KEY, sort_struct(order_by).alias(_POS))
+    bounds = (sampled.join(hot, _KEY, "inner").groupBy(_KEY)
+              .agg(F.sort_array(F.collect_list(_POS)).alias("_s"), F.max("_b").alias("_b"))
+              # ascending, at 1/b, 2/b, ... of the sample
+              .select(_KEY, F.transform(F.sequence(F.lit(1), F.greatest(F.col("_b") - 1, F.lit(1))),
+                                        lambda i: F.get("_s", F.floor(i * F.size("_s") / F.greatest("_b", F.lit(2))).cast("int"))).alias("_bounds")))
     bounds = materializer(df.sparkSession)(bounds)
     if n_hot <= BROADCAST_HOT_KEYS:      # checked size: broadcast; else a shuffle join
         bounds = F.broadcast(bounds)
-    bucket = (F.when(F.col("_hot").isNull(), F.lit(0))
-              .when(F.col(_POS).isNull(), F.lit(parts))         # NULLS LAST
-              .otherwise(F.size(F.filter(F.coalesce("_bounds", F.array().cast(T.ArrayType(bounds.schema["_bounds"].dataType.elementType))), lambda x: x < F.col(_POS))))).cast("long")
-    return (keyed.join(bounds.withColumn("_hot", F.lit(True)), _KEY, "left")
-               .select(*df.columns, _KEY, bucket.alias(_BUCKET), F.col("_hot").isNotNull().alias("_hot")))
+    placed = keyed.join(bounds.withColumn("_hot", F.lit(True)), _KEY, "left")
+    placed = placed.withColumn(_POS, F.when(F.col("_hot"), sort_struct(order_by)))
+    bucket = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(F.size(F.filter("_bounds", lambda x: x < F.col(_POS)))).cast("long")
+    return placed.select(*df.columns, _KEY, bucket.alias(_BUCKET), F.col("_hot").isNotNull().alias("_hot"))
 
 
 def bucket_sizes(df: DataFrame, partition_by: list[str], order_by: list[str], hot_rows: int) -> list[int]:
@@ -118,7 +110,7 @@ def lead_columns(df: DataFrame, partition_by: list[str], order_by: list[str],
 
     # First row of every bucket of a hot key, then the first row of the next bucket.
     heads = (chunked.where("_hot").groupBy(_KEY, _BUCKET)
-             .agg(F.min(_sort_struct(order_by, values)).alias(_HEAD)))
+             .agg(F.min(sort_struct(order_by, values)).alias(_HEAD)))
     nxt = (heads.select(_KEY, _BUCKET, F.lead(_HEAD).over(
         Window.partitionBy(_KEY).orderBy(_BUCKET)).alias(_NEXT_HEAD))
         .where(F.col(_NEXT_HEAD).isNotNull()))

@@ -44,12 +44,25 @@ class DayInputs:
 def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_ts: str,
             profile: str = "reference", max_gap: str = "60 days", meta_db: str = "wh",
             meta_table: str = "transactions", work_dir: str | None = None,
-            parallel: int | None = None) -> dict:
-    run = Run(spark, root, run_id)
+            parallel: int | None = None, report_scope: str = "all",
+            files: list[tuple[str, int, str]] = ()) -> dict:
+    """One business day over the published state.
+
+    ``report_scope``: "all" reports all history again (as the reference does);
+    "day" (keyed profile) reports the day's operations and what they decide about
+    earlier ones, from carried state (:func:`fraud.day_report`). ``files``:
+    (name, size, day) of the files that the inputs come from, for the ledger.
+    """
+    if report_scope not in ("all", "day"):
+        raise ValueError(f"unknown report scope {report_scope!r}")
+    if report_scope == "day" and profile != "keyed":
+        raise ValueError("a day's report needs versions valid at the operation: profile='keyed'")
+    run = Run(spark, root, run_id, profile)
     mat = materializer(spark, work_dir)
     now = S.ts_lit(run_ts)
     out: dict[str, DataFrame] = {}
 
+    earlier = run.table("fact_transactions")
     meta = run.table("meta")
     wm = cdc.watermark(meta, meta_db, meta_table)      # 1 row, cheap to recompute
     stg_tx = mat(S.conform(inputs.transactions, S.STG_TRANSACTIONS))
@@ -90,11 +103,23 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
             out[name] = df
 
     # E3: the report over the new state, then the watermark
-    report = fraud.fraud_report(out["hist_terminals"], out["fact_transactions"], out["hist_cards"],
-                                out["hist_accounts"], out["hist_clients"], out["fact_blacklist"],
-                                stg_tx, max_gap=max_gap, as_of=(profile == "keyed"),
-                                materialize=mat)
+    dims = [out["hist_cards"], out["hist_accounts"], out["hist_clients"], out["fact_blacklist"]]
+    if report_scope == "day":
+        if run.holds("carry_cards"):
+            carry = run.table("carry_cards"), run.table("carry_passports")
+        else:       # the first report of this kind: earlier operations are read once
+            carry = fraud.carry_from_history(out["hist_terminals"], earlier, *dims, mat)
+        report, cards, passports = fraud.day_report(
+            out["hist_terminals"], run.appended("fact_transactions"), *dims, stg_tx, *carry, max_gap=max_gap, materialize=mat)
+        out["carry_cards"] = run.replace("carry_cards", cards)
+        out["carry_passports"] = run.replace("carry_passports", passports)
+    else:
+        report = fraud.fraud_report(out["hist_terminals"], out["fact_transactions"], *dims,
+                                    stg_tx, max_gap=max_gap, as_of=(profile == "keyed"), materialize=mat)
+        run.forget("carry_cards", "carry_passports")    # they would miss this run's operations
     out["rep_fraud"] = run.append("rep_fraud", report)
+    if files:
+        run.record_files(list(files))
     out["meta"] = run.replace("meta", cdc.advance_watermark(meta, stg_tx, meta_db, meta_table))
     state = run.commit()
     return {"state": state, "tables": out}

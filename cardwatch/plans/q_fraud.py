@@ -164,6 +164,26 @@ def fraud_report_keyed_versions(fx):
                             max_gap="60 minutes", as_of=True, materialize=materializer(fx.spark))
 
 
+_DAY0 = "(select date_trunc('day', max(trans_date)) from fx_transactions)"
+
+
+@register("fraud_report_day_keyed", "with " + _seq_sql(_VERSIONS_SQL, "60 minute") + f"""
+select distinct event_dt, passport_num passport,
+       coalesce(last_name, '') || ' ' || coalesce(first_name, '') || ' ' || coalesce(patronymic, '') fio,
+       phone, event_type, (select max(trans_date) from fx_transactions) report_dt
+from typed where event_type > 0 and (trans_date >= {_DAY0} or (event_type = 3 and next_trans_date >= {_DAY0}))""")
+def fraud_report_day_keyed(fx):
+    """FRD-11 for the last day's operations; of the days before, only the carried state is read."""
+    from cardwatch.plans.state import materializer
+    st, mat, tx = _versions(fx), materializer(fx.spark), fx["fx_transactions"]
+    start = tx.agg(F.date_trunc("day", F.max("trans_date")).cast("timestamp_ntz")).scalar()
+    carry = frd.carry_from_history(**dict(st, transactions=tx.where(F.col("trans_date") < start)), materialize=mat)
+    st.pop("transactions")
+    day = mat(tx.where(F.col("trans_date") >= start))
+    return frd.day_report(day_transactions=day, stg_transactions=day, carry_cards=carry[0], carry_passports=carry[1],
+                          max_gap="60 minutes", materialize=mat, **st)[0]
+
+
 @register("frd_rule_passport", f"""with {ENRICH_SQL}
 select trans_id, card_num, client_id, passport_num, passport_valid_to, trans_date, blacklisted
 from enriched where passport_valid_to < trans_date or blacklisted""")

@@ -4,7 +4,9 @@ fixture views, run one day through :func:`run_day`, read the result back."""
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
@@ -97,17 +99,23 @@ def run_rerun_keyed(fx):
     return read_table(fx.spark, root, "rep_fraud")
 
 
+_SEEDED = {"hist_clients": "fx_clients_hist", "hist_accounts": "fx_accounts_hist", "hist_cards": "fx_cards_hist",
+           "hist_terminals": "fx_terminals_hist", "fact_transactions": "fx_transactions_hist",
+           "fact_blacklist": "fx_blacklist_hist", "meta": "fx_meta"}
+
+
 @register("run_reset", "\nunion all\n".join(
-    [f"select '{n}' table_name, cast(0 as bigint) n_rows" for n in S.WAREHOUSE_TABLES if n != "meta"]
-    + ["select 'meta' table_name, (select count(*) from fx_meta) n_rows"]))
+    f"select '{n}' table_name, " + (f"(select count(*) from {_SEEDED[n]})" if n in _SEEDED else "cast(0 as bigint)") + " n_before, "
+    + ("(select count(*) from fx_meta)" if n == "meta" else "cast(0 as bigint)") + " n_after" for n in S.WAREHOUSE_TABLES))
 def run_reset(fx):
-    """SNK-4: every table emptied except the watermark, in one publish."""
+    """SNK-4: rows of every table before and after the reset; only the watermark (and the ledger of files) stays."""
     root = scratch(fx.spark, "warehouse")
     seed_state(fx, root)
+
+    def counts(name):
+        parts = [read_table(fx.spark, root, n).agg(F.count(F.lit(1)).alias(name)).select(F.lit(n).alias("table_name"), name) for n in S.WAREHOUSE_TABLES]
+        return reduce(DataFrame.unionByName, parts)
+
+    before = counts("n_before")      # its paths are those of the state before
     reset(fx.spark, root, "reset")
-    out = None
-    for n in S.WAREHOUSE_TABLES:
-        part = read_table(fx.spark, root, n).agg(F.count(F.lit(1)).alias("n_rows")) \
-            .select(F.lit(n).alias("table_name"), "n_rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return before.join(counts("n_after"), "table_name")

@@ -12,6 +12,10 @@ run leaves the previous state untouched.
 A pointer also keeps the state that its run started from. Running the
 last published run id again starts from there and replaces what that run
 had published: the same date twice gives the same state as once.
+
+The table ``loaded_files`` is the ledger of the files whose rows are in the facts. It is
+published with them, so whether a file was loaded never depends on what a
+stream's checkpoint, an inbox or an archive remembers.
 """
 
 from __future__ import annotations
@@ -84,6 +88,11 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
     return "\n".join(lines)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _jvm_fs(spark, path)
+    fs.delete(p, True)
+
+
 def current(spark: SparkSession, root: str) -> dict:
     """The published state: {"seq", "run_id", "tables": {name: [paths]}}; empty before any run."""
     fs, p = _jvm_fs(spark, f"{root}/{POINTERS}")
@@ -118,10 +127,15 @@ class Run:
     run read the stored result instead of recomputing its plan.
     """
 
-    def __init__(self, spark: SparkSession, root: str, run_id: str):
+    def __init__(self, spark: SparkSession, root: str, run_id: str, profile: str | None = None):
         self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
         self.attempt = uuid.uuid4().hex
         self.before = current(spark, self.root)
+        # versions of the two profiles end differently: they cannot share one history
+        known = self.before.get("profile")
+        if profile and known and profile != known:
+            raise ValueError(f"{self.root} holds versions of the {known} profile; a {profile} run needs a root of its own")
+        self.profile = profile or known
         if self.before["run_id"] == run_id:       # a rerun replaces what the run published
             self.base = self.before["base"]
         elif run_id in self.before["runs"]:
@@ -147,11 +161,36 @@ class Run:
     def table(self, name: str) -> DataFrame:
         return _read_paths(self.spark, name, self.paths.get(name, []))
 
+    def appended(self, name: str) -> DataFrame:
+        """Only the rows that this run has appended."""
+        mine = [p for p in self.paths.get(name, []) if p.endswith(f"/attempt={self.attempt}")]
+        return _read_paths(self.spark, name, mine)
+
+    def holds(self, name: str) -> bool:
+        """Whether the table was ever written (an empty table was)."""
+        return bool(self.paths.get(name))
+
+    def forget(self, *names: str) -> None:
+        """The tables are as if never written (derived state that this run does not keep up)."""
+        for name in names:
+            self.paths.pop(name, None)
+
+    def record_files(self, files: list[tuple[str, int, str]]) -> None:
+        """Put (name, size, day) of files into the ledger; a few rows a day, one small table."""
+        rows = self.spark.createDataFrame([(*f, self.run_id) for f in files], S.LOADED_FILES)
+        self.replace("loaded_files", self.table("loaded_files").unionByName(rows).coalesce(1))
+
+    def loaded_files(self) -> set[tuple[str, int]]:
+        """(name, size) of every file in the ledger of the state that the run starts from."""
+        return {(r["file_name"], r["file_size"]) for r in self.table("loaded_files").select("file_name", "file_size").collect()}
+
     def commit(self, forget_runs: bool = False) -> dict:
+        if forget_runs:
+            self.profile = None
         seq = int(self.before["seq"]) + 1
         runs = [] if forget_runs else [r for r in self.before["runs"] if r != self.run_id]
         state = {"seq": seq, "run_id": self.run_id, "previous": self.before["run_id"],
-                 "tables": self.paths, "base": self.base, "runs": [*runs, self.run_id]}
+                 "tables": self.paths, "base": self.base, "runs": [*runs, self.run_id], "profile": self.profile}
         _write_text(self.spark, f"{self.root}/{POINTERS}/{seq:012d}.json",
                     json.dumps(state, sort_keys=True))
         return state
@@ -161,16 +200,18 @@ def remove_superseded(spark: SparkSession, root: str) -> list[str]:
     """Retention, called explicitly: delete attempts that neither the published
     state nor the state its run started from refers to (older snapshots, failed
     and replaced attempts). Not while a run is under way. Returns the folders."""
+    def whole(path):
+        fs, p = _jvm_fs(spark, path)
+        return fs.makeQualified(p).toString()
+
     now, removed = current(spark, root), []
-    used = {p.rstrip("/").split("/run=")[1] + "|" + n
-            for tables in (now["tables"], now["base"]) for n, ps in tables.items() for p in ps}
+    used = {whole(p) for tables in (now["tables"], now["base"]) for ps in tables.values() for p in ps}
     for name in S.WAREHOUSE_TABLES:
         fs, p = _jvm_fs(spark, f"{root.rstrip('/')}/{name}")
         for run in (fs.listStatus(p) if fs.exists(p) else []):
             for attempt in fs.listStatus(run.getPath()):
-                path = attempt.getPath()
-                key = f"{run.getPath().getName()[len('run='):]}/{path.getName()}|{name}"
-                if key not in used:
+                path = fs.makeQualified(attempt.getPath())
+                if path.toString() not in used:
                     fs.delete(path, True)
                     removed.append(path.toString())
     return removed
@@ -187,11 +228,12 @@ def publish(spark: SparkSession, root: str, run_id: str, replace: dict[str, Data
     return run.commit(forget_runs)
 
 
-def reset(spark: SparkSession, root: str, run_id: str, keep=("meta",)) -> dict:
+def reset(spark: SparkSession, root: str, run_id: str, keep=("meta", "loaded_files")) -> dict:
     """SNK-4: every table but ``keep`` becomes empty (with its schema), in one publish.
 
     As in the reference, the watermark table is kept, so the next run's
-    capture still starts from the old high-water mark.
+    capture still starts from the old high-water mark. The ledger of loaded files is kept
+    too: a file is loaded once, and what was deleted does not come back; ``keep=("meta",)`` lets files in the inbox load again.
     """
     return publish(spark, root, run_id, replace={
         n: S.empty(spark, sc) for n, sc in S.WAREHOUSE_TABLES.items() if n not in keep}, forget_runs=True)

@@ -66,6 +66,15 @@ META = _struct(("table_db", S), ("table_name", S), ("last_update_dt", TS))
 REP_FRAUD = _struct(("event_dt", TS), ("passport", S), ("fio", S), ("phone", S),
                     ("event_type", I), ("report_dt", TS))
 
+# What a day's report needs of the days before: the last operation of each card, the last time of each passport.
+CARRY_CARDS = _struct(("card_num", S), ("trans_id", S), ("trans_date", TS), ("terminal_city", S), ("tm_effective_from", TS),
+                      ("c_effective_from", TS), ("passport_num", S), ("last_name", S), ("first_name", S), ("patronymic", S),
+                      ("phone", S), ("passport_valid_to", TS), ("deleted_flg", I), ("event_type", I))
+CARRY_PASSPORTS = _struct(("passport_num", S), ("event_dt", TS))
+
+# Ledger of the files whose rows are in the facts: one row a file, written in the run that loads it.
+LOADED_FILES = _struct(("file_name", S), ("file_size", T.LongType()), ("day", S), ("run_id", S))
+
 # Source tables as the operational system exposes them (column names as read).
 SRC_CLIENTS = STG_CLIENTS
 SRC_ACCOUNTS = _struct(("account", S), ("valid_to", TS), ("client", S),
@@ -94,6 +103,7 @@ WAREHOUSE_TABLES = {
     "hist_cards": HIST_CARDS, "hist_terminals": HIST_TERMINALS,
     "fact_blacklist": FACT_BLACKLIST, "fact_transactions": FACT_TRANSACTIONS,
     "rep_fraud": REP_FRAUD, "meta": META,
+    "carry_cards": CARRY_CARDS, "carry_passports": CARRY_PASSPORTS, "loaded_files": LOADED_FILES,
 }
 
 

@@ -42,23 +42,45 @@ def daily_path(folder: str, kind: str, business_date: dt.date | str) -> str:
     return f"{folder.rstrip('/')}/" + FILE_PATTERNS[kind].format(date=business_date.strftime("%d%m%Y"))
 
 
+def date_of(kind: str, name: str) -> dt.date | None:
+    """The business date in a file name of ``kind``; None if the name is not of that pattern."""
+    head, tail = FILE_PATTERNS[kind].split("{date}")
+    digits = name[len(head):len(name) - len(tail)]
+    if not (name.startswith(head) and name.endswith(tail) and len(digits) == 8 and digits.isdigit()):
+        return None
+    try:
+        return dt.datetime.strptime(digits, "%d%m%Y").date()
+    except ValueError:
+        return None
+
+
 def blank_to_null(c: str):
     """Empty text is NULL in the warehouse."""
     return F.when(F.col(c) == "", F.lit(None)).otherwise(F.col(c))
 
 
-def transactions_reader(spark: SparkSession, bad_rows: str = "fail"):
-    mode = {"fail": "FAILFAST", "quarantine": "PERMISSIVE"}[bad_rows]
-    schema = TX_FILE_SCHEMA
-    if bad_rows == "quarantine":
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema)
-            .option("sep", ";").option("header", True)
-            .option("enforceSchema", True)              # bind columns by position
-            .option("locale", "de-DE")                  # decimal comma: 1234,5 -> 1234.50
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-            .option("mode", mode)
-            .option("columnNameOfCorruptRecord", CORRUPT))
+#: How a line is read: by position, decimal comma (1234,5 -> 1234.50), zone-free times.
+LINE_OPTIONS = {"sep": ";", "locale": "de-DE", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+                "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def transaction_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every line below the header, with its columns and, in ``reason``, why it is rejected (NULL: it is not).
+
+    The file is read as whole lines and each is parsed once, all columns of it, in a
+    generator that no projection reaches into: ``select`` and ``count`` see the same rows as a full read.
+    Reasons: ``columns`` (more or fewer than the schema has), ``transaction_date``, ``amount``.
+    """
+    lines = (spark.read.schema("line string").option("header", True).option("enforceSchema", True)
+             .option("sep", "\u0001").option("quote", "").option("escape", "").csv(paths))
+    fields = T.StructType([*TX_FILE_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parsed = lines.select("line", F.inline(F.array(F.from_csv("line", ddl, LINE_OPTIONS))))
+    bad = F.col(CORRUPT).isNotNull()
+    return parsed.withColumn("reason", F.when(bad & F.col("transaction_date").isNull() & F.col("amount").isNull() & F.col("terminal").isNull(), "columns")
+                             .when(bad & (F.size(F.split("line", ";")) > len(TX_FILE_SCHEMA)), "columns")
+                             .when(bad & F.col("transaction_date").isNull(), "transaction_date")
+                             .when(bad & F.col("amount").isNull(), "amount").when(bad, "columns"))
 
 
 def staging_columns() -> list:
@@ -81,22 +103,19 @@ def read_transactions(spark: SparkSession, path: str | list[str], bad_rows: str
     """SRC-4 / SRC-7: the day's operations.
 
     ``bad_rows="fail"`` stops on the first malformed row (as the daily job
-    does); ``"quarantine"`` returns ``(good, bad)`` with the raw text of
-    the malformed rows in ``bad``.
+    does); ``"quarantine"`` returns ``(good, bad)``, ``bad`` with the raw text of the malformed rows, the
+    reason of each and the columns that could be read. A row is malformed
+    whatever columns the query goes on to use, in both modes.
     """
-    paths = [path] if isinstance(path, str) else path
-    raw = transactions_reader(spark, bad_rows).csv(paths)
+    lines = transaction_lines(spark, [path] if isinstance(path, str) else path)
     if bad_rows == "fail":
-        return conform_transactions(raw)
-    # The CSV reader parses, and so validates, only the columns that a query
-    # names. A filter that needs every column (and that nothing can simplify away)
-    # makes each projection, a plain count included, see the same bad rows.
-    parsed = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in TX_FILE_SCHEMA.fieldNames()])) >= 0
-    good = conform_transactions(raw.where(F.col(CORRUPT).isNull() & parsed))
-    bad = raw.where(F.col(CORRUPT).isNotNull() & parsed).select(
-        F.col(CORRUPT).alias("raw_line"),
-        F.struct(*TX_FILE_SCHEMA.fieldNames()).alias("parsed"))
-    return good, bad
+        stop = F.raise_error(F.concat(F.lit("MALFORMED_ROW ("), F.col("reason"), F.lit("): "), F.col("line"))).cast("boolean")
+        return conform_transactions(lines.where(F.when(F.col("reason").isNull(), True).otherwise(stop)))
+    if bad_rows != "quarantine":
+        raise ValueError(f"bad_rows is fail or quarantine, not {bad_rows!r}")
+    bad = lines.where(F.col("reason").isNotNull()).select(
+        F.col("line").alias("raw_line"), "reason", F.struct(*TX_FILE_SCHEMA.fieldNames()).alias("parsed"))
+    return conform_transactions(lines.where(F.col("reason").isNull())), bad
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
