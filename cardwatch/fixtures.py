@@ -127,6 +127,44 @@ from {fx_clients_all} where k % 14 <> 0 and (k % 4 = 1 or k % 9 = 2)""",
 select create_dt entry_dt, passport_num from {fx_clients_all} where k % 11 = 0""",
     "fx_blacklist_hist": """
 select create_dt entry_dt, passport_num from {fx_clients_all} where k % 22 = 0""",
+    # Three days of sources: entities vanish on day 2 and come back on day 3, attributes move, day 3 stages some keys twice.
+    "d1_clients_src": """select * from {fx_clients_src}""",
+    "d2_clients_src": """
+select client_id, last_name, first_name, patronymic, date_of_birth, passport_num, passport_valid_to,
+       case when k % 11 = 3 then 'second ' || phone else phone end phone, create_dt,
+       case when k % 11 = 3 then {TS} '2024-01-15 12:00:00' else update_dt end update_dt
+from {fx_clients_all} where k % 29 <> 0 and k % 31 <> 5""",
+    "d3_clients_src": """
+select client_id, last_name, first_name, patronymic, date_of_birth, passport_num, passport_valid_to,
+       case when k % 11 = 3 then 'second ' || phone else phone end phone, create_dt,
+       case when k % 31 = 5 then {TS} '2024-01-25 10:00:00' when k % 11 = 3 then {TS} '2024-01-15 12:00:00' else update_dt end update_dt
+from {fx_clients_all} where k % 29 <> 0
+union all
+select client_id, last_name, first_name, patronymic, date_of_birth, passport_num, {TS} '2024-01-22 00:00:00', 'third ' || phone, create_dt, {TS} '2024-01-26 00:00:00'
+from {fx_clients_all} where k % 29 <> 0 and k % 10 = 7""",
+    "d1_accounts_src": """select * from {fx_accounts_src}""",
+    "d2_accounts_src": """select * from {fx_accounts_src} where client not like '%17'""",
+    "d3_accounts_src": """
+select account, valid_to, client, create_dt, case when client like '%17' then {TS} '2024-01-27 00:00:00' else update_dt end update_dt
+from {fx_accounts_src}""",
+    "d1_cards_src": """select * from {fx_cards_src} where card_num not like '%9'""",
+    "d2_cards_src": """select * from {fx_cards_src}""",
+    "d3_cards_src": """
+select card_num, case when card_num like '%8' then 'A1' else account end account, create_dt,
+       case when card_num like '%8' then {TS} '2024-01-28 00:00:00' else update_dt end update_dt
+from {fx_cards_src}""",
+    "d1_terminals_src": """select * from {fx_terminals_src}""",
+    "d2_terminals_src": """
+select terminal_id, terminal_type, case when terminal_id like '%4' then 'MOVED' else terminal_city end terminal_city, terminal_address
+from {fx_terminals_src} where terminal_id not like '%3'""",
+    "d3_terminals_src": """select * from {fx_terminals_src}""",
+    "d1_blacklist_src": """select entry_dt, passport_num from {fx_blacklist_src} where passport_num like '%1'""",
+    "d2_blacklist_src": """select entry_dt, passport_num from {fx_blacklist_src} where passport_num like '%1' or passport_num like '%2'""",
+    "d3_blacklist_src": """select entry_dt, passport_num from {fx_blacklist_src}""",
+    "d1_transactions": """select * from {fx_transactions} where trans_date < {TS} '2024-01-11 00:00:00'""",
+    "d2_transactions": """
+select * from {fx_transactions} where trans_date >= {TS} '2024-01-11 00:00:00' and trans_date < {TS} '2024-01-21 00:00:00'""",
+    "d3_transactions": """select * from {fx_transactions} where trans_date >= {TS} '2024-01-21 00:00:00'""",
     # The watermark table of the warehouse: one control row (db, table, time).
     "fx_meta": """
 select 'wh' table_db, 'transactions' table_name, {TS} '2024-01-10 00:00:00' last_update_dt""",

@@ -24,7 +24,10 @@ from cardwatch.sources import files, xlsx
 
 
 def archive_files(spark: SparkSession, paths: list[str], archive_dir: str) -> list[str]:
-    """Move each file to ``archive_dir/<name>.backup`` (Hadoop FS rename: any shared store)."""
+    """Move each file to ``archive_dir/<name>.backup`` (Hadoop FS rename: any shared store).
+
+    A file that was delivered again goes beside the first one, as ``<name>.backup-2`` and so on.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     moved = []
@@ -33,7 +36,10 @@ def archive_files(spark: SparkSession, paths: list[str], archive_dir: str) -> li
         fs = src.getFileSystem(conf)
         dst_dir = jvm.org.apache.hadoop.fs.Path(archive_dir)
         fs.mkdirs(dst_dir)
-        dst = jvm.org.apache.hadoop.fs.Path(dst_dir, src.getName() + ".backup")
+        dst, n = jvm.org.apache.hadoop.fs.Path(dst_dir, src.getName() + ".backup"), 1
+        while fs.exists(dst):
+            n += 1
+            dst = jvm.org.apache.hadoop.fs.Path(dst_dir, f"{src.getName()}.backup-{n}")
         if not fs.rename(src, dst):
             raise OSError(f"could not archive {p} to {dst.toString()}")
         moved.append(dst.toString())

@@ -99,6 +99,59 @@ def run_rerun_keyed(fx):
     return read_table(fx.spark, root, "rep_fraud")
 
 
+# Run times of the three days: each after its last operation.
+_DAYS = ("2024-01-11 03:36:00", "2024-01-21 03:36:00", "2024-01-31 03:36:00")
+
+
+def _three_days_sql() -> str:
+    """Keyed versions day after day, each day's operations with the versions of that day, then one
+    sequence over all of them: an operation is reported on its own day by rules 1 and 2, on the day of the next one by rule 3."""
+    ctes, hist, bl = [], {d: f"fx_{d}_hist" for d in S.DIMS}, "(select * from fx_blacklist_hist)"
+    for n, run_at in enumerate(_DAYS, 1):
+        wm = "fx_meta" if n == 1 else f"(select 'wh' table_db, 'transactions' table_name, (select max(trans_date) from d{n - 1}_transactions) last_update_dt)"
+        for d in S.DIMS:
+            body, last = q_scd.prefixed(q_scd.keyed_sql(d, "flag_deleted"), f"{d[:3]}{n}_")
+            body = (body.replace(f"fx_{d}_src", f"d{n}_{d}_src").replace(f"fx_{d}_hist", hist[d]).replace(q_scd.RUN, f"timestamp '{run_at}'")
+                    .replace("from fx_transactions)", f"from d{n}_transactions)").replace("from fx_meta", f"from {wm} m"))
+            ctes.append(body)
+            hist[d] = last
+        ctes.append(f"""bl{n} as (select * from {bl} union all select * from d{n}_blacklist_src s
+  where not exists (select 1 from {bl} t where t.passport_num = s.passport_num))""")
+        bl = f"bl{n}"
+        ctes.append(q_fraud.state_enrich_sql(hist["terminals"], f"d{n}_transactions", hist["cards"], hist["accounts"],
+                                             hist["clients"], bl, q_fraud.ENRICH_ASOF_SQL).strip().replace("enriched as", f"rows{n} as", 1))
+    ctes.append("every as (" + " union all ".join(f"select {n} as d, * from rows{n}" for n in (1, 2, 3)) + ")")
+    ctes.append(f"""seq as (select e.*, lead(d) over w next_d, lead(terminal_city) over w next_city, lead(trans_date) over w next_date
+  from every e window w as (partition by card_num order by {q_fraud.ORDER_SQL}))""")
+    ctes.append("""typed as (select s.*, case when passport_valid_to < trans_date or blacklisted then 1 when deleted_flg = 1 then 2
+  when next_city <> terminal_city and next_date < trans_date + interval 60 minute then 3 else 0 end event_type from seq s)""")
+    ctes.append("reported as (select t.*, case when event_type = 3 then next_d else d end rd from typed t where event_type > 0)")
+    ctes.append("last_seen as (select r.rd, e.passport_num, max(e.trans_date) event_dt from (values (1), (2), (3)) r(rd) join every e on e.d <= r.rd group by all)")
+    ctes.append("days as (" + " union all ".join(f"select {n} as rd, max(trans_date) report_dt from d{n}_transactions" for n in (1, 2, 3)) + ")")
+    return "with " + ",\n".join(ctes) + """
+select distinct l.event_dt, r.passport_num passport,
+       coalesce(last_name, '') || ' ' || coalesce(first_name, '') || ' ' || coalesce(patronymic, '') fio, phone, event_type, days.report_dt
+from reported r join last_seen l on l.rd = r.rd and l.passport_num is not distinct from r.passport_num join days on days.rd = r.rd"""
+
+
+@register("run_three_days_keyed", _three_days_sql())
+def run_three_days_keyed(fx):
+    """E1-E3, keyed, three days in a row: entities vanish and come back, some keys are staged twice,
+    each day reports its own rows from the state that the day before left."""
+    root = scratch(fx.spark, "warehouse")
+    run = Run(fx.spark, root, "0")
+    for d in S.DIMS:
+        run.replace(f"hist_{d}", fx[f"fx_{d}_hist"])
+    run.replace("meta", fx["fx_meta"])
+    run.append("fact_blacklist", fx["fx_blacklist_hist"])
+    run.commit()
+    for n, run_at in enumerate(_DAYS, 1):
+        inputs = DayInputs(**{name: fx[f"d{n}_{name}_src"] for name in ("clients", "accounts", "cards", "terminals", "blacklist")},
+                           transactions=fx[f"d{n}_transactions"])
+        run_day(fx.spark, root, str(n), inputs, run_at, profile="keyed", max_gap="60 minutes", report_scope="day", work_dir=f"{root}/_work")
+    return read_table(fx.spark, root, "rep_fraud")
+
+
 _SEEDED = {"hist_clients": "fx_clients_hist", "hist_accounts": "fx_accounts_hist", "hist_cards": "fx_cards_hist",
            "hist_terminals": "fx_terminals_hist", "fact_transactions": "fx_transactions_hist",
            "fact_blacklist": "fx_blacklist_hist", "meta": "fx_meta"}

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from cardwatch.catalog import register
+from cardwatch.plans.job import load_transaction_days
 from cardwatch.plans.state import publish, read_table
 from cardwatch.session import checkpoint_dir
 from cardwatch.sources import files, xlsx
@@ -52,14 +53,14 @@ def src_bad_rows(fx):
     return good
 
 
-@register("src_bad_rows_quarantined", "select trans_id from fx_transactions where cast(trans_id as bigint) % 50 = 0")
+@register("src_bad_rows_quarantined", "select trans_id, 'transaction_date' reason from fx_transactions where cast(trans_id as bigint) % 50 = 0")
 def src_bad_rows_quarantined(fx):
     """SRC-7, the other side: the raw lines of the rows that do not load."""
     path = scratch(fx.spark, "badtx") + "/transactions_31012024.txt"
     (_tx_text(fx["fx_transactions"], F.col("trans_id").cast("bigint") % 50 == 0)
      .write.option("sep", ";").option("header", True).csv(path))
     _good, bad = files.read_transactions(fx.spark, path, bad_rows="quarantine")
-    return bad.select(F.split("raw_line", ";")[0].alias("trans_id"))
+    return bad.select(F.split("raw_line", ";")[0].alias("trans_id"), "reason")
 
 
 @register("src_terminals_xlsx", "select * from fx_terminals_src")
@@ -100,3 +101,28 @@ def src_stream_daily_files(fx):
     _tx_text(fx["fx_transactions"]).repartition(4).write.option("sep", ";").option("header", True).csv(inbox)
     load_transactions_stream(spark, f"{root}/wh", inbox, f"{root}/work", f"{root}/archive", max_files_per_batch=2)
     return read_table(spark, f"{root}/wh", "fact_transactions")
+
+
+# Delivery dates of the three files: operations up to the 10th, up to the 20th, the rest.
+_DELIVERIES = (("10012024", "trans_date < timestamp_ntz'2024-01-11'"),
+               ("20012024", "trans_date >= timestamp_ntz'2024-01-11' and trans_date < timestamp_ntz'2024-01-21'"),
+               ("31012024", "trans_date >= timestamp_ntz'2024-01-21'"))
+
+
+@register("src_days_by_date", "select * from fx_transactions_hist union all " + TX_SECONDS.format(
+    src="fx_transactions s where not exists "
+        "(select 1 from fx_transactions_hist t where t.trans_id = s.trans_id)"))
+def src_days_by_date(fx):
+    """SRC-5 + FCT-1: every unpublished day of a folder, found by the dates in the file names, the
+    earliest first. Each file repeats the operations of the file before with other amounts: the first day's rows stay."""
+    spark = fx.spark
+    root = scratch(spark, "days")
+    publish(spark, f"{root}/wh", "0", append={"fact_transactions": fx["fx_transactions_hist"]})
+    tx = fx["fx_transactions"]
+    for i, (date, when) in reversed(list(enumerate(_DELIVERIES))):      # the last day arrives first
+        rows = tx.where(when)
+        if i:
+            rows = rows.unionByName(tx.where(_DELIVERIES[i - 1][1]).withColumn("amt", (F.col("amt") + 1).cast("decimal(10,2)")))
+        _tx_text(rows).write.option("sep", ";").option("header", True).csv(f"{root}/inbox/transactions_{date}.txt")
+    load_transaction_days(spark, f"{root}/wh", f"{root}/inbox", f"{root}/archive")
+    return read_table(spark, f"{root}/wh", "fact_transactions")

@@ -90,3 +90,47 @@ def test_first_run_on_empty_warehouse(spark, scratch):
     assert rep[0].report_dt == dt.datetime(2024, 1, 30, 11)
     assert state.read_table(spark, root, "meta").count() == 0     # an update never inserts
     assert out["state"]["run_id"] == "1"
+
+
+def test_retention_keeps_the_published_state_below_a_folder_named_like_a_run(spark, scratch):
+    root = f"{scratch}/run=5/wh"
+    row = lambda p: spark.createDataFrame([(OLD, p)], S.FACT_BLACKLIST)
+    meta = spark.createDataFrame([("wh", "transactions", None)], S.META)
+    state.publish(spark, root, "1", replace={"meta": meta}, append={"fact_blacklist": row("P1")})
+    state.publish(spark, root, "2", replace={"meta": meta})
+    state.Run(spark, root, "3").append("fact_blacklist", row("P9"))     # never committed
+    removed = state.remove_superseded(spark, root + "/")
+    assert len(removed) == 1 and "fact_blacklist/run=3" in removed[0]     # the first meta is the base of run 2
+    assert state.read_table(spark, root, "meta").count() == 1 and state.read_table(spark, root, "fact_blacklist").count() == 1
+    state.publish(spark, root, "4", replace={"meta": meta})
+    assert len(state.remove_superseded(spark, root)) == 1
+    assert state.read_table(spark, root, "meta").count() == 1
+
+
+def test_one_profile_a_root(spark, scratch):
+    root = f"{scratch}/wh"
+    run = state.Run(spark, root, "1", "keyed")
+    run.replace("meta", S.empty(spark, S.META))
+    run.commit()
+    assert state.current(spark, root)["profile"] == "keyed"
+    with pytest.raises(ValueError, match="keyed profile"):
+        state.Run(spark, root, "2", "reference")
+    state.publish(spark, root, "2", replace={"meta": S.empty(spark, S.META)})
+    assert state.current(spark, root)["profile"] == "keyed"     # a run that names none keeps it
+    state.reset(spark, root, "r")
+    state.Run(spark, root, "3", "reference")
+
+
+def test_ledger_is_published_with_the_run_and_kept_by_a_reset(spark, scratch):
+    root = f"{scratch}/wh"
+    run = state.Run(spark, root, "1")
+    run.record_files([("a.txt", 10, "20240101")])
+    assert state.read_table(spark, root, "loaded_files").count() == 0
+    run.commit()
+    again = state.Run(spark, root, "1")         # the same run once more: its own files are not yet loaded
+    assert again.loaded_files() == set()
+    assert state.Run(spark, root, "2").loaded_files() == {("a.txt", 10)}
+    state.reset(spark, root, "r")
+    assert state.Run(spark, root, "3").loaded_files() == {("a.txt", 10)}
+    state.reset(spark, root, "r2", keep=("meta",))
+    assert state.Run(spark, root, "3").loaded_files() == set()
