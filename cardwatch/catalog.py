@@ -32,7 +32,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all():
     # Import the modules that register queries.
-    from cardwatch.plans import q_fraud, q_scd, q_cdc, q_sources, q_run  # noqa: F401
+    from cardwatch.plans import q_fraud, q_scd, q_cdc, q_cursor, q_sources, q_run  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,10 +7,13 @@ scalar subqueries (``DataFrame.scalar()``), evaluated once per query.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.schemas import low, ts_lit
+from cardwatch.schemas import high, low, ts_lit
 
 
 def watermark(meta: DataFrame, db: str, table: str) -> DataFrame:
@@ -95,3 +98,48 @@ def advance_watermark(meta: DataFrame, stg_transactions: DataFrame, db: str, tab
     hit = (F.col("table_db") == db) & (F.col("table_name") == table) & mx.isNotNull()
     return meta.select("table_db", "table_name",
                        F.when(hit, mx).otherwise(F.col("last_update_dt")).alias("last_update_dt"))
+
+
+# ---- a cursor per source table (keyed profile) -----------------------------------
+
+def cursor(meta: DataFrame, db: str, table: str):
+    """The largest ``update_dt`` that was captured from the table; None if no row says so."""
+    return watermark(meta.where(F.col("last_update_dt").isNotNull()), db, table).first()["watermark"]
+
+
+def capture_since(src: DataFrame, at, overlap: str, hist: DataFrame, key: str, attrs, columns: dict[str, str],
+                  run_ts: Column, src_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(staged rows, 1 row ``cursor``) of a source table whose cursor stands ``at`` (None: never captured).
+
+    Without a cursor every row is staged. With one: the rows changed since ``overlap`` before
+    it (transactions that committed late carry an earlier time), without those up to the
+    cursor that the history holds as they are, open and unflagged; and rows without a change
+    time whose key the history does not have. The new cursor is the largest change time seen, never
+    the time of another table's rows.
+    """
+    src_key = src_key or key
+    moved = F.max("update_dt").alias("cursor")
+    out = [F.col(s).alias(t) for t, s in columns.items() if t != "update_dt"]
+    if at is None:
+        return src.select(*out, run_ts.alias("update_dt")), src.agg(moved)
+    since = ts_lit(at)
+    recent = src.where(F.col("update_dt") > since - F.expr(f"INTERVAL {overlap}"))
+    old = recent.where(F.col("update_dt") <= since).select(*out)
+    held = hist.where((F.col("effective_to") == high()) & (F.col("deleted_flg") == 0)).select(
+        F.col(key).alias("_k"), *[F.col(a).alias(f"_h_{a}") for a in attrs])
+    same = reduce(and_, [F.col(a).eqNullSafe(F.col(f"_h_{a}")) for a in attrs], F.col(key) == F.col("_k"))
+    new = recent.where(F.col("update_dt") > since).select(*out)
+    untimed = src.where(F.col("update_dt").isNull()).join(
+        hist.select(F.col(key).alias("_k")), F.col(src_key) == F.col("_k"), "left_anti").select(*out)
+    staged = new.unionByName(old.join(held, same, "left_anti")).unionByName(untimed)
+    return staged.withColumn("update_dt", run_ts), recent.agg(F.greatest(F.max("update_dt"), since).alias("cursor"))
+
+
+def advance_cursors(meta: DataFrame, moved: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """``meta`` with the cursor of each (db, table): its row is created by the first capture."""
+    rest = meta
+    for db, table in moved:
+        rest = rest.where(~((F.col("table_db") == db) & (F.col("table_name") == table)))
+    for (db, table), at in moved.items():
+        rest = rest.unionByName(at.select(F.lit(db).alias("table_db"), F.lit(table).alias("table_name"), F.col("cursor").alias("last_update_dt")))
+    return rest

@@ -13,7 +13,8 @@ rows return just the new rows ("deltas"); UPDATE-like steps are split
 into a *targets* step (a small distinct set of match values) and an
 *apply* step (a left join of the history with that set plus ``when``),
 so a caller can materialize the small pieces and rewrite the large
-history once per run (:func:`apply_day`).
+history once per run (:func:`apply_statements`). :func:`apply_day` gives the same
+rows for the reference profile with the merges, and the two updates, taken together.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.columns import changed, minus_days
@@ -276,7 +277,11 @@ def first_unique_version_keys(hist: DataFrame, key: str) -> DataFrame:
 def restore_previous(hist: DataFrame, dim: Dim, eff_from: Column | None, eff_to: Column) -> DataFrame:
     """SCD-8: distinct unflagged copies of the flagged rows of keys that pass
     SCD-7; ``effective_from`` kept unless given, ``effective_to`` = ``eff_to``."""
-    flagged = hist.where(F.col("deleted_flg") == 1)
+    return restore_flagged(hist, hist.where(F.col("deleted_flg") == 1), dim, eff_from, eff_to)
+
+
+def restore_flagged(hist: DataFrame, flagged: DataFrame, dim: Dim, eff_from: Column | None, eff_to: Column) -> DataFrame:
+    """:func:`restore_previous` where the flagged rows of ``hist`` are at hand."""
     # SCD-7 is per key: only keys with a flagged row need their versions counted
     keys = first_unique_version_keys(restrict(hist, flagged, [dim.key]), dim.key)
     rows = flagged.join(keys, dim.key, "left_semi")
@@ -301,17 +306,11 @@ def clocks(spec: Spec, run_ts: Column, day_scalars: DataFrame | None):
     return start, (start if spec.keyed else minus_days(start))
 
 
-def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts: Column,
-              day_scalars: DataFrame | None = None, profile: str = "reference",
-              stop_after: str = "restore", materialize=None) -> DataFrame:
-    """Run the daily steps for one dimension and return its new history.
-
-    ``materialize`` cuts lineage of the small deltas and target sets
-    (default: Parquet tables in the checkpoint folder, see
-    :func:`cardwatch.plans.state.materializer`); the large history is only
-    re-read, and rewritten once by the caller's publish. Each statement
-    reads the result of the previous ones, so without it the plan would
-    grow geometrically with the number of steps.
+def apply_statements(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts: Column,
+                     day_scalars: DataFrame | None = None, profile: str = "reference",
+                     stop_after: str = "restore", materialize=None) -> DataFrame:
+    """The daily steps of one dimension as a plain chain of the statements above, each over the
+    result of those before. :func:`apply_day` returns the same rows with fewer passes over the history.
     """
     if materialize is None:
         from cardwatch.plans.state import materializer
@@ -350,3 +349,120 @@ def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts
     else:
         restored = restore_previous(h, dim, start, high())
     return h.unionByName(materialize(restored))
+
+
+#: Staged rows up to which the merges of SCD-4 run in one partition (counted first): no exchange at all.
+SMALL_DELTA = 100_000
+
+
+def _texts(match: tuple[str, ...]) -> Column:
+    """One (number, value as text) row per match column that has a value."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(m).cast("string").alias("v")) for i, m in enumerate(match)])
+    return F.inline(F.filter(pairs, lambda p: p["v"].isNotNull()))
+
+
+def merged_versions(hist: DataFrame, rel: DataFrame, new: DataFrame, stg: DataFrame, dim: Dim, spec: Spec,
+                    eff_from: Column, materialize) -> DataFrame:
+    """SCD-4, all merges of the day in one pass over the staged rows: the versions they insert, in total.
+
+    ``rel``: the history rows of staged keys; ``new``: what SCD-1 inserts. The history
+    itself is read once, for the match values that it holds already. A merge sees what those
+    before it inserted, which are staged rows too: whether one has the value is a maximum
+    over the staged rows of that value, how many differ from a row is a sum over those of its key.
+    """
+    cols = [dim.key, *dim.attrs]
+    base = rel.select(*cols, "effective_to").unionByName(new.select(*cols, "effective_to"))
+    rows = stg.groupBy(*cols).agg(F.count(F.lit(1)).alias("_dup"))
+    taken = (hist.select(_texts(spec.change_match))
+             .join(stg.select(_texts(spec.change_match)), ["i", "v"], "left_semi").distinct())
+    taken = materialize(taken)
+    t = base.select(F.col(dim.key).alias("_tk"), *[F.col(a).alias(f"_t_{a}") for a in dim.attrs], F.col("effective_to").alias("_t_to"))
+    same_key = F.col(dim.key) == F.col("_tk")
+    differs = reduce(or_, [~F.col(a).eqNullSafe(F.col(f"_t_{a}")) for a in dim.attrs], F.lit(False))
+    counted = (rows.join(t, same_key, "left").groupBy(*cols, "_dup")
+               .agg(F.count("_tk").alias("_n"), F.count_if((F.col("_t_to") == high()) & differs).alias("_open")))
+    # no version at all (a NULL key): once; else once per open version that differs
+    counted = counted.withColumn("_open", F.when(F.col("_n") == 0, 1).otherwise(F.col("_open")))
+    fresh = new.select(dim.key).where(F.col(dim.key).isNotNull()).distinct().withColumn("_fresh", F.lit(True))
+    df = counted.join(fresh, dim.key, "left")
+    df = df.withColumn("_in", F.coalesce("_fresh", F.lit(False)) | F.col(dim.key).isNull())     # in the history since SCD-1
+    # one column a merge: the staged rows whose value the history has
+    pairs = taken.groupBy("v").agg(F.collect_set("i").alias("_is"))
+    for i, m in enumerate(spec.change_match):
+        df = df.join(pairs.select(F.col("v").alias(f"_v{i}"), F.array_contains("_is", i).alias(f"_taken{i}")), F.col(m).cast("string") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+    df = materialize(df)
+    n_rows, n_keyed, n_keys = df.agg(F.count(F.lit(1)), F.count(dim.key), F.count_distinct(dim.key)).first()
+    if n_rows <= SMALL_DELTA:
+        df = df.coalesce(1)
+    df = df.withColumn("_ins", F.lit(0).cast("long"))
+    by_key, by_row = Window.partitionBy(dim.key), Window.partitionBy(*cols)
+    for i, m in enumerate(spec.change_match):
+        held = (F.max(F.col("_in") | (F.col("_ins") > 0)).over(Window.partitionBy(m)) | F.coalesce(f"_taken{i}", F.lit(False))) & F.col(m).isNotNull()
+        others = F.lit(0)       # what earlier merges inserted for other rows of the key: nothing if no key is staged twice
+        if n_keyed > n_keys:
+            others = F.when(F.col(dim.key).isNotNull(), F.sum("_ins").over(by_key) - F.sum("_ins").over(by_row)).otherwise(others)
+        df = df.withColumn("_add", F.when(held, F.lit(0)).otherwise(F.col("_dup") * (F.col("_open") + others)))
+        df = df.withColumn("_ins", F.col("_ins") + F.col("_add")).drop("_add")
+    df = df.where(F.col("_ins") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_ins"))))
+    return version_rows(df, dim, 0, eff_from, high())
+
+
+def value_hits(hist: DataFrame, rel: DataFrame, inserted: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, spec: Spec) -> DataFrame:
+    """SCD-5 and SCD-6 finders together: one row per match value that is closed or flagged, (value, close, flag).
+
+    Both statements reach rows by the same column, so a value that is closed has no open row left to flag.
+    """
+    c = spec.close_on
+    closed = close_targets(rel.unionByName(inserted), stg, dim, spec).select(F.col(c).alias("_c"), F.lit(True).alias("close"), F.lit(False).alias("gone"))
+    gone = flag_targets(hist.unionByName(inserted), keys, dim, spec).select(F.col(spec.flag_on).alias("_c"), F.lit(False).alias("close"), F.lit(True).alias("gone"))
+    both = closed.unionByName(gone).where(F.col("_c").isNotNull()).groupBy("_c").agg(F.max("close").alias("close"), F.max("gone").alias("gone"))
+    return both.select("_c", "close", (F.col("gone") & ~F.col("close")).alias("flag"))
+
+
+def apply_hits(hist: DataFrame, hits: DataFrame, spec: Spec, end: Column, set_from: Column | None, set_to: Column,
+               flag: bool = True) -> DataFrame:
+    """SCD-5 and, with ``flag``, SCD-6 updates in one join: see :func:`apply_close` and :func:`apply_flag`."""
+    h = hist.join(hits, F.col(spec.close_on) == F.col("_c"), "left")
+    flagged = F.coalesce(F.col("flag"), F.lit(False)) if flag else F.lit(False)
+    new = {"effective_to": F.when(F.coalesce(F.col("close"), F.lit(False)), end).when(flagged, set_to).otherwise(F.col("effective_to")),
+           "deleted_flg": F.when(flagged, 1).otherwise(F.col("deleted_flg"))}
+    if set_from is not None:
+        new["effective_from"] = F.when(flagged, set_from).otherwise(F.col("effective_from"))
+    return h.select(*[new[c].cast(hist.schema[c].dataType).alias(c) if c in new else F.col(c) for c in hist.columns])
+
+
+def apply_day(hist: DataFrame, stg: DataFrame, keys: DataFrame, dim: Dim, run_ts: Column,
+              day_scalars: DataFrame | None = None, profile: str = "reference",
+              stop_after: str = "restore", materialize=None) -> DataFrame:
+    """Run the daily steps for one dimension and return its new history.
+
+    The day's statements work on what the day can affect: the staged rows, the history
+    rows of their keys (one semi join), and the match values they close or flag; the large history is only streamed past
+    these, and rewritten once by the caller's publish. ``materialize`` cuts
+    lineage of the small tables (default: Parquet tables in the checkpoint
+    folder, see :func:`cardwatch.plans.state.materializer`). The rows are those of :func:`apply_statements`.
+    """
+    if materialize is None:
+        from cardwatch.plans.state import materializer
+        materialize = materializer(hist.sparkSession)
+    spec = spec_for(dim, profile)
+    if spec.keyed or spec.close_on != spec.flag_on:
+        return apply_statements(hist, stg, keys, dim, run_ts, day_scalars, profile, stop_after, materialize)
+    start, end = clocks(spec, run_ts, day_scalars)
+    rel = materialize(restrict(hist, stg, [dim.key]).select(*hist.columns))
+    new = materialize(insert_new(rel, stg, dim, spec))
+    if stop_after == "insert_new":
+        return hist.unionByName(new)
+    inserted = new.unionByName(materialize(merged_versions(hist, rel, new, stg, dim, spec, start, materialize)))
+    h = hist.unionByName(inserted)
+    if stop_after == "insert_changed":
+        return h
+    hits = materialize(value_hits(hist, rel, inserted, stg, keys, dim, spec))
+    run_clock = spec.clock == "run"
+    update = dict(spec=spec, end=end, set_from=run_ts if run_clock else None, set_to=high() if run_clock else end)
+    h = apply_hits(h, hits, flag=stop_after != "close", **update)
+    if stop_after in ("close", "flag_deleted"):
+        return h
+    flagged = materialize(h.where(F.col("deleted_flg") == 1))
+    restored = restore_flagged(h, flagged, dim, None if run_clock else start, end if run_clock else high())
+    return h.unionByName(materialize(restored))

@@ -45,14 +45,19 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
             profile: str = "reference", max_gap: str = "60 days", meta_db: str = "wh",
             meta_table: str = "transactions", work_dir: str | None = None,
             parallel: int | None = None, report_scope: str = "all",
-            files: list[tuple[str, int, str]] = ()) -> dict:
+            files: list[tuple[str, int, str]] = (), capture: str = "watermark", overlap: str = "1 hour") -> dict:
     """One business day over the published state.
 
     ``report_scope``: "all" reports all history again (as the reference does);
     "day" (keyed profile) reports the day's operations and what they decide about
     earlier ones, from carried state (:func:`fraud.day_report`). ``files``:
     (name, size, day) of the files that the inputs come from, for the ledger.
+    ``capture``: "watermark" compares the bank tables with the last operation's time
+    (as the reference does); "cursor" (keyed profile) keeps a cursor of its own for
+    each, with ``overlap`` for late commits (:func:`cdc.capture_since`).
     """
+    if capture not in ("watermark", "cursor") or (capture == "cursor" and profile != "keyed"):
+        raise ValueError("capture is watermark, or cursor with profile='keyed'")
     if report_scope not in ("all", "day"):
         raise ValueError(f"unknown report scope {report_scope!r}")
     if report_scope == "day" and profile != "keyed":
@@ -61,6 +66,7 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
     mat = materializer(spark, work_dir)
     now = S.ts_lit(run_ts)
     out: dict[str, DataFrame] = {}
+    cursors: dict[tuple[str, str], DataFrame] = {}
 
     earlier = run.table("fact_transactions")
     meta = run.table("meta")
@@ -73,7 +79,11 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
         # read the source once: capture, key snapshot and history see the same rows
         src = mat(conform_bank(getattr(inputs, name), name))
         hist = run.table(f"hist_{name}")
-        stg = mat(cdc.capture_incremental(src, wm, hist, key, columns, now, src_key=src_key))
+        if capture == "cursor":
+            stg, at = cdc.capture_since(src, cdc.cursor(meta, "bank", name), overlap, hist, key, S.DIMS[name].attrs, columns, now, src_key=src_key)
+            stg, cursors["bank", name] = mat(stg), at
+        else:
+            stg = mat(cdc.capture_incremental(src, wm, hist, key, columns, now, src_key=src_key))
         keys = cdc.key_snapshot(src, src_key, key)
         new = scd2.apply_day(hist, stg, keys, S.DIMS[name], now, None, profile, materialize=mat)
         return f"hist_{name}", run.replace(f"hist_{name}", new)
@@ -120,6 +130,6 @@ def run_day(spark: SparkSession, root: str, run_id: str, inputs: DayInputs, run_
     out["rep_fraud"] = run.append("rep_fraud", report)
     if files:
         run.record_files(list(files))
-    out["meta"] = run.replace("meta", cdc.advance_watermark(meta, stg_tx, meta_db, meta_table))
+    out["meta"] = run.replace("meta", cdc.advance_cursors(cdc.advance_watermark(meta, stg_tx, meta_db, meta_table), cursors))
     state = run.commit()
     return {"state": state, "tables": out}

@@ -1,11 +1,14 @@
 """Hand-written SCD2 cases with expected rows reasoned from the daily job's statements."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
 from cardwatch.operators import scd2
+from cardwatch.plans.state import materializer
 
 RUN = "2024-01-31 03:36:00"
 RUN_TS = dt.datetime(2024, 1, 31, 3, 36)
@@ -122,3 +125,40 @@ def test_first_unique_version_counts_peers(spark):
     h = spark.createDataFrame(rows, S.HIST_CARDS)
     keys = sorted(r.card_num for r in scd2.first_unique_version_keys(h, "card_num").collect())
     assert keys == ["k2", "k3"]
+
+
+# ---- the day taken together equals the statements one by one -----------------------------------
+
+DAYS = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 5)]
+
+
+@pytest.mark.parametrize("name, seed", [("clients", 0), ("clients", 1), ("accounts", 0), ("terminals", 1)])
+def test_the_day_together_equals_the_statements_one_by_one(spark, scratch, monkeypatch, name, seed):
+    """Keys staged twice, NULL keys and values, values shared by many, rows flagged before, several open versions."""
+    if seed == 1:
+        monkeypatch.setattr(scd2, "SMALL_DELTA", 3)
+    r = random.Random(f"{name}{seed}")
+    dim, hi = S.DIMS[name], S.HIGH_DATE
+
+    def value(field):
+        if field.name == dim.key:
+            return r.choice([None, *[f"k{i}" for i in range(12)]]) if r.random() < 0.9 else f"k{r.randrange(20, 30)}"
+        if isinstance(field.dataType, S.T.TimestampNTZType):
+            return r.choice(DAYS)
+        return r.choice([None, "a", "b", "c", "d", "e", f"{field.name}{r.randrange(8)}"])
+
+    fields = [f for f in dim.schema if f.name in dim.columns]
+    hist = [tuple(value(f) for f in fields) + (r.choice([0, 0, 0, 1]), r.choice(DAYS), r.choice([hi, hi, dt.datetime(2024, 1, 3)])) for _ in range(40)]
+    stg = [tuple(value(f) for f in fields) + (r.choice(DAYS), dt.datetime(2024, 1, 31)) for _ in range(18)]
+    stg += stg[:3]
+    keys = [(k,) for k in {x[0] for x in stg} | {f"k{i}" for i in range(0, 12, 2)}]
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    frame = lambda rows, ddl: materializer(spark, scratch)(spark.createDataFrame(rows, ddl))
+    h = frame(hist, dim.schema)
+    s = frame(stg, names + ", create_dt timestamp_ntz, update_dt timestamp_ntz")
+    k = frame(keys, f"{dim.key} string")
+    day = spark.sql("select timestamp_ntz'2024-01-30 10:00:00' as m")
+    for stop in ("insert_changed", "restore")[1 - seed:]:
+        got, want = (sorted(map(repr, f(h, s, k, dim, S.ts_lit("2024-01-31 03:36:00"), day, stop_after=stop, materialize=materializer(spark, scratch)).collect()))
+                     for f in (scd2.apply_day, scd2.apply_statements))
+        assert got == want, stop
