@@ -15,9 +15,12 @@ def new_facts(fact: DataFrame, stg: DataFrame, key: str, keep=()) -> DataFrame:
     columns to pass on besides those of the fact table.
     """
     # only fact keys that occur in the day's rows matter: the (large) fact
-    # table is semi-joined against the day's keys, not aggregated whole
+    # table is semi-joined against the day's keys, not aggregated whole. The
+    # day's smallest and largest key go into the scan, which skips every part (written in
+    # ranges of the key, see state.KEY_RANGES) that lies outside.
     from cardwatch.operators.scd2 import restrict
-    known = restrict(fact.select(key), stg, [key])
+    low, high = stg.agg(F.min(key), F.max(key)).first()
+    known = restrict(fact.where(F.col(key).between(low, high)).select(key), stg, [key])
     return stg.join(known, key, "left_anti").select(*fact.columns, *keep)
 
 

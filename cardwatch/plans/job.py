@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardwatch.operators.facts import new_facts
 from cardwatch.plans.daily import DayInputs, run_day
-from cardwatch.plans.state import Run, read_table, write_parquet
+from cardwatch.plans.state import Run, materializer, read_table, write_parquet
 from cardwatch.sources import files, xlsx
 
 
@@ -104,7 +104,7 @@ def load_transaction_days(spark: SparkSession, root: str, inbox: str, archive_di
         path, run_id = files.daily_path(inbox, "transactions", day), day.strftime("%Y%m%d")
         run = Run(spark, root, run_id)
         tx = files.read_transactions(spark, path, bad_rows=bad_rows)
-        tx = tx[0] if bad_rows == "quarantine" else tx
+        tx = materializer(spark)(tx[0] if bad_rows == "quarantine" else tx)     # the file is parsed once
         run.append("fact_transactions", new_facts(run.table("fact_transactions"), tx, "trans_id"))
         run.forget("carry_cards", "carry_passports")    # no report has seen these operations
         run.record_files([(logical_name(path), file_size(spark, path), run_id)])

@@ -3,7 +3,9 @@
 ``spark.read.format("binaryFile")`` gives one row per workbook; a
 ``mapInPandas`` task unzips it and parses the sheet's XML with the
 standard library, yielding one row per sheet row. A workbook cannot be
-split, so one task handles one file; many files run in parallel.
+split, so one task handles one file; many files run in parallel. The XML is
+pulled through the parser row by row and given on in frames of FRAME_ROWS, so what a
+task holds is the packed workbook, its shared strings and one frame, whatever the number of rows.
 Cells come out as text plus a type letter (``n`` number, ``s`` text,
 ``b`` boolean, ``d`` ISO date); typing happens afterwards in Spark.
 """
@@ -11,8 +13,10 @@ Cells come out as text plus a type letter (``n`` number, ``s`` text,
 from __future__ import annotations
 
 import io
+import itertools
 import sys
 import zipfile
+from array import array
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -34,9 +38,14 @@ except Exception:  # pragma: no cover - older cloudpickle without the hook
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
+#: Rows of a frame that a task gives on.
+FRAME_ROWS = 20_000
 _RID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
+_V, _IS, _T, _R = (f"{{{_NS['m']}}}{tag}" for tag in ("v", "is", "t", "r"))
+
+
 def _col_index(ref: str) -> int:
     n = 0
     for ch in ref:
@@ -48,12 +57,67 @@ def _col_index(ref: str) -> int:
 
 def _text(el) -> str:
     """Text of a string item: its own ``t`` and those of its rich-text runs; phonetic runs are not part of it."""
-    item = el.find("m:is", _NS) if el.find("m:is", _NS) is not None else el
-    return "".join(t.text or "" for t in [*item.findall("m:t", _NS), *item.findall("m:r/m:t", _NS)])
+    inline = el.find(_IS)
+    item = el if inline is None else inline
+    return "".join(t.text or "" for t in [*item.findall(_T), *(t for run in item.findall(_R) for t in run.findall(_T))])
+
+
+def _each(zf: zipfile.ZipFile, path: str, parent: str, tag: str):
+    """The ``tag`` children of ``parent``, one at a time as the packed XML is read; each is gone once the next is asked for."""
+    parent, tag, holder = (f"{{{_NS['m']}}}{parent}", f"{{{_NS['m']}}}{tag}", None)
+    with zf.open(path) as stream:
+        for event, el in ET.iterparse(stream, events=("start", "end")):
+            if event == "start":
+                if el.tag == parent:
+                    holder = el
+            elif el.tag == tag and holder is not None:
+                yield el
+                holder.clear()
+
+
+class SharedStrings:
+    """The workbook's strings by number: one buffer of UTF-8 and the place where each ends."""
+
+    def __init__(self, zf: zipfile.ZipFile):
+        self.buffer, self.ends = bytearray(), array("Q")
+        if "xl/sharedStrings.xml" in zf.namelist():
+            for si in _each(zf, "xl/sharedStrings.xml", "sst", "si"):
+                self.buffer += _text(si).encode()
+                self.ends.append(len(self.buffer))
+
+    def __getitem__(self, i: int) -> str:
+        if not 0 <= i < len(self.ends):
+            raise ValueError(f"the workbook has no shared string {i}")
+        return self.buffer[self.ends[i - 1] if i else 0:self.ends[i]].decode()
+
+
+def _cells(row, ncols: int, shared: SharedStrings, number: str):
+    vals, kinds = [None] * ncols, [None] * ncols
+    for i, c in enumerate(row.iter(f"{{{_NS['m']}}}c")):
+        j = _col_index(c.get("r")) if c.get("r") else i
+        if j >= ncols:
+            continue
+        t = c.get("t", "n")
+        v = c.find(_V)
+        if t == "inlineStr":
+            vals[j], kinds[j] = _text(c), "s"
+        elif v is None or v.text is None:
+            continue
+        elif t == "s":
+            vals[j], kinds[j] = shared[int(v.text)], "s"
+        elif t in ("str", "e"):
+            vals[j], kinds[j] = v.text, "s"
+        elif t == "b":
+            vals[j], kinds[j] = "TRUE" if v.text == "1" else "FALSE", "b"
+        elif t == "d":
+            vals[j], kinds[j] = v.text, "d"
+        else:
+            vals[j], kinds[j] = v.text, number
+    return vals, kinds
 
 
 def sheet_rows(data: bytes, sheet: str, ncols: int):
-    """Yield (row_number, [text]*ncols, [type]*ncols) for every non-empty row of ``sheet``."""
+    """Yield (row_number, [text]*ncols, [type]*ncols) for every non-empty row of ``sheet``, as it is read."""
     zf = zipfile.ZipFile(io.BytesIO(data))
     wb = ET.fromstring(zf.read("xl/workbook.xml"))
     properties = wb.find("m:workbookPr", _NS)
@@ -70,33 +134,9 @@ def sheet_rows(data: bytes, sheet: str, ncols: int):
                   if r.get("Id") == rid)
     target = target.lstrip("/")
     path = target if target.startswith("xl/") else "xl/" + target
-    shared = []
-    if "xl/sharedStrings.xml" in zf.namelist():
-        sst = ET.fromstring(zf.read("xl/sharedStrings.xml"))
-        shared = [_text(si) for si in sst.iter(f"{{{_NS['m']}}}si")]
-    root = ET.fromstring(zf.read(path))
-    for row in root.iter(f"{{{_NS['m']}}}row"):
-        vals, kinds = [None] * ncols, [None] * ncols
-        for i, c in enumerate(row.iter(f"{{{_NS['m']}}}c")):
-            j = _col_index(c.get("r")) if c.get("r") else i
-            if j >= ncols:
-                continue
-            t = c.get("t", "n")
-            v = c.find("m:v", _NS)
-            if t == "inlineStr":
-                vals[j], kinds[j] = _text(c), "s"
-            elif v is None or v.text is None:
-                continue
-            elif t == "s":
-                vals[j], kinds[j] = shared[int(v.text)], "s"
-            elif t in ("str", "e"):
-                vals[j], kinds[j] = v.text, "s"
-            elif t == "b":
-                vals[j], kinds[j] = "TRUE" if v.text == "1" else "FALSE", "b"
-            elif t == "d":
-                vals[j], kinds[j] = v.text, "d"
-            else:
-                vals[j], kinds[j] = v.text, number
+    shared = SharedStrings(zf)
+    for row in _each(zf, path, "sheetData", "row"):
+        vals, kinds = _cells(row, ncols, shared, number)
         if any(x is not None for x in vals):
             yield int(row.get("r", 0)), vals, kinds
 
@@ -113,17 +153,16 @@ def read_sheet(spark: SparkSession, paths, sheet: str, ncols: int, header: bool
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
 
+    names = _raw_schema(ncols).fieldNames()
+
     def parse(batches):
         for pdf in batches:
-            out = []
             for path, content in zip(pdf["path"], pdf["content"]):
-                rows = list(sheet_rows(bytes(content), sheet, ncols))
-                for k, (rn, vals, kinds) in enumerate(rows):
-                    if header and k == 0:
-                        continue
-                    out.append([path, rn, *vals, *kinds])
-            cols = _raw_schema(ncols).fieldNames()
-            yield pd.DataFrame(out, columns=cols)
+                rows = sheet_rows(bytes(content), sheet, ncols)
+                if header:
+                    next(rows, None)
+                while frame := [[path, rn, *vals, *kinds] for rn, vals, kinds in itertools.islice(rows, FRAME_ROWS)]:
+                    yield pd.DataFrame(frame, columns=names)
     return files.mapInPandas(parse, _raw_schema(ncols))
 
 

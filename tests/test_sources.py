@@ -160,3 +160,30 @@ def test_stream_rows_do_not_depend_on_batches(spark, scratch, files_per_batch):
     _write(inbox, "transactions_04032021.txt", HEADER + row.format(9, 4, 7))
     load()
     assert facts() == sorted([*want, ("9", 7)])
+
+
+def test_a_workbook_is_pulled_row_by_row(spark, scratch, monkeypatch):
+    """30,000 rows of shared and own strings: memory stays far below that of the parsed sheet; frames are bounded."""
+    n, m = 30_000, 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    _shared_string_workbook(path := os.path.join(scratch, "book.xlsx"))
+    src, buf = zipfile.ZipFile(path), io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for name in ("xl/workbook.xml", "xl/_rels/workbook.xml.rels"):
+            z.writestr(name, src.read(name))
+        z.writestr("xl/sharedStrings.xml", f"<sst {m}>" + "".join(f"<si><t>é{i}</t></si>" for i in range(n)) + "</sst>")
+        z.writestr("xl/worksheets/sheet2.xml", f"<worksheet {m}><sheetData>" + "".join(
+            f'<row r="{i + 1}"><c r="A{i + 1}"><v>{i}</v></c><c r="B{i + 1}" t="s"><v>{n - 1 - i}</v></c></row>' for i in range(n)) + "</sheetData></worksheet>")
+    import tracemalloc
+    tracemalloc.start()
+    rows = sum(1 for _ in xlsx.sheet_rows(buf.getvalue(), "blacklist", 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == n and peak < 5_000_000        # the tree of this sheet takes some 50 MB
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    monkeypatch.setattr(xlsx, "FRAME_ROWS", 1000)
+    got = xlsx.read_sheet(spark, path, "blacklist", 2)
+    assert got.count() == n - 1 and got.where(f"c0 = '{n - 1}'").first().c1 == "é0"
+    bad = buf.getvalue()
+    with pytest.raises(ValueError, match="no shared string"):
+        xlsx.SharedStrings(zipfile.ZipFile(io.BytesIO(bad)))[n]

@@ -134,3 +134,37 @@ def test_ledger_is_published_with_the_run_and_kept_by_a_reset(spark, scratch):
     assert state.Run(spark, root, "3").loaded_files() == {("a.txt", 10)}
     state.reset(spark, root, "r2", keep=("meta",))
     assert state.Run(spark, root, "3").loaded_files() == set()
+
+
+def test_a_days_keys_are_looked_up_in_few_row_groups(spark, scratch):
+    """Facts lie in sorted ranges of the key: the day's bounds exclude most row groups by their statistics."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from cardwatch.operators.facts import new_facts
+    root, cols = f"{scratch}/wh", S.FACT_TRANSACTIONS
+    ids = lambda a, b: S.conform(spark.range(a, b).select(F.format_string("%08d", F.col("id")).alias("trans_id"), *[
+        F.lit(None).alias(f.name) for f in cols if f.name != "trans_id"]), cols)
+    for day in range(5):
+        run = state.Run(spark, root, str(day))
+        run.append("fact_transactions", ids(day * 4000, day * 4000 + 4000).orderBy(F.rand(1)))
+        run.commit()
+    fact = state.read_table(spark, root, "fact_transactions")
+    stg = ids(19_900, 20_100)
+    new = new_facts(fact, stg, "trans_id")
+    assert sorted(r.trans_id for r in new.select("trans_id").collect()) == [f"{i:08d}" for i in range(20_000, 20_100)]
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(trans_id,00019900)" in plan and "LessThanOrEqual(trans_id,00020099)" in plan
+    groups, hit = 0, 0
+    for path in glob.glob(f"{root}/fact_transactions/**/*.parquet", recursive=True):
+        meta = pq.read_metadata(path)
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(0).statistics
+            groups += 1
+            hit += stats.max >= "00019900" and stats.min <= "00020099"
+    assert groups >= 5 and hit <= groups / 4
+    assert new_facts(fact, stg.limit(0), "trans_id").count() == 0
+    nulls = stg.limit(2).withColumn("trans_id", F.lit(None).cast("string"))
+    assert new_facts(fact, nulls, "trans_id").count() == 2
