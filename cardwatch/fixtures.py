@@ -77,7 +77,8 @@ select client_id, last_name, first_name, patronymic, date_of_birth, passport_num
        0, {TS} '1899-01-01 00:00:00', {TS} '1899-12-31 00:00:00'
 from {fx_clients_all} where k % 37 = 0 and k % 13 <> 0""",
     "fx_accounts_src": """
-select 'A' || client_id account, cast('2030-0' || cast(1 + k % 9 as string) || '-01 00:00:00' as {TS}) valid_to,
+select 'A' || client_id account,
+       case when k % 19 = 5 and k % 13 <> 1 then {TS} '2033-05-01 00:00:00' else cast('2030-0' || cast(1 + k % 9 as string) || '-01 00:00:00' as {TS}) end valid_to,
        client_id client, create_dt, update_dt
 from {fx_clients_all} where k % 29 <> 1""",
     "fx_accounts_hist": """
@@ -165,9 +166,9 @@ from {fx_terminals_src} where terminal_id not like '%3'""",
     "d2_transactions": """
 select * from {fx_transactions} where trans_date >= {TS} '2024-01-11 00:00:00' and trans_date < {TS} '2024-01-21 00:00:00'""",
     "d3_transactions": """select * from {fx_transactions} where trans_date >= {TS} '2024-01-21 00:00:00'""",
-    # The watermark table of the warehouse: one control row (db, table, time).
+    # The watermark table of the warehouse: one control row (db, table, time), nine days after the first event.
     "fx_meta": """
-select 'wh' table_db, 'transactions' table_name, {TS} '2024-01-10 00:00:00' last_update_dt""",
+select 'wh' table_db, 'transactions' table_name, cast(cast(min(ts) as date) + interval 9 day as {TS}) last_update_dt from {events}""",
 }
 
 _REF = re.compile(r"\{(\w+)\}")

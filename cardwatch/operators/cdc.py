@@ -44,20 +44,21 @@ def watermark_literal(wm: DataFrame) -> Column:
 def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
     """Rows of ``df`` where ``col NOT IN (select other_col from other)`` is TRUE.
 
-    SQL's null-aware NOT IN, planned as a shuffle anti join plus a 1-row
-    guard instead of a broadcast null-aware anti join (which needs the
-    whole key set in memory, or degrades to a nested loop under OR):
+    SQL's null-aware NOT IN, planned as a plain anti join instead of a
+    broadcast null-aware one (which needs the whole key set in memory, or degrades to a nested loop under OR):
     an empty list passes everything; a NULL in the list passes nothing;
-    a NULL probe passes only an empty list.
+    a NULL probe passes only an empty list. Whether the list is empty or has a NULL is
+    asked first, one row each (column statistics answer the second for most files); then the keys are
+    restricted to those of ``df``, so the list is streamed once and never aggregated.
     """
+    from cardwatch.operators.scd2 import restrict
     keys = other.select(F.col(other_col).alias("_k"))
-    # one aggregate over the key column, used as a scalar subquery (evaluated once)
-    guard = keys.agg(F.struct(F.count(F.lit(1)).alias("n"),
-                              F.max(F.col("_k").isNull().cast("int")).alias("has_null")).alias("g")).scalar()
-    distinct = keys.where(F.col("_k").isNotNull()).distinct()
-    kept = df.join(distinct, F.col(col) == F.col("_k"), "left_anti")
-    return kept.where((guard.getField("n") == 0)
-                      | (F.col(col).isNotNull() & (guard.getField("has_null") == 0)))
+    if keys.isEmpty():
+        return df
+    if not keys.where(F.col("_k").isNull()).isEmpty():
+        return df.where(F.lit(False))
+    held = restrict(keys, df.select(F.col(col).alias("_k")), ["_k"])
+    return df.where(F.col(col).isNotNull()).join(held, F.col(col) == F.col("_k"), "left_anti")
 
 
 def capture_incremental(src: DataFrame, wm: DataFrame, hist: DataFrame, key: str,

@@ -233,6 +233,8 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
     events = (seq.select(*[c for c in seq.columns if c not in ("event_type",)],
                          event_type(seq, max_gap).alias("event_type"))
               .where(F.col("event_type") > 0))
+    # event_dt follows from the passport: distinct rows first, then the join
+    events = events.select(*[c for c in EVENT_COLS if c not in ("event_dt", "report_dt")]).distinct()
     ev, ls = events.alias("e"), last.alias("p")
     events = ev.join(ls, F.col("e.passport_num").eqNullSafe(F.col("p.passport_num")), "left")
     # one value for the whole report: a scalar subquery, evaluated once
@@ -240,7 +242,7 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
     return (events.select(F.col("p.event_dt"), F.col("e.passport_num"), "e.last_name",
                           "e.first_name", "e.patronymic", "e.phone", "e.event_type",
                           rd.alias("report_dt"))
-            .select(*EVENT_COLS).distinct())
+            .select(*EVENT_COLS))
 
 
 def fraud_report(terminals, transactions, cards, accounts, clients, blacklist,

@@ -9,6 +9,7 @@ The oracle SQL spells the same steps as a chain of DuckDB CTEs.
 from __future__ import annotations
 
 import re
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -25,6 +26,19 @@ HI = "timestamp '9999-12-31 00:00:00'"
 LO = "timestamp '1900-01-01 00:00:00'"
 DAY = "(select max(trans_date) from fx_transactions)"
 
+# What each statement of the daily job matches on, written out for the oracle.
+_RULES = {
+    "clients": SimpleNamespace(new_from="create_dt", new_to="high", change_match=("last_name", "passport_num", "passport_valid_to", "phone"),
+                               close_on="last_name", close_guarded=("last_name",), flag_on="last_name", clock="run"),
+    "accounts": SimpleNamespace(new_from="create_dt", new_to="lead", change_match=("valid_to", "client"),
+                                close_on="client", close_guarded=("valid_to",), flag_on="client", clock="run"),
+    "cards": SimpleNamespace(new_from="create_dt", new_to="lead", change_match=("card_num",),
+                             close_on="account_num", close_guarded=("account_num",), flag_on="account_num", clock="run"),
+    "terminals": SimpleNamespace(new_from="low", new_to="high", change_match=("terminal_type", "terminal_city", "terminal_address"),
+                                 close_on="terminal_address", close_guarded=("terminal_address",), flag_on="terminal_address", clock="day"),
+}
+
+
 def day_history(fx, dim_name: str, stop_after: str, profile: str = "reference"):
     dim = S.DIMS[dim_name]
     hist, stg, keys, day = staged(fx, dim_name)
@@ -54,7 +68,7 @@ def prefixed(sql: str, prefix: str) -> tuple[str, str]:
 
 
 def reference_sql(dim_name: str, stop_after: str) -> str:
-    dim, spec = S.DIMS[dim_name], scd2.REFERENCE[dim_name]
+    dim, spec = S.DIMS[dim_name], _RULES[dim_name]
     k, attrs = dim.key, dim.attrs
     bank = spec.clock == "run"
     start = RUN if bank else DAY
@@ -121,7 +135,7 @@ def reference_sql(dim_name: str, stop_after: str) -> str:
 # ---- oracle SQL: keyed profile -------------------------------------------------
 
 def keyed_sql(dim_name: str, stop_after: str) -> str:
-    dim, spec = S.DIMS[dim_name], scd2.REFERENCE[dim_name]
+    dim, spec = S.DIMS[dim_name], _RULES[dim_name]
     k, attrs = dim.key, dim.attrs
     bank = spec.clock == "run"
     start = RUN if bank else DAY
