@@ -69,7 +69,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        quality: Column | None = None, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+        quality: Column | None = None, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED, with_hash: bool = False) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken.
 
     ``taken`` counts the words the mix takes of it, repeats included: complete
@@ -78,13 +78,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     (default: :func:`quality_weight`). Null text: size 0, takes nothing. A null
     source is a source, the last. Documents of equal key (repeated ids) are
     ordered by size; repeated rows are separate documents. An empty table gives an
-    empty result. Only the three named columns are read.
+    empty result. Only the three named columns are read. ``with_hash`` adds ``t_hash``, which tells texts of one id apart.
     """
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
                        F.coalesce(F.regexp_count(text, F.lit(SPACE_WORD)).cast("long"), F.lit(0).cast("long")).alias("size"),
-                       (quality if quality is not None else quality_weight(text)).alias("quality"))
-    rows = saved(rows.select("doc_id", "source", "size",
+                       (quality if quality is not None else quality_weight(text)).alias("quality"),
+                       *([F.xxhash64(text).alias("t_hash")] if with_hash else []))
+    more = ["t_hash"] if with_hash else []
+    rows = saved(rows.select("doc_id", "source", "size", *more,
                              exponential_key(F.col("doc_id"), F.col("quality"), seed).alias("key")), "mix-sizes")
     n = rows.count()
     steps = max(128, math.isqrt(n) // 8)  # both the ranges of a source and the rows of a range grow as the root
@@ -112,7 +114,40 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
            .drop("ahead"))
     out = done.unionByName(cut)
     return out.select("doc_id", "source", "size", "source_size", "target",
-                      (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
+                      (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"), *more)
+
+
+MIXED = ["size", "source_size", "target", "taken", "copies", "part"]
+
+
+def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix as training text: the rows of ``docs`` that it takes, with size, source_size, target, taken, copies, part.
+
+    A row stands for ``copies`` times its whole text and then ``part``, the beginning of the text
+    with the words that are still due ('' if none): ``taken`` words together. The column of
+    the text stays whole, also where only ``part`` is taken (copies 0). Columns of ``docs`` with one of the
+    added names keep their place and take the new value. Repeated rows of one id and text take what their mix rows
+    take together, on one row; ids and texts may be null, and a text without words is never taken.
+    """
+    taken = mix(docs, id_col, text_col, source_col, with_hash=True, **options).filter("taken > 0")
+    # repeated rows draw one key: their shares are added up
+    taken = taken.groupBy(F.col("doc_id").alias("of"), F.col("t_hash").alias("of_hash"), F.col("source").alias("of_source")).agg(
+        F.max("size").alias("m_size"), F.max("source_size").alias("m_source_size"), F.max("target").alias("m_target"), F.sum("taken").cast("long").alias("m_taken"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+                       F.col(f"`{text_col}`").alias("body"), F.col(f"`{source_col}`").alias("src"), F.xxhash64(F.col(f"`{text_col}`")).alias("t_hash"))
+    one = rows.dropDuplicates(["doc_id", "t_hash", "src"])
+    # a shuffle join whatever the size: texts meet one row each
+    met = one.join(taken.hint("merge"), one["doc_id"].eqNullSafe(F.col("of")) & (one["t_hash"] == F.col("of_hash")) & one["src"].eqNullSafe(F.col("of_source")))
+    due = F.col("m_taken") % F.col("m_size")
+    # words with the white space behind them, as many as are due
+    words = F.regexp_extract_all("body", F.lit(r"([^\x20\x09-\x0D]++[\x20\x09-\x0D]*+)"), F.lit(1))
+    part = F.when(due > 0, F.array_join(F.slice(words, F.lit(1), due.cast("int")), "")).otherwise("")
+    new = {"size": F.col("m_size"), "source_size": F.col("m_source_size"), "target": F.col("m_target"), "taken": F.col("m_taken"),
+           "copies": F.floor(F.col("m_taken") / F.col("m_size")).cast("long"), "part": part}
+    kept = [new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return met.select(*kept, *[new[c].alias(c) for c in MIXED if c not in docs.columns])
+
+
 
 
 ORACLE_SQL = rf"""
