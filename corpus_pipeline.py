@@ -32,8 +32,8 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the words taken; others are not in it."""
-    return mixing.mix(docs).filter("taken > 0")
+    """The documents that the mix takes, texts included: each ``copies`` times, and its beginning ``part`` once more."""
+    return mixing.mixed_texts(docs)
 
 
 STAGES = [
