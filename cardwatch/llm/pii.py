@@ -1,7 +1,7 @@
 """Surrogates for personal data and credentials (operator 1, native).
 
 Found entities - e-mail addresses, telephone, payment card and social security numbers, IPv4 addresses,
-credentials, names after a title or after a known given name - get keyed replacements of the same type, format, script and,
+credentials, names after a title (in any case) or after a known given name, and what is mentioned of them later - get keyed replacements of the same type, format, script and,
 for names, gender:
 
 * Strings of letters and digits go through a keyed Feistel permutation of their
@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 
 from ._shared import join_hot, packed, saved
 
+#: Key of the surrogates where neither the argument nor the session setting names one: for tests and samples
+#: only, since whoever knows the key can undo the permutations.
 KEY = "surrogates-1"
+KEY_SETTING = "cardwatch.pii.key"
 MAX_ATTEMPTS = 12
 
 # Titles and given names by gender, and name parts by script.
@@ -37,13 +40,24 @@ GIVEN = {
     ("m", "cyrillic"): ["Александр", "Борис", "Виктор", "Григорий", "Дмитрий", "Николай", "Павел", "Сергей"],
     ("f", "cyrillic"): ["Анастасия", "Валентина", "Екатерина", "Людмила", "Надежда", "Ольга", "Светлана", "Татьяна"],
 }
+# Titles without a gender, and further given names that are found (surrogates are drawn from GIVEN alone).
+OTHER_TITLES = ["Dr", "Prof", "Doctor", "Professor", "Doktor", "Docteur", "Professeur", "доктор", "профессор"]
+FOUND = {"m": ["Alan", "Alexander", "Andrew", "Anthony", "Antonio", "Benjamin", "Brian", "Carlos", "Charles", "David", "Donald", "Eric", "Francisco", "Frank", "George", "Hans",
+               "Henry", "Jack", "Jacques", "James", "Jason", "Javier", "Jean", "Jeffrey", "John", "Joseph", "Juan", "Kevin", "Klaus", "Luis", "Manuel", "Mark", "Martin", "Michael",
+               "Miguel", "Paul", "Pedro", "Peter", "Philip", "Pierre", "Robert", "Ronald", "Samuel", "Scott", "Steven", "Thomas", "Timothy", "Wolfgang", "Иван", "Михаил"],
+         "f": ["Alice", "Amy", "Ana", "Angela", "Anna", "Barbara", "Brigitte", "Carmen", "Caroline", "Claire", "Deborah", "Emily", "Emma", "Helen", "Ingrid", "Isabel", "Jane",
+               "Janet", "Jennifer", "Jessica", "Julia", "Karen", "Laura", "Linda", "Lisa", "Lucía", "Maria", "Marie", "Mary", "Michelle", "Monika", "Nancy", "Pamela", "Patricia",
+               "Petra", "Rachel", "Ruth", "Sandra", "Sarah", "Sharon", "Sophie", "Susan", "Ursula", "Мария", "Елена"]}
 SYLLABLES = {"latin": ["bar", "del", "fen", "gor", "hal", "kem", "lin", "mar", "nor", "pel", "ros", "sten", "tal", "ver", "wick"],
              "cyrillic": ["бар", "дел", "гор", "кам", "лин", "мар", "нов", "пет", "рос", "сав", "тар"]}
 
-_TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g) + r")\.?"
-_KNOWN = "(?:" + "|".join(n for g in GIVEN.values() for n in g) + ")"
-_FIRST = "".join(sorted({n[0] for g in [*TITLES.values(), *GIVEN.values()] for n in g}))
-_WORD = r"\p{Lu}\p{L}{1,30}+"
+_titles = [t for g in [*TITLES.values(), OTHER_TITLES] for t in g]
+_given = [n for g in [*GIVEN.values(), *FOUND.values()] for n in g]
+_women = [n for (g, _), names in GIVEN.items() if g == "f" for n in names] + FOUND["f"]
+_TITLE = "(?iu:" + "|".join(sorted(_titles, key=len, reverse=True)) + r")\.?"
+_KNOWN = "(?:" + "|".join(sorted(_given, key=len, reverse=True)) + r")(?!\p{L})"
+_FIRST = "".join(sorted({c for t in _titles for c in (t[0].lower(), t[0].upper())} | {n[0] for n in _given}))
+_WORD = r"\p{Lu}\p{L}{1,30}+(?:-\p{Lu}\p{L}{1,30}+){0,2}+"
 _SECRET_WORDS = ["password", "passwd", "secret", "token", "api_key", "apikey"]
 _SECRET_HEAD = "(?i:" + "|".join(_SECRET_WORDS) + r""")\s{0,2}[=:]\s{0,2}["']?"""
 _HEX_UPPER = "^(?=[0-9]*[A-F])[0-9A-F]+$"
@@ -56,9 +70,9 @@ PATTERNS = {
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-             r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+             r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])(?<!\d )(?:1[ .-])?\d{3}(?:-\d{3}-|\.\d{3}\.|[.-]\d{3}[.-]| \d{3} )\d{4}(?![\d-])(?! \d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?:-\d{4}){3}|\d{4}(?: \d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
-    "person": rf"(?=[{_FIRST}])(?<!\p{{L}})(?:{_TITLE} {_WORD}(?:[ -]{_WORD}){{0,2}}|{_KNOWN} {_WORD})",
+    "person": rf"(?=[{_FIRST}])(?<!\p{{L}})(?:{_TITLE} {_WORD}(?: {_WORD}){{0,2}}|{_KNOWN} {_WORD})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -210,7 +224,7 @@ def _may_match(text: Column) -> Column:
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, t_hash, place, part, kind, norm, raw): a row for each part of each match in ``text``.
 
-    A match has one part, a name one for each given name and one for the surname;
+    A match has one part, a name one for each given name and one for the surname (parts with a hyphen are one);
     what no part covers (a title, a credential's label) stays.
     """
     hits = docs.filter(_may_match(F.col("text"))).select("doc_id", "t_hash", F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("place", "hit"))
@@ -227,8 +241,10 @@ def find(docs: DataFrame) -> DataFrame:
     secret = F.regexp_replace(hit, f"^{_SECRET_HEAD}", "")
     secret_norm = F.when(secret.rlike(_HEX_UPPER), F.lower(secret)).otherwise(secret)
     bare = F.regexp_replace(hit, f"^{_TITLE} ", "")
-    names = F.split(bare, "[ -]")
-    gender = F.when(F.regexp_like(hit, F.lit("^(?:" + "|".join(TITLES["f"] + [n for (g, _), l in GIVEN.items() if g == "f" for n in l]) + r")(?:\.| )")), "f").otherwise("m")
+    names = F.split(bare, " ")
+    # a woman's title, or a woman's name (with any title, or none); a name without either takes a man's form
+    woman = F.regexp_like(hit, F.lit("^(?iu:" + "|".join(TITLES["f"]) + r")(?:\.| )")) | F.regexp_like(bare, F.lit("^(?:" + "|".join(_women) + ") "))
+    gender = F.when(woman & ~F.regexp_like(hit, F.lit("^(?iu:" + "|".join(TITLES["m"]) + r")(?:\.| )")), "f").otherwise("m")
     person = F.transform(names, lambda n, i: part(F.when(i == F.size(names) - 1, "surname").otherwise(F.concat(F.lit("given-"), gender)), F.lower(n), n))
     one = (F.when(kind == "email", part("email", F.lower(hit), hit)).when(kind == "phone", part("phone", phone, hit))
            .when((kind == "card") & (luhn(_digits(hit)) == 0), part("card", _digits(hit), hit))
@@ -277,12 +293,26 @@ def _rendered(kind: Column, raw: Column, sub: Column) -> Column:
             .when((kind == "secret") & raw.rlike(_HEX_UPPER), F.upper(sub)).when(kind.isin("ip", "secret"), sub).otherwise(name))
 
 
-def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", secret: str = KEY) -> DataFrame:
+def key_of(spark) -> str:
+    """The key of the session (``cardwatch.pii.key``), else the one for samples."""
+    return spark.conf.get(KEY_SETTING, KEY)
+
+
+def _bare_mentions(between: Column, names: Column) -> Column:
+    """Words that are parts of names found in the document, wherever else they stand alone, with the same surrogates."""
+    edges = r"(?<=\p{L})(?!\p{L})|(?<!\p{L})(?=\p{L})"
+    return F.transform(between, lambda b: F.array_join(F.transform(F.split(b, edges, -1), lambda w: F.coalesce(F.element_at(names, w), w)), ""))
+
+
+def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", secret: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text_col``, and two more columns: n_entities, entity_kinds (sorted, comma-joined).
 
     All other columns stay as they are (of those two names, ours replace theirs). Null text: null, no entities. Repeated rows get the same text. Null
-    ids are documents like others. Entities are the same over the whole table, whatever document they are in.
+    ids are documents like others. Entities are the same over the whole table, whatever document they are in. A part of a name that was
+    found (three letters or more) is replaced in the rest of its document too, where it stands alone, written the same way or in capitals;
+    such mentions are not counted. ``secret``: the key; without it the session's ``cardwatch.pii.key``.
     """
+    secret = secret or key_of(docs.sparkSession)
     inner, own_text = packed(docs, id_col, text_col), F.col(f"row.`{text_col}`").alias("text")
     small = inner.select("doc_id", "t_hash", own_text)
     found = saved(find(small).withColumn("entity", F.concat_ws(":", "kind", "norm")), "pii-found")
@@ -290,6 +320,12 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sec
     subs = assign(entities, secret).join(entities, ["kind", "norm"]).select(F.concat_ws(":", "kind", "norm").alias("entity"), "surrogate", "n")
     met = join_hot(found, saved(subs, "pii-subs"), "entity", "n")
     met = met.withColumn("new", _rendered(F.col("kind"), F.col("raw"), F.col("surrogate")))
+    met = saved(met, "pii-met")
+    # of each document with names: every part as it is written, and its surrogate (one, if a word is both given name and surname)
+    alone = (met.filter((F.col("kind") == "surname") | F.col("kind").startswith("given-")).filter(F.length("raw") > 2)
+             .select("doc_id", "t_hash", F.inline(F.array(F.struct("raw", "new"), F.struct(F.upper("raw").alias("raw"), F.upper("new").alias("new")))))
+             .groupBy("doc_id", "t_hash", "raw").agg(F.max("new").alias("new"))
+             .groupBy(F.col("doc_id").alias("n_of"), F.col("t_hash").alias("n_hash")).agg(F.map_from_entries(F.collect_list(F.struct("raw", "new"))).alias("names")))
     # parts of a match, in order, replaced one after the other from the left
     hits = met.groupBy("doc_id", "t_hash", "place").agg(F.first("hit").alias("hit"), F.array_sort(F.collect_set(F.struct("part", "raw", "new", "kind"))).alias("parts"))
     ahead = lambda acc, p: F.instr(acc["rest"], p["raw"]) - 1
@@ -299,16 +335,18 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sec
     new = F.aggregate("parts", F.struct(F.lit("").alias("out"), F.col("hit").alias("rest")), step, lambda acc: F.concat(acc["out"], acc["rest"]))
     kind = F.element_at("parts", -1)["kind"]
     hits = hits.select("doc_id", "t_hash", F.struct("place", new.alias("new"), F.when(kind == "surname", "person").otherwise(kind).alias("kind")).alias("h"))
-    by_doc = saved(hits.groupBy("doc_id", "t_hash").agg(F.array_sort(F.collect_list("h")).alias("hits")), "pii-documents")
-    by_doc = by_doc.select(F.col("doc_id").alias("of"), F.col("t_hash").alias("of_hash"), "hits")
+    by_doc = hits.groupBy("doc_id", "t_hash").agg(F.array_sort(F.collect_list("h")).alias("hits"))
+    by_doc = saved(by_doc.join(alone, F.col("doc_id").eqNullSafe(F.col("n_of")) & F.col("t_hash").eqNullSafe(F.col("n_hash")), "left"), "pii-documents")
+    by_doc = by_doc.select(F.col("doc_id").alias("of"), F.col("t_hash").alias("of_hash"), "hits", "names")
     # a shuffle join whatever the size: the matches of all documents are never broadcast
     joined = inner.join(by_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("t_hash") == F.col("of_hash")), "left")
-    joined = joined.select("row", own_text, "hits")
+    joined = joined.select("row", own_text, "hits", "names")
     # what lies between the matches, and the matches, each of them replaced or as it was
     touched = F.col("hits").isNotNull()
     places = F.map_from_arrays(F.col("hits.place"), F.col("hits.new"))
     joined = joined.withColumns({"between": F.split(F.when(touched, F.col("text")), PATTERN, -1),
                                  "was": F.regexp_extract_all(F.when(touched, F.col("text")), F.lit(PATTERN), F.lit(0)), "now": F.when(touched, places)})
+    joined = joined.withColumn("between", F.when(F.col("names").isNull(), F.col("between")).otherwise(_bare_mentions(F.col("between"), F.col("names"))))
     now = F.transform("was", lambda w, i: F.coalesce(F.element_at("now", i), w))
     text = F.when(touched, F.array_join(F.zip_with("between", F.concat(now, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")).otherwise(F.col("text"))
     own = [c for c in docs.columns if c not in ("n_entities", "entity_kinds")]
