@@ -108,7 +108,7 @@ def language_model(docs, mu):
     return out
 
 
-def line_dedup(docs, min_words=10):
+def line_dedup(docs, min_words=1):
     seen, out = set(), []
     for d, t in sorted(docs, key=lambda x: (x[0] is None, x[0])):
         if t is None:
@@ -125,3 +125,44 @@ def line_dedup(docs, min_words=10):
             kept.append(line + ("\n" if i < len(lines) - 1 else ""))
         out.append((d, "".join(kept), len(lines), gone))
     return out
+
+
+def sentence_dedup(docs, run_words):
+    """[(doc_id, text)] with distinct ids -> [(doc_id, text left, units, repeated, removed)]; units are the sentences of lines."""
+    stop = re.compile(r"""[.!?…。！？]['")\]}»”’]*$""")
+    seen, out = set(), []
+    for d, t in sorted(docs, key=lambda x: (x[0] is None, x[0])):
+        if t is None:
+            out.append((d, None, 0, 0, 0))
+            continue
+        units = []  # (unit with what follows it, words)
+        for line in re.findall(r"[^\n]*\n|[^\n]+$|$", t)[:t.count("\n") + 1]:
+            pieces, now, since = [], "", 0
+            for m in re.finditer(r"[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*", line):
+                now += m[0]
+                since += 1
+                if stop.search(m[1]):
+                    if since >= 5:
+                        pieces.append(now)
+                        now = ""
+                    since = 0
+            if now:
+                pieces.append(now)
+            units += pieces or [line]
+        keys = [re.sub(r"[\x20\x09-\x0D\xa0\u3000]+", " ", u.lower()).strip(" ") for u in units]
+        sizes = [len(re.findall(r"[^\x20\x09-\x0D]+", u)) for u in units]
+        again = []
+        for k, n in zip(keys, sizes):
+            again.append(n > 0 and k in seen)
+            if n:
+                seen.add(k)
+        gone, run = set(), []
+        for i in [*range(len(units)), None]:
+            if i is not None and (again[i] or not sizes[i]):
+                run += [i] if again[i] else []
+                continue
+            if sum(sizes[j] for j in run) >= run_words:
+                gone.update(run)
+            run = []
+        out.append((d, "".join(u for i, u in enumerate(units) if i not in gone), len(units), sum(again), len(gone)))
+    return out

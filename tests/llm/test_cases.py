@@ -248,6 +248,24 @@ def test_short_lines_are_grouped(spark):
     assert rows_of(floor, "doc_id", "text") == sorted(docs)
 
 
+def test_sentences_and_runs(spark):
+    """Passages that begin and end inside lines; short repeats that stay; blank lines within a run."""
+    a, b = [" ".join(prose(9, 300 + i).split(" ")).capitalize() + "." for i in range(6)], [prose(8, 320 + i).capitalize() + "!" for i in range(4)]
+    docs = [(1, f"Start of one here now. {a[0]} {a[1]} Ok. {a[2]}\nEnd of the first text."),
+            (2, f"Quite other words begin here. {a[0]}  {a[1]}\tOk. {a[2]} And more follows here then."),
+            (3, f"{a[0].upper()}\n\n{a[1]} {b[0]}"), (4, f"{b[0]} {a[3]}\n{b[1]}"), (5, f"x {b[1]}\r\n{b[1]}\n\n{a[3]} tail without an end"),
+            (6, None), (7, ""), (8, " \n"), (9, LONG), (10, LONG), (11, "\xa0 \xa0\n\xa0"), (12, "a. b. c. d. e. f. g."), (13, "a. b. c. d. e. f. g."), (None, f"{a[4]} {a[5]}"), (14, f"{a[4]}”) {a[5]}'")]
+    for run_words in (1, 10, 20):
+        got = linededup.dedup_lines(brute.frame(spark, docs, extra="digests"), unit="sentence", run_words=run_words).collect()
+        assert sorted(((r.doc_id, r.text, r.n_units, r.n_repeated, r.n_removed) for r in got), key=repr) == sorted(brute.sentence_dedup(docs, run_words), key=repr)
+        texts = dict(docs)
+        for r in got:
+            assert "".join((texts[r.doc_id] or "")[k.start:k.end] for k in r.kept) == (r.text or "")
+            assert all(r.text[k.at:k.at + k.end - k.start] == texts[r.doc_id][k.start:k.end] for k in r.kept)
+    two = next(r for r in got if r.doc_id == 2)
+    assert two.text == "Quite other words begin here. And more follows here then." and two.n_removed == 3
+
+
 def test_license_cases(spark):
     mit = [t for i, t in licenses.TEMPLATES if i == "MIT"][1]
     docs = [(1, None), (2, ""), (3, "x\nreleased UNDER the   MIT license!!\ny"), (4, mit.replace("Software", "software")), (5, "intro\n\n" + mit.replace(", ", ",\n") + "\n\nrest of it"),
@@ -276,6 +294,24 @@ def test_mixing_cases(spark):
     assert mixing.mix(empty(spark, "doc_id long, text string, source string")).count() == 0
 
 
+def test_mixed_texts_hold_the_words_taken(spark):
+    schema = "doc_id long, text string, source string"
+    docs = [(i, "w " * (i % 7) + "\n last", ["a", "b", None, "é"][i % 4]) for i in range(60)] + [(None, "x y", "a"), (500, None, "a"), (501, "t u v", "a"), (501, "t u v", "a"), (501, "t", "a"), (502, " \n", "b")]
+    df = brute.frame(spark, docs, schema, extra="size")
+    got = mixing.mixed_texts(df)
+    assert got.columns == ["doc_id", "text", "source", "size", "source_size", "target", "taken", "copies", "part"]
+    rows = got.collect()
+    for r in rows:
+        n = len(brute.words(r.text))
+        assert n == r.size > 0 and r.copies * n + len(brute.words(r.part)) == r.taken > 0 and r.text.lstrip().startswith(r.part)
+    mix = mixing.mix(brute.frame(spark, docs, schema)).groupBy("source").agg(F.sum("taken").alias("t")).collect()
+    per = {}
+    for r in rows:
+        per[r.source] = per.get(r.source, 0) + r.taken
+    assert per == {r.source: r.t for r in mix if r.t}
+    assert mixing.mixed_texts(empty(spark, schema)).count() == 0
+
+
 def test_better_documents_are_taken_more_often(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") % 2 == 0, "s").otherwise("t").alias("source"))
     out = mixing.mix(docs, quality=F.when(F.col("doc_id") % 4 < 2, 1.0).otherwise(0.2)).filter("source = 's'")
@@ -345,6 +381,73 @@ def test_pii_surrogates(spark):
     assert other[1] != one
 
 
+def test_names_with_titles_and_without_and_their_later_mentions(spark):
+    import re
+    docs = [(1, "Mr. John Smith signed. Smith then left; John came back. Smithson stayed, SMITH too."), (2, "John Smith, Mary Jones, Dr. Jane Doe, Prof. Miller, MR SMITH, ms Taylor and Mr Smith-Jones."),
+            (3, "Smith alone is no name here, nor John."), (4, "Drum Profile. Johnny Cash met Jane."), (5, "Mary Ann"), (None, "Mary Jones and Jones"), (6, "Mr. John Smith signed. Smith then left; John came back. Smithson stayed, SMITH too.")]
+    got = {r.doc_id: (r.text, r.n_entities) for r in pii.replace(brute.frame(spark, docs, extra="names")).collect()}
+    john, smith = re.fullmatch(r"Mr\. (\S+) (\S+) signed\. .*", got[1][0]).groups()
+    assert got[1] == (f"Mr. {john} {smith} signed. {smith} then left; {john} came back. Smithson stayed, {smith.upper()} too.", 1) and got[6] == got[1]
+    men, women = (set(names) for g, names in ((g, pii.GIVEN[g, "latin"]) for g in "mf"))
+    mary, jones, jane, taylor, both = re.fullmatch(rf"{john} {smith}, (\w+) (\w+), Dr\. (\w+) \w+, Prof\. \w+, MR {smith.upper()}, ms (\w+) and Mr (\w+)\.", got[2][0]).groups()
+    assert {mary, jane} <= women and john in men and len({smith, jones, taylor, both}) == 4 and got[2][1] == 7
+    assert got[3] == (docs[2][1], 0) and got[4] == (docs[3][1], 0) and got[None][0] == f"{mary} {jones} and {jones}" and got[5][0].startswith(mary + " ")
+
+
+def test_telephone_numbers_in_more_forms(spark):
+    docs = [(1, "415 555 1234 and 1-415-555-1234, 415-555-1234, 415.555.1234; +1 415 555 1234 (415) 555-1234"), (2, "100 200 30000, 12 345 678 9012, 415 555 1234 5, 415-555 1234")]
+    got = {r.doc_id: r.text for r in pii.replace(brute.frame(spark, docs)).collect()}
+    import re
+    new = {re.sub(r"\D", "", x)[-10:] for x in re.split(" and |, |; | (?=\\()", got[1])}
+    assert len(new) == 1 and new != {"4155551234"} and re.sub(r"\d", "0", got[1]) == re.sub(r"\d", "0", docs[0][1]) and got[2] == docs[1][1]
+
+
+def test_the_key_comes_from_the_session(spark):
+    docs = brute.frame(spark, [(1, "Mary Jones 415 555 1234 mail@site.org")])
+    plain = pii.replace(docs).first().text
+    spark.conf.set(pii.KEY_SETTING, "another")
+    try:
+        other = pii.replace(docs).first().text
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert other != plain == pii.replace(docs).first().text and other == pii.replace(docs, secret="another").first().text
+
+
+def test_permutations_against_plain_python(spark):
+    """The Feistel rounds and the check digit, written again in Python: equal, one to one, of the same format."""
+    import hashlib
+
+    def number(*parts):
+        return int(hashlib.sha256("|".join(parts).encode()).hexdigest()[:10], 16)
+
+    def shifted(half, other, label, key, alphabets):
+        out = ""
+        for i, c in enumerate(half):
+            a = next((x for x in alphabets[::-1] if c in x), None)
+            out += c if a is None else a[(a.index(c) + number(key, label, str(i), other)) % len(a)]
+        return out
+
+    def permuted(s, key, alphabets):
+        a, b = s[:len(s) // 2], s[len(s) // 2:]
+        for r in range(4):
+            a, b = (a, shifted(b, a, str(r), key, alphabets)) if r % 2 == 0 else (shifted(a, b, str(r), key, alphabets), b)
+        return a + b
+
+    def check(body):
+        total = sum(int(c) if i % 2 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(body[::-1]))
+        return body + str(-total % 10)
+
+    values = ["", "7", "ab", "0a1", "abc.def-9", *[f"{i:05d}x" for i in range(300)]]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    kinds = [pii.DIGITS, pii.LOWER, pii.UPPER]
+    got = {r.v: r.p for r in df.select("v", pii.permuted(F.col("v"), F.lit("k"), kinds).alias("p")).collect()}
+    assert got == {v: permuted(v, "k", kinds) for v in values} and len(set(got.values())) == len(values)
+    cards = ["4111111111111111", "378282246310005", "6011000990139424"]
+    df = spark.createDataFrame([(c,) for c in cards], "norm string")
+    got = {r.norm: r.s for r in df.select("norm", pii.surrogate(F.lit("card"), F.col("norm"), 0, "z").alias("s")).collect()}
+    assert got == {c: check(c[0] + permuted(c[1:-1], "z|0|card", [pii.DIGITS])) for c in cards}
+
+
 def test_credential_labels_in_any_case(spark):
     value = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
     docs = [(1, f'TOKEN = "{value.upper()}"'), (2, f'token="{value}"'), (3, "Password: aB3$kLm9"), (4, "SECRET=QWERTZXY api_key=aB3$kLm9"), (5, "ApiKey: Zebra!mnop"),

@@ -81,3 +81,30 @@ def test_pipeline(spark):
     assert private.columns == docs.columns and private.count() == len(rows)
     out = queries.pipeline(spark, SF_SMALL).collect()
     assert 0 < len(out) < len(rows) and all(0 < r.taken <= 3 * r.size for r in out)
+    for r in out:  # the text that the mix takes is in the result
+        assert r.copies * r.size + len(brute.words(r.part)) == r.taken and len(brute.words(r.text)) == r.size
+
+
+ODD_TABLES = {
+    "odd": [(1, None, "en", "a", 0), (2, "", None, "b", 0), (3, " \n", "en", None, 2), (None, "some words here", "en", "a", 15), (None, None, None, None, None),
+            (4, "same words in rows that repeat", "en", "a", 30), (4, "same words in rows that repeat", "en", "a", 30), (5, "mail jane@site.org now", "en", "a", 22), (6, "w " * 30_000, "en", "b", 60_000)],
+    "empty": []}
+
+
+@pytest.mark.parametrize("kind", sorted(ODD_TABLES))
+def test_pipeline_on_odd_tables(spark, kind, tmp_path):
+    """Nulls, empty and long texts, repeated rows and an extra column of an inner name; and no rows at all."""
+    import corpus_pipeline
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(*r, "x") for r in ODD_TABLES[kind]], schema + ", taken string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{SF_SMALL}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns[:6] == docs.columns and set(out.columns) >= {"size", "copies", "part"}
+    rows = {r.doc_id: r for r in out.collect()}
+    if kind == "empty":
+        assert not rows
+    else:
+        assert 4 in rows and not {1, 2, 3} & set(rows) and (5 not in rows or "jane@site.org" not in rows[5].text)
+        assert all(r.copies * r.size + len(brute.words(r.part)) == r.taken for r in rows.values())
