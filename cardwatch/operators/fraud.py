@@ -155,16 +155,23 @@ def rule_closed(df: DataFrame) -> Column:
     return F.col("deleted_flg") == 1
 
 
+def per_card(tx: DataFrame) -> DataFrame:
+    """Operations and latest time per card: one partial aggregate over the facts, for every use of either."""
+    return tx.groupBy("card_num").agg(F.count(F.lit(1)).alias("card_rows"), F.max("trans_date").alias("card_last"))
+
+
 def with_next_operation(df: DataFrame, skew_safe: bool = True, tx: DataFrame | None = None,
-                        profiles: DataFrame | None = None) -> DataFrame:
+                        profiles: DataFrame | None = None, cards: DataFrame | None = None) -> DataFrame:
     """Adds ``next_terminal_city`` and ``next_trans_date`` of the same card.
 
-    ``tx`` (the operations before the fan-out join) gives the rows per card
+    ``tx`` (the operations before the fan-out join), or ``cards`` from :func:`per_card`, gives the rows per card
     that decide which cards are hot, from a cheap partial aggregate instead
     of the enriched rows; ``profiles`` multiplies them by the card's profile rows.
     """
     from cardwatch.operators.sequence import key_stats, lead_columns
     stats = key_stats(tx, ["card_num"]) if tx is not None else None
+    if cards is not None:
+        stats = cards.select(F.struct("card_num").alias(key_stats(cards, ["card_num"]).columns[0]), F.col("card_rows").alias("_n"))
     if stats is not None and profiles is not None:
         fan = key_stats(profiles, ["card_num"]).withColumnRenamed("_n", "_fan")
         key = stats.columns[0]
@@ -185,16 +192,16 @@ def event_type(df: DataFrame, max_gap: str = "60 days") -> Column:
             .when(rule_city_hop(df, max_gap), 3).otherwise(0))
 
 
-def last_event_by_passport(tx: DataFrame, profiles: DataFrame) -> DataFrame:
+def last_event_by_passport(tx: DataFrame, profiles: DataFrame, cards: DataFrame | None = None) -> DataFrame:
     """FRD-6: latest operation time per passport over all enriched rows.
 
     Pre-aggregated per card (partial aggregate over the facts), then
     mapped through the card profiles; an operation whose card has no
-    profile belongs to the NULL passport, as in the left-joined rows.
+    profile belongs to the NULL passport, as in the left-joined rows. ``cards``: what :func:`per_card` gives for ``tx``.
     """
-    per_card = tx.groupBy("card_num").agg(F.max("trans_date").alias("card_last"))
+    cards = per_card(tx) if cards is None else cards
     links = profiles.select("card_num", "passport_num")
-    return (per_card.join(links, "card_num", "left")
+    return (cards.join(links, "card_num", "left")
             .groupBy("passport_num").agg(F.max("card_last").alias("event_dt")))
 
 
@@ -215,9 +222,11 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
     In the as-of form the enriched rows feed both the next-operation
     lookup and the last event per passport; ``materialize`` (e.g. a
     Parquet write in the checkpoint folder) makes them one evaluation of
-    the four version joins instead of two.
+    the version joins instead of two. In the other form it holds the card profiles (three
+    uses) and the counts and last times per card (two), so that the
+    operations are read twice: once for these, once for the rows themselves.
     """
-    tx, prof = transactions.select("trans_id", "trans_date", "card_num"), None
+    tx, prof, cards_seen = transactions.select("trans_id", "trans_date", "card_num"), None, None
     if as_of:
         enriched = _enrich_as_of(terminals, transactions, cards, accounts, clients, blacklist)
         if materialize is not None:
@@ -226,10 +235,12 @@ def report_events(terminals, transactions, cards, accounts, clients, blacklist,
         last = links.groupBy("passport_num").agg(F.max("trans_date").alias("event_dt"))
     else:
         tx = transactions_at_terminals(terminals, transactions)
-        prof = card_profiles(cards, accounts, clients, blacklist)
+        prof, cards_seen = card_profiles(cards, accounts, clients, blacklist), per_card(tx)
+        if materialize is not None:
+            prof, cards_seen = materialize(prof), materialize(cards_seen)
         enriched = tx.join(prof, "card_num", "left")
-        last = last_event_by_passport(tx, prof)
-    seq = with_next_operation(enriched, skew_safe=skew_safe, tx=tx, profiles=prof)
+        last = last_event_by_passport(tx, prof, cards_seen)
+    seq = with_next_operation(enriched, skew_safe=skew_safe, tx=None if cards_seen is not None else tx, profiles=prof, cards=cards_seen)
     events = (seq.select(*[c for c in seq.columns if c not in ("event_type",)],
                          event_type(seq, max_gap).alias("event_type"))
               .where(F.col("event_type") > 0))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cardwatch.catalog import register
 from cardwatch.functions.columns import full_name
 from cardwatch.operators import fraud as frd
+from cardwatch.plans.state import materializer
 
 
 def _state(fx):
@@ -114,13 +115,12 @@ from events"""
 @register("fraud_report", _report_sql())
 def fraud_report(fx):
     """FRD-11 flagship: the whole report, reference semantics (all versions)."""
-    return frd.fraud_report(**_state(fx), stg_transactions=fx["fx_transactions"])
+    return frd.fraud_report(**_state(fx), stg_transactions=fx["fx_transactions"], materialize=materializer(fx.spark))
 
 
 @register("fraud_report_keyed", _report_sql(ENRICH_ASOF_SQL, "60 minute"))
 def fraud_report_keyed(fx):
     """FRD-11, keyed profile: versions valid at the operation time, 60-minute hop."""
-    from cardwatch.plans.state import materializer
     return frd.fraud_report(**_state(fx), stg_transactions=fx["fx_transactions"],
                             max_gap="60 minutes", as_of=True, materialize=materializer(fx.spark))
 
@@ -159,7 +159,6 @@ def frd_enrich_asof_versions(fx):
 @register("fraud_report_keyed_versions", _report_sql(_VERSIONS_SQL, "60 minute"))
 def fraud_report_keyed_versions(fx):
     """FRD-11, keyed profile, over histories with closed versions and holes."""
-    from cardwatch.plans.state import materializer
     return frd.fraud_report(**_versions(fx), stg_transactions=fx["fx_transactions"],
                             max_gap="60 minutes", as_of=True, materialize=materializer(fx.spark))
 
@@ -174,7 +173,6 @@ select distinct event_dt, passport_num passport,
 from typed where event_type > 0 and (trans_date >= {_DAY0} or (event_type = 3 and next_trans_date >= {_DAY0}))""")
 def fraud_report_day_keyed(fx):
     """FRD-11 for the last day's operations; of the days before, only the carried state is read."""
-    from cardwatch.plans.state import materializer
     st, mat, tx = _versions(fx), materializer(fx.spark), fx["fx_transactions"]
     start = tx.agg(F.date_trunc("day", F.max("trans_date")).cast("timestamp_ntz")).scalar()
     carry = frd.carry_from_history(**dict(st, transactions=tx.where(F.col("trans_date") < start)), materialize=mat)
