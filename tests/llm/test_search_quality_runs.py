@@ -236,7 +236,7 @@ def run_row(doc_id, text):
     dropped = {i for s, n, q in found for i in range(s + q, s + n)}
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
-    return (doc_id, len(found), *(best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4,
+    return (doc_id, len(found), *((*best, 1000 * best[1] // best[2]) if best else (None,) * 4),
             sha("".join("%d,%d,%d\n" % r for r in found)), sha(" ".join(x for i, x in enumerate(w) if i not in dropped)))
 
 
