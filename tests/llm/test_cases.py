@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing column names."""
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -276,6 +277,38 @@ def test_license_cases(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def test_whole_licenses(spark):
+    def changed(text, every):
+        return " ".join("changed" if i % every == every - 1 else w for i, w in enumerate(text.split()))
+
+    docs, want = [], {}
+    for n, (i, t) in enumerate(licenses.TEMPLATES):
+        line = t.replace("\n\n", " ")
+        docs += [(n, f"Copyright (c) 2020 Someone\n\n{t}\n\nOther words follow here."), (1000 + n, line), (2000 + n, textwrap.fill(line, 72, initial_indent="# ", subsequent_indent="# "))]
+        want |= {n: i, 1000 + n: i, 2000 + n: i}
+        if len(line.split()) > 40:  # about 8 words of 100 changed: found; 20 of 100: not
+            docs += [(3000 + n, changed(line, 13)), (4000 + n, changed(line, 5))]
+            want |= {3000 + n: i, 4000 + n: ""}
+    for n, (t, i) in enumerate([
+            ("See below. Released under the MIT License. Thank you for reading this.", "MIT"),
+            ("// Licensed under the Apache License, Version 2.0. Copyright 2020 Me", "Apache-2.0"),
+            ("/* SPDX-License-Identifier: MIT */", "MIT"), ("x = 1  # SPDX-License-Identifier: BSD-3-Clause\r\ny = 2", "BSD-3-Clause"),
+            ("the general public is provided with software under a license by us", ""), ("license. " * 50, ""), ("\n\n\n. ! ?\n\n", "")], 9000):
+        docs.append((n, t))
+        want[n] = i
+    got = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.licenses for r in got.collect()} == want
+
+
+def test_license_key_words_spare_no_match():
+    """Any ``need`` bigrams of a template hold a key word: those without one are fewer."""
+    keys = set(licenses.key_words(licenses.TEMPLATES, licenses.THRESHOLD))
+    for _, t in licenses.TEMPLATES:
+        grams = licenses.template_bigrams(t)
+        without = [g for g in grams if not keys & set(g.split(" "))]
+        assert len(without) < len(grams) * licenses.THRESHOLD / (2 - licenses.THRESHOLD)
+
+
 def test_mixing_cases(spark):
     docs = [(i, "w " * (i % 7), ["a", "b", None, "é", "Z"][i % 5]) for i in range(200)] + [(None, "x y", "a"), (500, None, "a"), (501, "t u v", "a"), (501, "t u v", "a"), (600, "one", "solo")]
     got = mixing.mix(brute.frame(spark, docs, "doc_id long, text string, source string", extra="key"))
