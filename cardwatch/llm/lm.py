@@ -11,12 +11,15 @@ No model is ever in one place. Documents are worked on in blocks of about ``BLOC
 
 1. each block numbers its words (saved: token numbers and word hashes);
 2. it asks for the counts of its distinct n-grams, and contributes those of its
-   training documents, as sorted hashes cut into shards;
-3. a shard adds up the counts of all blocks and answers each in the order asked;
+   training documents, as sorted hashes cut into ranges;
+3. requests are merged level by level: a node of level l takes, of a group of fan**l blocks, one
+   of fan**l ranges, adds up equal n-grams, and sends what it has on in ``fan`` finer ranges,
+   until one group holds all blocks; answers go back the same way, in the order asked;
 4. a block's answers are the part of the automaton that its texts can reach, and it traverses
    them all at once.
 
-So a frequent n-gram is one entry a block, and shards and blocks are of bounded size.
+So a frequent n-gram is one entry a block, then one a node; every node holds about as much as one
+block, and each level has blocks x fan rows, so that the exchange grows with the corpus.
 """
 
 from __future__ import annotations
@@ -36,7 +39,8 @@ ORDER = 2
 MU = 20.0
 FOLDS, HELD_OUT = 5, 1
 BLOCK = 2_000_000          # tokens
-SHARD = 2_000_000          # n-grams of all blocks in a shard, about
+SHARD = 2_000_000          # n-grams of all blocks in a range of the last level, about
+FAN = 64                   # ranges, and members of a group, of a level at most
 END = np.uint64(0xE7D0000000000001)      # the token after the last word
 START = np.uint64(0x57A0000000000003)    # context of the first token; no token itself
 
@@ -129,37 +133,98 @@ def _of_block(words, token, sizes, held):
     return words, token, sizes, np.repeat(np.array(held, bool), sizes)
 
 
-def _requests(order: int, shards: int):
+def _levels(parts: int, fan: int) -> tuple[int, int]:
+    """Number of levels, and the fan-out that gives ``parts`` ranges or more in the last."""
+    levels = 1
+    while fan ** levels < parts:
+        levels += 1
+    out = max(2, int(parts ** (1 / levels)))
+    while out ** levels < parts:
+        out += 1
+    return levels, out
+
+
+def _cut(h: np.ndarray, parts: int):
+    """(range, slice) for the ranges of sorted hashes that are not empty; those of parts * k lie within those of parts."""
+    at = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    lead = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.empty(0, np.int64)
+    for a, b in zip(lead, np.append(lead[1:], len(at))):
+        yield int(at[a]), slice(int(a), int(b))
+
+
+#: kind: "up" (a request to node (n, grp, rng) of the next level), "map" (of node (n, grp, rng): places of a child's
+#: n-grams in the node's list) or "answer" (counts for a child's range).
+NODE = "kind string, n int, grp long, rng long, child long, hashes binary, counts binary, sum_c long, kinds long"
+NODE_SCHEMA = pa.schema([("kind", pa.string()), ("n", pa.int32()), ("grp", pa.int64()), ("rng", pa.int64()), ("child", pa.int64()),
+                         ("hashes", pa.binary()), ("counts", pa.binary()), ("sum_c", pa.int64()), ("kinds", pa.int64())])
+
+
+def _rows(rows: list) -> pa.Table:
+    return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(NODE_SCHEMA)}, NODE_SCHEMA)
+
+
+def _requests(order: int, levels: int, fan: int):
+    groups = fan ** (levels - 1)
+
     def run(batches):
         for b in batches:
             for block, words, token, sizes, held in zip(*(b.column(i).to_pylist() for i in range(5))):
                 words, token, sizes, out_of = _of_block(words, token, sizes, held)
+                group = int(mix64(np.array([block], np.uint64))[0] % np.uint64(groups))
                 for n, (h, at) in enumerate(_ngrams(words, token, sizes, order), 1):
-                    counted = np.bincount(at[(at >= 0) & ~out_of], minlength=len(h)).astype(np.uint32)
-                    shard = ((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-                    cut = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-                    for s in np.flatnonzero(np.diff(cut)):
-                        x = slice(cut[s], cut[s + 1])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([n], pa.int32()), pa.array([s], pa.int32()), pa.array([block], pa.int64()),
-                             pa.array([pack_sorted(h[x])], pa.binary()), pa.array([pack(counted[x])], pa.binary())],
-                            ["n", "shard", "block", "hashes", "counts"])
+                    counted = np.bincount(at[(at >= 0) & ~out_of], minlength=len(h)).astype(np.uint64)
+                    for r, x in _cut(h, fan):
+                        yield _rows([("up", n, group, r, block, pack_sorted(h[x]), pack(counted[x]), 0, 0)]).to_batches()[0]
     return run
 
 
-def _answers(t: pa.Table) -> pa.Table:
-    """One shard: the training count of every n-gram, for each block in the order asked; and the shard's totals."""
-    asked = [unpack_sorted(x) for x in t.column("hashes").to_pylist()]
-    given = [unpack(x, np.uint32) for x in t.column("counts").to_pylist()]
-    h, at = np.unique(np.concatenate(asked), return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate(given), minlength=len(h)).astype(np.int64)
-    cut = np.concatenate([[0], np.cumsum([len(a) for a in asked])])
-    n, rows = t.num_rows, [pack(total[at[a:b]].astype(np.uint32)) for a, b in zip(cut[:-1], cut[1:])]
-    order, shard = t.column("n")[0].as_py(), t.column("shard")[0].as_py()
-    first = [int(total.sum())] + [0] * (n - 1)
-    kinds = [int((total > 0).sum())] + [0] * (n - 1)
-    return pa.table({"block": t.column("block"), "n": pa.array([order] * n, pa.int32()), "shard": pa.array([shard] * n, pa.int32()),
-                     "counts": pa.array(rows, pa.binary()), "sum_c": pa.array(first, pa.int64()), "kinds": pa.array(kinds, pa.int64())})
+def _node(level: int, levels: int, fan: int):
+    """One node: requests of its children merged; sent on with the children's places, at the last level answered."""
+    def run(t: pa.Table) -> pa.Table:
+        asked = [unpack_sorted(x) for x in t.column("hashes").to_pylist()]
+        given = [unpack(x, np.uint64) for x in t.column("counts").to_pylist()]
+        children = t.column("child").to_pylist()
+        n, group, rng = (t.column(c)[0].as_py() for c in ("n", "grp", "rng"))
+        h, at = np.unique(np.concatenate(asked), return_inverse=True)
+        total = np.zeros(len(h), np.uint64)
+        np.add.at(total, at, np.concatenate(given))
+        cut = np.concatenate([[0], np.cumsum([len(a) for a in asked])])
+        places = [at[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        if level == levels:
+            rows = [("answer", n, 0, rng, c, None, pack(total[p]), 0, 0) for c, p in zip(children, places)]
+            rows[0] = rows[0][:7] + (int(total.sum()), int((total > 0).sum()))
+            return _rows(rows)
+        rows = [("map", n, group, rng, c, pack_sorted(p.astype(np.uint64)), None, 0, 0) for c, p in zip(children, places)]
+        above = group % fan ** (levels - level - 1)
+        rows += [("up", n, above, r, group, pack_sorted(h[x]), pack(total[x]), 0, 0) for r, x in _cut(h, fan ** (level + 1))]
+        return _rows(rows)
+
+    return run
+
+
+def _hand_back(maps: pa.Table, answers: pa.Table) -> pa.Table:
+    """Counts of a node's list, from its ranges in order, to each child in the order it asked."""
+    got = sorted(zip(answers.column("part").to_pylist(), answers.column("counts").to_pylist()))
+    total = np.concatenate([unpack(c, np.uint64) for _, c in got])
+    return _rows([("answer", n, 0, rng, child, None, pack(total[unpack_sorted(places).astype(np.int64)]), 0, 0)
+                  for n, rng, child, places in zip(*(maps.column(c).to_pylist() for c in ("n", "rng", "child", "hashes")))])
+
+
+def _counts(blocks: DataFrame, order: int, levels: int, fan: int) -> tuple[DataFrame, int, int]:
+    """(block, n, rng, counts) for every block; all training tokens; distinct ones."""
+    up = blocks.select("block", "words", "tokens", "sizes", "held").mapInArrow(_requests(order, levels, fan), NODE)
+    maps = []
+    for level in range(1, levels + 1):
+        nodes = saved(up.groupBy("n", "grp", "rng").applyInArrow(_node(level, levels, fan), NODE), "lm-nodes")
+        up = nodes.filter("kind = 'up'")
+        maps.append(nodes.filter("kind = 'map'").select("n", "grp", "rng", "child", "hashes"))
+    total, kinds = nodes.filter("n = 1").agg(F.sum("sum_c"), F.sum("kinds")).first()
+    answers = nodes.filter("kind = 'answer'")
+    for level in range(levels - 1, 0, -1):
+        part = answers.select("n", F.col("child").alias("grp"), F.expr(f"rng div {fan}").alias("rng"), F.col("rng").alias("part"), "counts")
+        keys = ("n", "grp", "rng")
+        answers = maps[level - 1].groupBy(*keys).cogroup(part.groupBy(*keys)).applyInArrow(_hand_back, NODE)
+    return answers.select(F.col("child").alias("block"), "n", "rng", "counts"), total or 0, kinds or 0
 
 
 def _traverse(order: int, mu: float, total: int, kinds: int, train_docs: int):
@@ -168,8 +233,8 @@ def _traverse(order: int, mu: float, total: int, kinds: int, train_docs: int):
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
-        got = sorted(zip(answers.column("n").to_pylist(), answers.column("shard").to_pylist(), answers.column("counts").to_pylist()))
-        count = {n: np.concatenate([unpack(c, np.uint32) for k, _, c in got if k == n] or [np.empty(0, np.uint32)]).astype(float) for n in range(1, order + 1)}
+        got = sorted(zip(answers.column("n").to_pylist(), answers.column("rng").to_pylist(), answers.column("counts").to_pylist()))
+        count = {n: np.concatenate([unpack(c, np.uint64) for k, _, c in got if k == n] or [np.empty(0, np.uint64)]).astype(float) for n in range(1, order + 1)}
         for ids, held, sizes, words, token in zip(*(blocks.column(c).to_pylist() for c in ("ids", "held", "sizes", "words", "tokens"))):
             words, token, sizes, _ = _of_block(words, token, sizes, held)
             grams = _ngrams(words, token, sizes, order)
@@ -201,7 +266,7 @@ def _traverse(order: int, mu: float, total: int, kinds: int, train_docs: int):
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, mu: float = MU,
-          block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+          block: int = BLOCK, shard: int = SHARD, fan: int = FAN) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Trained on the documents whose crc32(doc_id as text) mod 5 is not 1 (a null id trains).
@@ -213,11 +278,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     rows = docs.select(doc_id.alias("doc_id"), held.alias("held"), F.col(f"`{text_col}`").alias("text"))
     blocks = saved(rows.mapInArrow(_blocks(block), "block long, ids array<long>, held array<boolean>, sizes array<int>, words binary, tokens binary, n long"), "lm-blocks")
     n, train_docs = blocks.agg(F.sum("n"), F.sum(F.size(F.filter("held", lambda x: ~x)))).first()
-    shards = max(8, -(-(n or 0) // shard))
-    asked = blocks.select("block", "words", "tokens", "sizes", "held").mapInArrow(
-        _requests(order, shards), "n int, shard int, block long, hashes binary, counts binary")
-    answers = saved(asked.groupBy("n", "shard").applyInArrow(_answers, "block long, n int, shard int, counts binary, sum_c long, kinds long"), "lm-answers")
-    total, kinds = answers.filter("n = 1").agg(F.sum("sum_c"), F.sum("kinds")).first()
-    return (blocks.drop("n").groupBy("block").cogroup(answers.select("block", "n", "shard", "counts").groupBy("block"))
-            .applyInArrow(_traverse(order, mu, total or 0, kinds or 0, train_docs or 0),
+    levels, fan = _levels(max(8, -(-(n or 0) // shard)), fan)
+    answers, total, kinds = _counts(blocks, order, levels, fan)
+    return (blocks.drop("n").groupBy("block").cogroup(answers.groupBy("block"))
+            .applyInArrow(_traverse(order, mu, total, kinds, train_docs or 0),
                           "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))

@@ -198,6 +198,12 @@ def test_language_model_cases(spark):
     scores = {(r.doc_id, r.n_tokens): (r.base_score, r.score) for r in lm.score(brute.frame(spark, ODD)).collect()}
     for w in want:
         assert scores[w[0], w[2]] == pytest.approx((w[5], w[6]), rel=1e-9)
+    assert lm._levels(8, 64) == (1, 8) and lm._levels(65, 64) == (2, 9) and lm._levels(27, 3) == (3, 3) and lm._levels(5000, 64) == (3, 18)
+    for fan, shard in ((2, 700), (3, 100)):  # more levels, the same scores
+        more = lm.score(brute.frame(spark, ODD), block=500, shard=shard, fan=fan).collect()
+        for r in more:
+            assert (r.base_score, r.score) == pytest.approx(scores[r.doc_id, r.n_tokens])
+        assert len(more) == len(want)
     assert lm.score(empty(spark)).count() == 0
 
 
