@@ -40,31 +40,34 @@ MU = 20.0
 FOLDS, HELD_OUT = 5, 1
 BLOCK = 2_000_000          # tokens
 SHARD = 2_000_000          # n-grams of all blocks in a range of the last level, about
-FAN = 64                   # ranges, and members of a group, of a level at most
+FAN = 256                  # ranges, and members of a group, of a level at most (some 8,000 n-grams a row)
 END = np.uint64(0xE7D0000000000001)      # the token after the last word
 START = np.uint64(0x57A0000000000003)    # context of the first token; no token itself
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Non-negative integers, the bytes of equal weight together: small values compress to almost nothing."""
-    a = np.ascontiguousarray(a)
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+    """Non-negative integers: how many bytes the largest needs, then the bytes of equal weight together."""
+    a = np.ascontiguousarray(a.astype(np.uint64, copy=False))
+    width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
+    return bytes([width]) + np.ascontiguousarray(a.view(np.uint8).reshape(len(a), 8)[:, :width].T).tobytes()
 
 
 def unpack(b: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    m = np.frombuffer(b, np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(m.T).view(kind).ravel()
+    planes = np.frombuffer(b, np.uint8, offset=1).reshape(b[0], -1)
+    out = np.zeros((planes.shape[1], np.dtype(kind).itemsize), np.uint8)
+    out[:, :b[0]] = planes.T
+    return out.view(kind).ravel()
 
 
 def pack_sorted(a: np.ndarray) -> bytes:
-    d = a.copy()
-    d[1:] -= a[:-1]
-    return pack(d)
+    """The first value, then the gaps."""
+    return a[:1].astype(np.uint64).tobytes() + pack(a[1:] - a[:-1])
 
 
 def unpack_sorted(b: bytes) -> np.ndarray:
-    return np.cumsum(unpack(b, np.uint64), dtype=np.uint64)
+    if len(b) < 8:
+        return np.empty(0, np.uint64)
+    return np.cumsum(np.append(np.frombuffer(b, np.uint64, 1), unpack(b[8:], np.uint64)), dtype=np.uint64)
 
 
 def _blocks(block: int):
