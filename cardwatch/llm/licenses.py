@@ -210,7 +210,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     templates = [(i, t) for i, t in (templates or TEMPLATES) if template_bigrams(t)]
     known = [{"id": i, "n": len(b), "k": template_width(t), "b": b} for i, t in templates for b in [template_bigrams(t)]]
     listed = F.from_json(F.lit(json.dumps(known)), "array<struct<id: string, n: int, k: int, b: array<string>>>")
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    # a little wider, so that rounding excludes no size on the bound; the coefficient itself decides
+    low, high = threshold / (2 - threshold) * (1 - 1e-9), (2 - threshold) / threshold * (1 + 1e-9)
     # a unit has as many words as bigrams, plus one, or more: too short ones go before their bigrams are built
     least = min(k["n"] for k in known) * low
     longest = max(k["n"] for k in known) * high

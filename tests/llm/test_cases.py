@@ -299,11 +299,13 @@ def test_whole_licenses(spark):
             ("See below. Released under the MIT License. Thank you for reading this.", "MIT"),
             ("// Licensed under the Apache License, Version 2.0. Copyright 2020 Me", "Apache-2.0"),
             ("/* SPDX-License-Identifier: MIT */", "MIT"), ("x = 1  # SPDX-License-Identifier: BSD-3-Clause\r\ny = 2", "BSD-3-Clause"),
-            ("the general public is provided with software under a license by us", ""), ("license. " * 50, ""), ("\n\n\n. ! ?\n\n", "")], 9000):
+            ("the general public is provided with software under a license by us", ""), ("A.\nAll rights reserved", "All-Rights-Reserved"), ("license. " * 50, ""), ("\n\n\n. ! ?\n\n", "")], 9000):
         docs.append((n, t))
         want[n] = i
     got = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert {r.doc_id: r.licenses for r in got.collect()} == want
+    rows = got.collect()
+    assert {r.doc_id: r.licenses for r in rows} == want
+    assert [r.n_hits for r in rows if r.doc_id == 9005] == [2]  # the line, and the paragraph with a coefficient of 0.8 exactly
 
 
 def test_license_key_words_spare_no_match():
