@@ -84,3 +84,15 @@ def test_as_of_reports_shuffle_table_sized_sides(spark, scratch, tables):
     # the counted broadcast of five terminals and the few passports are all that is broadcast
     assert all(len(_broadcasts(p)) <= 2 for p in plans) and not _broadcasts(_plan(report))
     assert report.where("event_type = 1").count() == len(range(0, N, 1000)) and cards.count() == N
+
+
+def test_reference_day_and_report_shuffle_table_sized_sides(spark, scratch, tables):
+    watch, now = Watch(spark, scratch), S.ts_lit(RUN)
+    out = scd2.apply_day(tables["clients"], tables["stg_clients"], tables["stg_clients"].select("client_id"), S.CLIENTS, now, materialize=watch)
+    assert out.count() >= N
+    few = [b for p in watch.plans for b in _broadcasts(p)]      # of keys that are new, values hit and rows flagged: few rows or none
+    assert len(few) <= 4
+    dims = [tables[d] for d in ("cards", "accounts", "clients", "blacklist")]
+    report = fraud.fraud_report(tables["terminals"], tables["tx"], *dims, tables["tx"], materialize=watch)
+    assert report.where("event_type = 1").count() == len(range(0, N, 1000))
+    assert len(_broadcasts(_plan(fraud.card_profiles(*dims)))) <= 1 and len(_broadcasts(_plan(report))) <= 1
