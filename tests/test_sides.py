@@ -96,3 +96,16 @@ def test_reference_day_and_report_shuffle_table_sized_sides(spark, scratch, tabl
     report = fraud.fraud_report(tables["terminals"], tables["tx"], *dims, tables["tx"], materialize=watch)
     assert report.where("event_type = 1").count() == len(range(0, N, 1000))
     assert len(_broadcasts(_plan(fraud.card_profiles(*dims)))) <= 1 and len(_broadcasts(_plan(report))) <= 1
+
+
+def test_keyed_day_passes_over_the_history_three_times(spark, scratch):
+    """For the staged keys, for the keys that are gone, and to rewrite it."""
+    ids = spark.range(50)
+    S.conform(ids.selectExpr(*_client_columns(), *VERSION), S.HIST_CLIENTS).write.parquet(f"{scratch}/h")
+    hist, watch = spark.read.parquet(f"{scratch}/h"), Watch(spark, f"{scratch}/w")
+    stg = watch.mat(S.conform(spark.range(60).selectExpr(*_client_columns("if(id % 10 = 3, 'moved', 'p')"), *STAMPS), S.STG_CLIENTS))
+    out = scd2.apply_day(hist, stg, stg.where("client_id <> '7'").select("client_id"), S.CLIENTS, S.ts_lit(RUN), profile="keyed", materialize=watch)
+    scans = sum(f"{scratch}/h]" in line for p in [*watch.plans, _plan(out)] for line in p.splitlines() if "FileScan" in line)
+    assert scans == 3
+    # 50 versions, ten new keys, five changed, one tombstone
+    assert out.count() == 66 and out.where("deleted_flg = 1").count() == 1 and out.where(F.col("effective_to") == S.high()).count() == 60
